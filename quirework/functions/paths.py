@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -67,11 +67,15 @@ def local_target(page_path: Column, reference: Column) -> Column:
     return F.when(~external & ((path != "") | (mark != "")), answer)
 
 
-def normalize_path(href: Column, own_hosts: Sequence[str], excluded: Sequence[str] = ()) -> Column:
-    """Rooted path of a same-site link without query, fragment and ``.html``; NULL elsewhere."""
+def normalize_path(
+    href: Column, own_hosts: Sequence[str] | Callable[[Column], Column], excluded: Sequence[str] = ()
+) -> Column:
+    """Rooted path of a same-site link without query, fragment and ``.html``; NULL elsewhere.
+    ``own_hosts`` lists the site's hosts or tests one."""
     bare = F.regexp_replace(href, r"[?#][\s\S]*\z", "")
     home = bare.isin("", "./", "/")
-    foreign = F.coalesce(~host(bare).isin(*own_hosts), F.lit(False))
+    own = own_hosts(host(bare)) if callable(own_hosts) else host(bare).isin(*own_hosts)
+    foreign = host(bare).isNotNull() & ~own
     path = url_path(bare)
     path = F.coalesce(F.nullif(path, F.lit("")), bare)
     path = F.concat(F.lit("/"), F.regexp_replace(path, r"\A/+|/+\z", ""))

@@ -10,8 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BY_DAY = Window.partitionBy("symbol").orderBy("day")
-_SO_FAR = _BY_DAY.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+def _by_day():
+    return Window.partitionBy("symbol").orderBy("day")
+
+
+def _so_far():
+    return _by_day().rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def bars(trades: DataFrame, symbol: str, ts: str, seq: str, price: str) -> DataFrame:
@@ -27,7 +32,7 @@ def bars(trades: DataFrame, symbol: str, ts: str, seq: str, price: str) -> DataF
 
 
 def _prev(column: str) -> Column:
-    return F.lag(column).over(_BY_DAY)
+    return F.lag(column).over(_by_day())
 
 
 def _change() -> Column:
@@ -37,13 +42,13 @@ def _change() -> Column:
 def obv(b: DataFrame) -> DataFrame:
     """On-balance volume: volume signed by the direction of the close, cumulated."""
     step = b.withColumn("__s", F.coalesce(F.signum(F.col("close") - _prev("close")).cast("long"), F.lit(0)) * F.col("volume"))
-    return step.select("symbol", "day", F.sum("__s").over(_SO_FAR).alias("obv"))
+    return step.select("symbol", "day", F.sum("__s").over(_so_far()).alias("obv"))
 
 
 def vpt(b: DataFrame) -> DataFrame:
     """Volume-price trend: volume times relative change of the close, cumulated."""
     step = b.withColumn("__s", F.coalesce(F.col("volume") * _change(), F.lit(0.0)))
-    return step.select("symbol", "day", F.sum("__s").over(_SO_FAR).alias("vpt"))
+    return step.select("symbol", "day", F.sum("__s").over(_so_far()).alias("vpt"))
 
 
 def vwap(trades: DataFrame, keys: list[str], price: str, volume: str) -> DataFrame:
@@ -56,7 +61,7 @@ def volume_indexes(b: DataFrame) -> DataFrame:
     up = F.when(F.col("volume") > _prev("volume"), _change())
     down = F.when(F.col("volume") < _prev("volume"), _change())
     step = b.withColumn("__u", F.coalesce(up, F.lit(0.0))).withColumn("__d", F.coalesce(down, F.lit(0.0)))
-    return step.select("symbol", "day", F.sum("__u").over(_SO_FAR).alias("pvi"), F.sum("__d").over(_SO_FAR).alias("nvi"))
+    return step.select("symbol", "day", F.sum("__u").over(_so_far()).alias("pvi"), F.sum("__d").over(_so_far()).alias("nvi"))
 
 
 def wad(b: DataFrame) -> DataFrame:
@@ -68,7 +73,7 @@ def wad(b: DataFrame) -> DataFrame:
         .when(F.col("close") < prev, F.col("close") - F.greatest(prev, F.col("high")))
         .otherwise(F.lit(0.0)),
     )
-    return step.select("symbol", "day", F.sum("__s").over(_SO_FAR).alias("wad"))
+    return step.select("symbol", "day", F.sum("__s").over(_so_far()).alias("wad"))
 
 
 def wvad(b: DataFrame) -> DataFrame:
@@ -84,19 +89,19 @@ def ease_of_movement(b: DataFrame) -> DataFrame:
     """Move of the midpoint over the box ratio (volume / range)."""
     mid = (F.col("high") + F.col("low")) / 2
     step = b.withColumn("__m", mid).withColumn("__box", F.try_divide(F.col("volume"), F.col("high") - F.col("low")))
-    return step.select("symbol", "day", F.try_divide(F.col("__m") - F.lag("__m").over(_BY_DAY), F.col("__box")).alias("emv"))
+    return step.select("symbol", "day", F.try_divide(F.col("__m") - F.lag("__m").over(_by_day()), F.col("__box")).alias("emv"))
 
 
 def volume_norm(b: DataFrame, days: int = 20, bands: float = 2.0) -> DataFrame:
     """Volume relative to its moving average, with deviation bands and cumulated change."""
-    frame = _BY_DAY.rowsBetween(-(days - 1), Window.currentRow)
+    frame = _by_day().rowsBetween(-(days - 1), Window.currentRow)
     mean, dev = F.avg("volume").over(frame), F.stddev_pop("volume").over(frame)
     return b.select(
         "symbol", "day",
         F.try_divide(F.col("volume") * 100.0, mean).alias("pct_volume"),
         (mean + dev * bands).alias("upper"),
         (mean - dev * bands).alias("lower"),
-        (F.col("volume") - F.first("volume").over(_SO_FAR)).alias("cum_change"),
+        (F.col("volume") - F.first("volume").over(_so_far())).alias("cum_change"),
     )
 
 
