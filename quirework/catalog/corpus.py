@@ -10,7 +10,7 @@ from quirework.functions import paths as px
 from quirework.functions import rules as rx
 from quirework.functions import text as tx
 from quirework.operators import audit, corpus, units
-from quirework.plans.ordered import id_bucket
+from quirework.plans.ordered import GroupMax, RowNumber, id_bucket, ordered_scan
 from quirework.sources.tables import table
 
 
@@ -34,14 +34,11 @@ def doc_exact_dedup(spark, folder):
 )
 def doc_copies(spark, folder):
     """Every document with the copy that is kept; all placements stay."""
-    from quirework.plans.ordered import LastKnown, RowNumber, ordered_scan
-
     docs = _docs(spark, folder, "doc_id", "text").select("doc_id", F.md5("text").alias("digest"))
-    numbered = ordered_scan(docs, ["digest"], id_bucket("doc_id"), ["doc_id"], RowNumber("copy_no"))
-    kept = ordered_scan(
-        numbered, ["digest"], id_bucket("doc_id"), ["doc_id"], LastKnown("kept_id", F.when(F.col("copy_no") == 1, F.col("doc_id")))
+    numbered = ordered_scan(
+        docs, ["digest"], id_bucket("doc_id"), ["doc_id"], RowNumber("copy_no"), GroupMax("__kept", -F.col("doc_id"))
     )
-    return kept.select("doc_id", "kept_id", "copy_no")
+    return numbered.select("doc_id", (-F.col("__kept")).alias("kept_id"), "copy_no")
 
 
 @query("SELECT source, count(*)::BIGINT AS docs, sum(length(text))::BIGINT AS chars FROM documents GROUP BY source")

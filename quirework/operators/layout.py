@@ -163,7 +163,8 @@ def assign_to_caption(
     """
     carried = [c for c in captions.columns if c not in page]
     marks = captions.select(
-        *page, (-scaled(top)).alias("__at"), F.lit(0).alias("__side"), F.col(caption).cast("long").alias("__id"),
+        # Of captions at the same height the first one, met last on the way up, is taken.
+        *page, (-scaled(top)).alias("__at"), F.lit(0).alias("__side"), (-F.col(caption).cast("long")).alias("__id"),
         F.struct(*carried).alias("__cap"),
     )
     own = [c for c in items.columns if c not in page]

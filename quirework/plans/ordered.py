@@ -28,9 +28,14 @@ def id_bucket(column: str | Column, width: int = 100_000) -> Column:
     return F.floor((F.col(column) if isinstance(column, str) else column) / F.lit(width)).cast("long")
 
 
-def time_bucket(column: str | Column, seconds: int = 86_400) -> Column:
+def micros(column: str | Column) -> Column:
+    """Microseconds since the epoch (session time zone UTC)."""
     base = F.col(column) if isinstance(column, str) else column
-    return F.floor(F.unix_micros(base) / F.lit(seconds * 1_000_000)).cast("long")
+    return F.unix_micros(base.cast("timestamp"))
+
+
+def time_bucket(column: str | Column, seconds: int = 86_400) -> Column:
+    return F.floor(micros(column) / F.lit(seconds * 1_000_000)).cast("long")
 
 
 @dataclass(frozen=True)
