@@ -10,19 +10,56 @@ Each bucket is summarised, in its own task, as that function: from which incomin
 on which row is the first to break, and the anchor and number of breaks that follow from
 there.  The per-key walk then reads one summary per bucket, and the rows are numbered
 in a second pass over the buckets.
+
+Spark partitions and sorts the rows; the Python side streams a sorted partition and handles
+one bucket at a time with array operations.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _values(table: pa.Table, column: str) -> np.ndarray:
+    return table.column(column).to_numpy()
+
+
+def _offsets(table: pa.Table, place: Sequence[str]) -> np.ndarray:
+    changed = np.ones(table.num_rows, dtype=bool)
+    columns = [_values(table, c) for c in place]
+    changed[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.append(np.flatnonzero(changed), table.num_rows)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], place: Sequence[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables that hold whole groups of a sorted partition, with the offsets of the groups.
+    Only the group that a batch leaves open is held over."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        table = pa.Table.from_batches([batch])
+        cuts = _offsets(table, place)[:-1]
+        if held and all(table.column(c)[0] == held[0].column(c)[0] for c in place):
+            cuts = cuts[1:]
+        if len(cuts) == 0:
+            held.append(table)
+            continue
+        ready = pa.concat_tables([*held, table.slice(0, int(cuts[-1]))])
+        held = [table.slice(int(cuts[-1]))]
+        if ready.num_rows:
+            yield ready, _offsets(ready, place)
+    if held:
+        ready = pa.concat_tables(held)
+        yield ready, _offsets(ready, place)
+
+
 def _jump(start: np.ndarray, end: np.ndarray, limit: int) -> np.ndarray:
     """For each row taken as an anchor: index of the row that breaks its run."""
     size = len(start)
@@ -30,7 +67,7 @@ def _jump(start: np.ndarray, end: np.ndarray, limit: int) -> np.ndarray:
     return np.maximum(nxt, np.arange(1, size + 1))
 
 
-def _bucket_function(start: np.ndarray, end: np.ndarray, limit: int):
+def bucket_function(start: np.ndarray, end: np.ndarray, limit: int):
     """Arrays (bound, anchor, breaks): the first entry whose bound exceeds the incoming
     ``anchor + limit`` tells the anchor and the breaks at the end of the bucket."""
     size = len(start)
@@ -41,16 +78,14 @@ def _bucket_function(start: np.ndarray, end: np.ndarray, limit: int):
         breaks = breaks + np.where(nxt < size, breaks[nxt], 0)
         last = np.where(nxt < size, last[nxt], last)
         nxt = nxt[nxt]
-    anchor = start[last[:size]]
-    breaks = breaks[:size]
     # Only rows within one limit of the bucket's first row can be the first to break.
     reach = min(size, int(np.searchsorted(end, start[0] + limit, side="right")) + 1)
-    anchor, breaks, bound = anchor[:reach], breaks[:reach], end[:reach]
+    anchor, breaks, bound = start[last[:reach]], breaks[:reach], end[:reach]
     keep = np.append((np.diff(anchor) != 0) | (np.diff(breaks) != 0), True)
     return bound[keep], anchor[keep], breaks[keep]
 
 
-def _enter(bound, anchor, breaks, carried, limit):
+def enter(bound, anchor, breaks, carried: int | None, limit: int) -> tuple[int, int]:
     """Apply one bucket's function to the anchor that enters it."""
     if carried is None:
         return int(anchor[0]), int(breaks[0])
@@ -60,6 +95,11 @@ def _enter(bound, anchor, breaks, carried, limit):
     return int(anchor[at]), int(breaks[at])
 
 
+def _sorted(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
+    placed = df.repartition(*by) if by else df.coalesce(1)
+    return placed.sortWithinPartitions(*by, *order)
+
+
 def anchored_runs(
     df: DataFrame,
     keys: Sequence[str],
@@ -71,67 +111,74 @@ def anchored_runs(
     name: str = "run",
 ) -> DataFrame:
     """Add the 1-based run number per key; ``start`` and ``end`` are whole numbers that do
-    not decrease along the order."""
+    not decrease along the order.  Columns pass through the tasks, so select narrow ones."""
     keys, order = list(keys), list(order)
     place = [*keys, "__bucket"]
-    columns = df.columns
-    base = df.withColumn("__bucket", bucket).withColumn("__start", start.cast("long")).withColumn("__end", end.cast("long"))
-    narrow = base.select(*place, *[c for c in order if c not in place], "__start", "__end")
-    field = {f.name: f for f in narrow.schema.fields}
-
-    summary_schema = T.StructType(
-        [field[c] for c in place]
-        + [T.StructField(n, T.ArrayType(T.LongType())) for n in ("bound", "anchor", "breaks")]
+    base = df.withColumns(
+        {"__bucket": bucket.cast("long"), "__start": start.cast("long"), "__end": end.cast("long")}
     )
+    types = {f.name: f for f in base.schema.fields}
+    longs = T.ArrayType(T.LongType())
 
-    def summarise(group: pd.DataFrame) -> pd.DataFrame:
-        rows = group.sort_values(order)
-        bound, anchor, breaks = _bucket_function(rows["__start"].to_numpy(), rows["__end"].to_numpy(), limit)
-        out = {c: [group[c].iloc[0]] for c in place}
-        out.update(bound=[bound], anchor=[anchor], breaks=[breaks])
-        return pd.DataFrame(out)
-
-    summaries = narrow.groupBy(*place).applyInPandas(summarise, summary_schema)
-
-    entry_schema = T.StructType(
-        [field[c] for c in place]
-        + [T.StructField("__anchor_in", T.LongType()), T.StructField("__run_in", T.LongType())]
-    )
+    summary_schema = T.StructType([types[c] for c in place] + [T.StructField(n, longs) for n in ("bound", "anchor", "breaks")])
 
-    def walk(group: pd.DataFrame) -> pd.DataFrame:
-        rows = group.sort_values("__bucket")
-        carried, run, anchors, runs = None, 0, [], []
-        for bound, anchor, breaks in zip(rows["bound"], rows["anchor"], rows["breaks"]):
-            anchors.append(carried)
-            runs.append(run)
-            carried, made = _enter(bound, anchor, breaks, carried, limit)
-            run += made
-        out = rows[place].copy()
-        out["__anchor_in"] = pd.array(anchors, dtype="Int64")
-        out["__run_in"] = runs
-        return out
-
-    walked = summaries.groupBy(*keys) if keys else summaries.groupBy(F.lit(0))
-    entries = walked.applyInPandas(walk, entry_schema)
-
-    number_schema = T.StructType(
-        [field[c] for c in place] + [field[c] for c in order if c not in place] + [T.StructField(name, T.LongType())]
-    )
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole, cuts in _groups(batches, place):
+            begin, stop = _values(whole, "__start"), _values(whole, "__end")
+            found = [bucket_function(begin[a:b], stop[a:b], limit) for a, b in zip(cuts[:-1], cuts[1:])]
+            out = whole.select(place).take(pa.array(cuts[:-1]))
+            for i, column in enumerate(("bound", "anchor", "breaks")):
+                out = out.append_column(column, pa.array([f[i] for f in found], pa.list_(pa.int64())))
+            yield from out.to_batches()
 
-    def number(group: pd.DataFrame) -> pd.DataFrame:
-        rows = group.sort_values(order)
-        begin, stop = rows["__start"].to_numpy(), rows["__end"].to_numpy()
-        nxt = _jump(begin, stop, limit)
-        carried = rows["__anchor_in"].iloc[0]
-        opens = np.zeros(len(rows), dtype=np.int64)
-        at = 0 if pd.isna(carried) else int(np.searchsorted(stop, int(carried) + limit, side="right"))
-        while at < len(rows):
-            opens[at] = 1
-            at = int(nxt[at])
-        out = rows[number_schema.fieldNames()[:-1]].copy()
-        out[name] = np.cumsum(opens) + int(rows["__run_in"].iloc[0])
-        return out
-
-    numbered = narrow.join(entries, place).groupBy(*place).applyInPandas(number, number_schema)
-    shared = [*place, *[c for c in order if c not in place]]
-    return base.join(numbered, shared).select(*columns, name)
+    narrow = base.select(*place, *[c for c in order if c not in place], "__start", "__end")
+    summaries = _sorted(narrow, place, order).mapInArrow(summarise, summary_schema)
+
+    entry_schema = T.StructType([types[c] for c in place] + [T.StructField("__anchor", T.LongType()), T.StructField("__run", T.LongType())])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: tuple | None = None
+        carried: int | None = None
+        run = 0
+        for batch in batches:
+            anchors: list[int | None] = []
+            runs: list[int] = []
+            names = list(zip(*[batch.column(c).to_pylist() for c in keys])) if keys else [()] * batch.num_rows
+            parts = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("bound", "anchor", "breaks")]
+            for key, bound, anchor, breaks in zip(names, *parts):
+                if key != known:
+                    known, carried, run = key, None, 0
+                anchors.append(carried)
+                runs.append(run)
+                carried, made = enter(bound, anchor, breaks, carried, limit)
+                run += made
+            columns = [batch.column(c) for c in place] + [pa.array(anchors, pa.int64()), pa.array(runs, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, [*place, "__anchor", "__run"])
+
+    entries = _sorted(summaries, keys, ["__bucket"]).mapInArrow(walk, entry_schema)
+
+    # A bucket's entry state sorts in front of its rows, which saves a join.
+    marked = base.withColumn("__row", F.lit(1)).unionByName(entries.withColumn("__row", F.lit(0)), allowMissingColumns=True)
+    kept = df.columns
+    result_schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields] + [T.StructField(name, T.LongType())])
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole, cuts in _groups(batches, place):
+            begin, stop, before = (
+                whole.column(c).combine_chunks().fill_null(0).to_numpy() for c in ("__start", "__end", "__run")
+            )
+            entered = whole.column("__anchor").take(pa.array(cuts[:-1])).to_pylist()
+            run = np.zeros(whole.num_rows, dtype=np.int64)
+            for carried, a, b in zip(entered, cuts[:-1], cuts[1:]):
+                first, size = a + 1, b - a - 1
+                nxt = _jump(begin[first:b], stop[first:b], limit)
+                at = 0 if carried is None else int(np.searchsorted(stop[first:b], carried + limit, side="right"))
+                opens = np.zeros(size, dtype=np.int64)
+                while at < size:
+                    opens[at] = 1
+                    at = int(nxt[at])
+                run[first:b] = np.cumsum(opens) + int(before[a])
+            rows = np.delete(np.arange(whole.num_rows), cuts[:-1])
+            yield from whole.select(kept).append_column(name, pa.array(run)).take(pa.array(rows)).to_batches()
+
+    return _sorted(marked, place, ["__row", *order]).mapInArrow(number, result_schema)
