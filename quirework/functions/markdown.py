@@ -95,8 +95,9 @@ def render(markdown: Column) -> Column:
     def classify(raw: Column) -> Column:
         row = F.regexp_replace(raw, rf"{tx.SPACE}+\z", "")
         kind = (
-            F.when(row.startswith("```"), fence)
-            .when(tx.strip(row) == "", blank)
+            F.when(row == "", blank)
+            .when(~row.rlike(r"\A[`!#>*\-0-9]"), plain)
+            .when(row.startswith("```"), fence)
             .when(row.rlike(image), figure)
             .when(row.rlike(r"\A#{1,4}\s+.+\z"), heading)
             .when(row.rlike(r"\A>\s+.+\z"), quote)
@@ -104,12 +105,17 @@ def render(markdown: Column) -> Column:
             .when(row.rlike(r"\A\d+\.\s+.+\z"), number)
             .otherwise(plain)
         )
+        return F.struct(row.alias("row"), kind.alias("kind"))
+
+    def dress(line: Column) -> Column:
+        row, kind = line["row"], line["kind"]
         level = F.length(F.regexp_extract(row, r"\A(#{1,4})\s", 1)).cast("string")
         alt = F.regexp_extract(tx.escape_html(row), image, 1)
         src = F.regexp_extract(tx.escape_html(row), image, 2)
         item = F.regexp_replace(row, r"\A(?:[-*]|\d+\.|>|#{1,4})\s+", "")
         block = (
-            F.when(
+            F.when(kind.isin(plain, blank, fence), F.lit(""))
+            .when(
                 kind == figure,
                 F.concat(
                     F.lit('<figure class="article-figure"><img src="'), src, F.lit('" alt="'), alt,
@@ -118,8 +124,7 @@ def render(markdown: Column) -> Column:
             )
             .when(kind == heading, F.concat(F.lit("<h"), level, F.lit(">"), inline(item), F.lit("</h"), level, F.lit(">")))
             .when(kind == quote, F.concat(F.lit("<blockquote>"), inline(item), F.lit("</blockquote>")))
-            .when(kind.isin(bullet, number), F.concat(F.lit("<li>"), inline(item), F.lit("</li>")))
-            .otherwise(F.lit(""))
+            .otherwise(F.concat(F.lit("<li>"), inline(item), F.lit("</li>")))
         )
         return F.struct(row.alias("row"), kind.alias("kind"), block.alias("block"))
 
@@ -172,5 +177,5 @@ def render(markdown: Column) -> Column:
         )
 
     start = state(F.lit(""), none, none, none)
-    folded = F.aggregate(F.transform(tx.lines(markdown), classify), start, add, closed_all)
+    folded = F.aggregate(F.transform(F.transform(tx.lines(markdown), classify), dress), start, add, closed_all)
     return F.regexp_replace(folded, r"\n\z", "")
