@@ -22,7 +22,7 @@ from quirework.sources.tables import table
 )
 def page_text_profile(spark, folder):
     """Visible text of each page with its letter counts, reading units and links."""
-    pages = table(spark, folder, "pages", "page_id", "html")
+    pages = table(spark, folder, "pages", "page_id", "html", spread="page_id")
     seen = pages.select("page_id", hx.visible_text(F.col("html")).alias("t"), F.size(hx.links(F.col("html"))).cast("long").alias("links"))
     t = F.col("t")
     return seen.select(
@@ -33,7 +33,7 @@ def page_text_profile(spark, folder):
 
 @query(f"SELECT page_id, generate_subscripts(l, 1)::BIGINT AS link_no, unnest(l) AS href FROM (SELECT page_id, {hrefs('html')} AS l FROM pages)")
 def page_links(spark, folder):
-    rows = table(spark, folder, "pages", "page_id", "html").select("page_id", F.posexplode(hx.links(F.col("html"))).alias("p", "href"))
+    rows = table(spark, folder, "pages", "page_id", "html", spread="page_id").select("page_id", F.posexplode(hx.links(F.col("html"))).alias("p", "href"))
     return rows.select("page_id", (F.col("p") + 1).cast("long").alias("link_no"), "href")
 
 
@@ -43,7 +43,7 @@ def page_links(spark, folder):
 )
 def page_link_counts(spark, folder):
     """How often and from how many pages each address is linked."""
-    edges = table(spark, folder, "pages", "page_id", "html").select("page_id", F.explode(hx.links(F.col("html"))).alias("href"))
+    edges = table(spark, folder, "pages", "page_id", "html", spread="page_id").select("page_id", F.explode(hx.links(F.col("html"))).alias("href"))
     # One row per (address, page) first: a hot address is spread over its pages.
     per_page = edges.groupBy("href", "page_id").agg(F.count(F.lit(1)).alias("n"))
     return per_page.groupBy("href").agg(F.sum("n").alias("links"), F.count(F.lit(1)).alias("pages"))
@@ -57,7 +57,7 @@ _BLOCKS = f"list_filter(list_transform({found(_SHOWN, hx.element_pattern(hx.BLOC
 @query(f"SELECT page_id, generate_subscripts(l, 1)::BIGINT AS block_no, unnest(l) AS block FROM (SELECT page_id, {_BLOCKS} AS l FROM pages)")
 def page_blocks(spark, folder):
     """Texts of the block elements in document order."""
-    rows = table(spark, folder, "pages", "page_id", "html").select("page_id", F.posexplode(hx.visible_blocks(F.col("html"))).alias("p", "block"))
+    rows = table(spark, folder, "pages", "page_id", "html", spread="page_id").select("page_id", F.posexplode(hx.visible_blocks(F.col("html"))).alias("p", "block"))
     return rows.select("page_id", (F.col("p") + 1).cast("long").alias("block_no"), "block")
 
 
@@ -70,7 +70,7 @@ def page_blocks(spark, folder):
     SELECT page_id, r::BIGINT AS leak_no, left(block, 180) AS block FROM k WHERE r <= 5"""
 )
 def page_language_leaks(spark, folder):
-    pages = table(spark, folder, "pages", "page_id", "html")
+    pages = table(spark, folder, "pages", "page_id", "html", spread="page_id")
     return audit.block_leaks(pages, ["page_id"], hx.visible_blocks(F.col("html")))
 
 
@@ -80,7 +80,7 @@ def _first(tag: str) -> str:
 
 @query(f"SELECT page_id, {_first('title')} AS title, {_first('h1')} AS heading FROM pages")
 def page_title_heading(spark, folder):
-    return table(spark, folder, "pages", "page_id", "html").select(
+    return table(spark, folder, "pages", "page_id", "html", spread="page_id").select(
         "page_id", hx.first_element_text(F.col("html"), "title").alias("title"), hx.first_element_text(F.col("html"), "h1").alias("heading")
     )
 
@@ -120,7 +120,7 @@ _TARGET = "CASE WHEN ends_with(href, '/') OR NOT regexp_matches(regexp_extract(h
 
 
 def _files(spark, folder):
-    pages = table(spark, folder, "pages", "page_id", "url", "html")
+    pages = table(spark, folder, "pages", "page_id", "url", "html", spread="page_id")
     path = F.regexp_replace(F.regexp_replace(px.url_path(F.col("url")), r"\A/+|/+\z", ""), r"\.html\z", "")
     return pages.withColumn("file", F.concat(F.lit("/"), path, F.lit("/index.html")))
 
@@ -145,7 +145,7 @@ def broken_links(spark, folder):
 )
 def broken_section_links(spark, folder):
     """Links whose first path segment is no section; a page's heading opens a section."""
-    pages = table(spark, folder, "pages", "page_id", "html")
+    pages = table(spark, folder, "pages", "page_id", "html", spread="page_id")
     first_word = F.lower(F.regexp_extract(hx.first_element_text(F.col("html"), "h1"), "([A-Za-z]+)", 1))
     sections = pages.select(F.concat(F.lit("/"), first_word).alias("target")).distinct()
     edges = pages.select("page_id", F.explode(hx.links(F.col("html"))).alias("href"))
@@ -162,7 +162,7 @@ def broken_section_links(spark, folder):
 def page_preamble_audit(spark, folder):
     """Pages that start with a bare ``html`` or their root element, and what the writer's
     repair changes; a page in four keeps each kind of damage."""
-    pages = table(spark, folder, "pages", "page_id", "html")
+    pages = table(spark, folder, "pages", "page_id", "html", spread="page_id")
     bare = F.regexp_replace(F.col("html"), r"(?i)\A<!doctype[^>]*>", "")
     kind = F.col("page_id") % 4
     raw = F.when(kind == 0, F.concat(F.lit("html\n"), bare)).when(kind == 1, bare).when(kind == 2, F.col("html")).otherwise(F.concat(F.lit(" "), F.col("html")))
@@ -177,7 +177,7 @@ def page_preamble_audit(spark, folder):
 @query(_all_hits(rx.SYMBOL_ARTIFACTS + JUNK, f"(SELECT page_id, {visible('html')} AS t FROM pages)", "page_id", "t"))
 def page_rule_hits(spark, folder):
     """Rule findings in the visible text of the pages."""
-    pages = table(spark, folder, "pages", "page_id", "html").select("page_id", hx.visible_text(F.col("html")).alias("t"))
+    pages = table(spark, folder, "pages", "page_id", "html", spread="page_id").select("page_id", hx.visible_text(F.col("html")).alias("t"))
     return audit.rule_hits(pages, ["page_id"], F.col("t"), rx.SYMBOL_ARTIFACTS + JUNK)
 
 
@@ -192,7 +192,7 @@ _DECODED = decode(f"lower({visible('html')})")
 def page_article_toc(spark, folder):
     """Article contents: entries only for pages with three headings or more.  The pages have
     no second-level headings, so their paragraphs stand in."""
-    pages = table(spark, folder, "pages", "page_id", "html")
+    pages = table(spark, folder, "pages", "page_id", "html", spread="page_id")
     markup_ = F.regexp_replace(hx.markup_only(F.col("html")), "(?i)<(/?)p>", "<$1h2>")
     rows = pages.select("page_id", F.posexplode(hx.article_toc(markup_)).alias("p", "e"))
     return rows.select(
@@ -206,7 +206,7 @@ def page_article_toc(spark, folder):
 )
 def page_attributes(spark, folder):
     """Language attribute and list items per page."""
-    pages = table(spark, folder, "pages", "page_id", "html")
+    pages = table(spark, folder, "pages", "page_id", "html", spread="page_id")
     shown = tx.decode_entities(F.lower(hx.visible_text(F.col("html"))))
     return pages.select(
         "page_id",

@@ -18,8 +18,12 @@ LINES = f"SELECT doc_id, unnest({text_lines('text')}) AS line, generate_subscrip
 NO_URLS = sub("block", rf"https?://[^\n{tx.BLANK_CHARS}]+")
 
 
+def _docs(spark, folder):
+    return table(spark, folder, "documents", "doc_id", "text", spread="doc_id")
+
+
 def _lines(spark, folder):
-    docs = table(spark, folder, "documents", "doc_id", "text")
+    docs = _docs(spark, folder)
     return docs.select("doc_id", F.posexplode(tx.lines(F.col("text"))).alias("line_no", "line")).withColumn(
         "line_no", (F.col("line_no") + 1).cast("long")
     )
@@ -40,7 +44,7 @@ _UNITS = count(sub("text", tx.MARKDOWN_PUNCTUATION, ""), tx.READING_UNIT)
         FROM (SELECT doc_id, {_UNITS} AS units FROM documents)"""
 )
 def doc_reading_minutes(spark, folder):
-    docs = table(spark, folder, "documents", "doc_id", "text")
+    docs = _docs(spark, folder)
     return docs.select(
         "doc_id", tx.reading_units(F.col("text")).alias("units"), tx.reading_minutes(F.col("text")).alias("minutes")
     )
@@ -52,7 +56,7 @@ def doc_reading_minutes(spark, folder):
 )
 def doc_char_classes(spark, folder):
     text = F.col("text")
-    return table(spark, folder, "documents", "doc_id", "text").select(
+    return _docs(spark, folder).select(
         "doc_id", tx.latin_count(text).alias("latin"), tx.cjk_count(text).alias("cjk"), F.length(text).cast("long").alias("chars")
     )
 
@@ -74,14 +78,15 @@ def _doc_blocks():
 @query(_LEAK + "SELECT doc_id, leak_no::BIGINT AS leak_no, left(block, 180) AS block FROM leaks WHERE leak_no <= 5")
 def doc_language_leaks(spark, folder):
     """First five leaking blocks of each document, cut for the report."""
-    return audit.block_leaks(table(spark, folder, "documents", "doc_id", "text"), ["doc_id"], _doc_blocks())
+    return audit.block_leaks(_docs(spark, folder), ["doc_id"], _doc_blocks())
 
 
 @query(_LEAK + "SELECT doc_id, count(*)::BIGINT AS leaks FROM leaks GROUP BY doc_id")
 def doc_leak_counts(spark, folder):
-    leaks = F.filter(_doc_blocks(), lambda b: rx.is_leak(b))
-    rows = table(spark, folder, "documents", "doc_id", "text").select("doc_id", F.size(leaks).cast("long").alias("leaks"))
-    return rows.filter("leaks > 0")
+    """Leaking blocks per document.  Rows are counted after the explode, so the costly test
+    is not pushed below the spreading of the input and run twice."""
+    leaks = audit.block_leaks(_docs(spark, folder), ["doc_id"], _doc_blocks(), keep=None)
+    return leaks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("leaks"))
 
 
 _SENTENCES = (
@@ -107,7 +112,7 @@ _LOWER_HAS_MARKER = " OR ".join(f"contains(lower(bare), {q(m)})" for m in rx.CIT
 )
 def doc_sentence_leaks(spark, folder):
     """Every leaking sentence, citations and formulas allowed."""
-    docs = table(spark, folder, "documents", "doc_id", "text")
+    docs = _docs(spark, folder)
     return docs.select("doc_id", F.explode(rx.sentence_leaks(tx.squash(F.col("text")))).alias("block"))
 
 
@@ -137,7 +142,7 @@ def _first_hit(rules, source: str, key: str, text: str) -> str:
 @query(_first_hit(rx.SYMBOL_ARTIFACTS + JUNK, "documents", "doc_id", "text"))
 def doc_symbol_artifacts(spark, folder):
     """First matching rule per document."""
-    docs = table(spark, folder, "documents", "doc_id", "text")
+    docs = _docs(spark, folder)
     return audit.rule_hits(docs, ["doc_id"], F.col("text"), rx.SYMBOL_ARTIFACTS + JUNK, first_only=True)
 
 
@@ -147,7 +152,7 @@ _EVERY = rx.STRICT_SYMBOL_ARTIFACTS + rx.BAD_VISIBLE_TEXT + rx.MACHINE_PHRASES +
 @query(_all_hits(_EVERY, "documents", "doc_id", "text"))
 def doc_rule_hits(spark, folder):
     """Every matching rule per document, with its first match and its occurrences."""
-    docs = table(spark, folder, "documents", "doc_id", "text")
+    docs = _docs(spark, folder)
     return audit.rule_hits(docs, ["doc_id"], F.col("text"), _EVERY)
 
 
@@ -158,7 +163,7 @@ def doc_rule_hits(spark, folder):
 )
 def doc_line_clean(spark, folder):
     clean = tx.normalize_lines(F.col("text"))
-    docs = table(spark, folder, "documents", "doc_id", "text").select("doc_id", clean.alias("clean"))
+    docs = _docs(spark, folder).select("doc_id", clean.alias("clean"))
     return docs.select(
         "doc_id",
         (F.size(F.split("clean", "\n")) - 1).cast("long").alias("lines"),
@@ -172,7 +177,7 @@ def doc_line_clean(spark, folder):
        '/docs/' || doc_id || '?v=' || left(sha256(text), 12) AS asset FROM documents"""
 )
 def doc_content_hash(spark, folder):
-    docs = table(spark, folder, "documents", "doc_id", "text")
+    docs = _docs(spark, folder)
     content = F.encode("text", "UTF-8")
     path = F.concat(F.lit("/docs/"), F.col("doc_id").cast("string"))
     return docs.select(
@@ -185,7 +190,7 @@ def doc_content_hash(spark, folder):
 def doc_prefix_sample(spark, folder):
     """Compact extract: the fixed-length opening of each document is the report itself."""
     opening = F.substring("text", 1, 6500)
-    return table(spark, folder, "documents", "doc_id", "text").select(
+    return _docs(spark, folder).select(
         "doc_id", F.length(opening).cast("long").alias("chars"), F.md5(opening).alias("digest")
     )
 
@@ -196,7 +201,7 @@ _RULES = (("the", "THE"), ("THE ", "A "), ("ción", "tion"), ("tion", "SHUN"), (
 @query(f"SELECT doc_id, md5({sub(sub(replaces('text', _RULES), tx.SPACE + '+([，。！？；：、）》])', '\\1'), '([（《])' + tx.SPACE + '+', '\\1')}) AS digest FROM documents")
 def doc_ordered_replace(spark, folder):
     """Ordered glossary: later rules see what earlier ones wrote."""
-    docs = table(spark, folder, "documents", "doc_id", "text")
+    docs = _docs(spark, folder)
     return docs.select("doc_id", F.md5(tx.polish(F.col("text"), _RULES)).alias("digest"))
 
 
@@ -210,7 +215,7 @@ _NOTICE = ("licen", "version")
 )
 def doc_notice_pages(spark, folder):
     """Short documents made of a licence notice, under both rules for blank pages."""
-    docs = table(spark, folder, "documents", "doc_id", "text")
+    docs = _docs(spark, folder)
     return docs.select(
         "doc_id",
         titles.is_notice_page(F.col("text"), _NOTICE).alias("notice_kept"),
@@ -232,7 +237,7 @@ _SAMPLES = "flatten([" + ", ".join(found("text", rx.sample_pattern(w)) for w in
 )
 def doc_suspicious_samples(spark, folder):
     """Context windows around suspicious patterns, at most forty per document."""
-    docs = table(spark, folder, "documents", "doc_id", "text")
+    docs = _docs(spark, folder)
     rows = docs.select("doc_id", F.posexplode(rx.suspicious_samples(F.col("text"), _WINDOWS)).alias("p", "sample"))
     return rows.select("doc_id", (F.col("p") + 1).cast("long").alias("sample_no"), "sample")
 
@@ -240,14 +245,14 @@ def doc_suspicious_samples(spark, folder):
 @query()
 def doc_markdown(spark, folder):
     """Documents rendered as Markdown."""
-    docs = table(spark, folder, "documents", "doc_id", "text")
+    docs = _docs(spark, folder)
     return docs.select("doc_id", md.render(F.col("text")).alias("html"))
 
 
 @query("SELECT doc_id, md5(text) AS digest FROM documents")
 def doc_protect_restore(spark, folder):
     """Protecting formulas, code and addresses and putting them back changes nothing."""
-    docs = table(spark, folder, "documents", "doc_id", "text").withColumn("kept", cx.protect_spans(F.col("text")))
+    docs = _docs(spark, folder).withColumn("kept", cx.protect_spans(F.col("text")))
     return docs.select("doc_id", F.md5(cx.restore_spans(F.col("kept")["text"], F.col("kept")["stash"])).alias("digest"))
 
 
@@ -264,7 +269,7 @@ _PARA = f"""'<p>' || {replaces(f"array_to_string(list_filter(list_transform({tex
 )
 def doc_paragraphs(spark, folder):
     """Paragraph markup of the documents that hold no dash list."""
-    docs = table(spark, folder, "documents", "doc_id", "text")
+    docs = _docs(spark, folder)
     listed = F.exists(F.split(tx.strip(F.col("text")), rf"\n{tx.SPACE}*\n"), lambda c: tx.strip(c).startswith("- "))
     return docs.filter(~listed).select("doc_id", F.md5(hx.paragraphs(F.col("text"))).alias("digest"))
 
@@ -387,7 +392,7 @@ _FRAGMENT = """'<p>Note<a href="#fn' || l_linenumber || '" id="fnref' || l_linen
 )
 def lineitem_footnotes(spark, folder):
     """Page-qualified footnotes and approved images in fragments built from the lines."""
-    lines = table(spark, folder, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    lines = table(spark, folder, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", spread="l_orderkey")
     number = F.col("l_linenumber").cast("string")
     fragment = F.concat(
         F.lit('<p>Note<a href="#fn'), number, F.lit('" id="fnref'), number, F.lit('">'), number,
@@ -424,7 +429,7 @@ _ANSWER = """CASE event_id % 4 WHEN 0 THEN '{"units": [{"id": "' || event_id ||
 @query("SELECT event_id, event_id::VARCHAR AS id, event_type AS tr FROM events WHERE event_id % 4 < 3")
 def event_answers(spark, folder):
     """Model answers in every accepted shape, fenced, built from events; broken ones drop out."""
-    events = table(spark, folder, "events", "event_id", "event_type")
+    events = table(spark, folder, "events", "event_id", "event_type", spread="event_id")
     pair = F.concat(F.lit('{"id": "'), F.col("event_id").cast("string"), F.lit('", "tr": " '), "event_type", F.lit(' "}'))
     shape = F.col("event_id") % 4
     answer = (

@@ -223,8 +223,7 @@ def paragraphs(text: Column) -> Column:
         F.transform(F.split(tx.strip(text), rf"\n{tx.SPACE}*\n"), tx.strip), lambda c: c != ""
     )
 
-    def render(chunk: Column) -> Column:
-        rows = F.filter(F.transform(tx.lines(chunk), tx.strip), lambda r: r != "")
+    def markup(rows: Column) -> Column:
         items = F.transform(
             rows,
             lambda r: F.concat(F.lit("<li>"), tx.escape_html(tx.strip(F.substr(r, F.lit(3)))), F.lit("</li>")),
@@ -233,4 +232,7 @@ def paragraphs(text: Column) -> Column:
         plain = F.concat(F.lit("<p>"), tx.escape_html(F.array_join(rows, " ")), F.lit("</p>"))
         return F.when(F.forall(rows, lambda r: r.startswith("- ")), listed).otherwise(plain)
 
+    def render(chunk: Column) -> Column:
+        return tx.bind(F.filter(F.transform(tx.lines(chunk), tx.strip), lambda r: r != ""), markup)
+
     return F.array_join(F.transform(chunks, render), "\n")

@@ -4,7 +4,7 @@ checked against SQL, and spell out white space instead of relying on an engine's
 from __future__ import annotations
 
 import html
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 import pandas as pd
@@ -17,6 +17,12 @@ from pyspark.sql import types as T
 BLANK_CHARS = r"\t\r\f\x{b}\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 BLANK = f"[{BLANK_CHARS}]"
 SPACE = rf"[\n{BLANK_CHARS}]"
+# The same white space as plain characters, and without the blank, for the fast paths below.
+SPACE_CHARS = (
+    "\n\t\r\f\x0b\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+OTHER_SPACE = f"[\\n{BLANK_CHARS.replace(' ', '')}]"
 LINE_BREAK = r"\r\n|[\r\x{b}\x{c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
 CJK = r"[\x{4e00}-\x{9fff}]"
 LATIN = "[A-Za-z]"
@@ -45,6 +51,12 @@ TYPOGRAPHY = (("\u2013", "-"), ("\u2014", "-"), ("\u2212", "-"), ("\ufb01", "fi"
 # ----------------------------------------------------------------------------------
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, also where it is used several times
+    inside a higher-order function, which shares no subexpressions by itself."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def replace_all(text: Column, rules: Iterable[tuple[str, str]]) -> Column:
     """Literal replacements in order: a later rule sees the output of an earlier one."""
     return reduce(lambda value, rule: F.replace(value, F.lit(rule[0]), F.lit(rule[1])), rules, text)
@@ -60,13 +72,14 @@ def count_matches(text: Column, pattern: str) -> Column:
 
 
 def squash(text: Column) -> Column:
-    """Collapse white space to single blanks and trim."""
-    return F.trim(F.regexp_replace(text, f"{SPACE}+", " "))
+    """Collapse white space to single blanks and trim.  A lone blank is already right, so
+    only other runs are matched."""
+    return F.trim(F.regexp_replace(text, f" {SPACE}+|{OTHER_SPACE}{SPACE}*", " "))
 
 
 def strip(text: Column) -> Column:
     """Trim white space of any kind from both ends."""
-    return F.regexp_replace(text, rf"\A{SPACE}+|{SPACE}+\z", "")
+    return F.trim(text, F.lit(SPACE_CHARS))
 
 
 def decode_entities(text: Column) -> Column:
@@ -100,8 +113,7 @@ def clean_text(text: Column, typography: bool = False, decode=decode_entities) -
 def lines(text: Column) -> Column:
     """Array of lines without their breaks; no empty line after a final break."""
     plain = F.regexp_replace(text, LINE_BREAK, "\n")
-    parts = F.split(plain, "\n")
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    return F.split(F.regexp_replace(plain, r"\n\z", ""), "\n")
 
 
 def normalize_lines(text: Column) -> Column:
@@ -114,15 +126,15 @@ def slugify(text: Column, default: str = "post", drop_date: bool = True) -> Colu
     value = strip(F.lower(text))
     if drop_date:
         value = F.regexp_replace(value, LEADING_DATE, "")
-    value = F.regexp_replace(F.regexp_replace(value, SLUG_GAP, "-"), "^-|-$", "")
-    return F.coalesce(F.nullif(value, F.lit("")), F.lit(default))
+    value = F.trim(F.regexp_replace(value, SLUG_GAP, "-"), F.lit("-"))
+    return F.regexp_replace(value, r"\A\z", default)
 
 
 def slugify_words(text: Column, typography: bool = True) -> Column:
     """ASCII slug of a title."""
     value = F.lower(clean_text(text, typography))
-    value = F.regexp_replace(F.regexp_replace(value, "[^a-z0-9]+", "-"), "^-|-$", "")
-    return F.coalesce(F.nullif(value, F.lit("")), F.lit("section"))
+    value = F.trim(F.regexp_replace(value, "[^a-z0-9]+", "-"), F.lit("-"))
+    return F.regexp_replace(value, r"\A\z", "section")
 
 
 def reading_units(text: Column) -> Column:
@@ -134,12 +146,18 @@ def reading_minutes(text: Column) -> Column:
     return F.greatest(F.lit(1), F.bround(reading_units(text) / F.lit(float(UNITS_PER_MINUTE)))).cast("long")
 
 
+def count_chars(text: Column, char_class: str) -> Column:
+    """Characters of a class: what the text loses when whole runs of them are removed, which
+    is cheaper than matching them one by one."""
+    return (F.length(text) - F.length(F.regexp_replace(text, f"{char_class}+", ""))).cast("long")
+
+
 def latin_count(text: Column) -> Column:
-    return count_matches(text, LATIN)
+    return count_chars(text, LATIN)
 
 
 def cjk_count(text: Column) -> Column:
-    return count_matches(text, CJK)
+    return count_chars(text, CJK)
 
 
 def without_urls(text: Column) -> Column:

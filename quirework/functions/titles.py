@@ -180,6 +180,9 @@ def drop_running_headers(text: Column) -> Column:
 
 def is_notice_page(text: Column, markers, limit: int = 900, empty: bool = False) -> Column:
     """A page with nothing but the publisher's notice; ``empty`` says what a blank page is."""
-    clean = tx.clean_text(text)
-    notice = (F.length(clean) <= limit) & tx.contains_all(F.lower(clean), markers)
-    return F.when(clean == "", F.lit(empty)).otherwise(notice)
+    return tx.bind(
+        tx.clean_text(text),
+        lambda clean: F.when(clean == "", F.lit(empty)).otherwise(
+            (F.length(clean) <= limit) & tx.contains_all(F.lower(clean), markers)
+        ),
+    )

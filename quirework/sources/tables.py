@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
-    """A table with only the columns asked for, so the scan reads no others."""
+def table(spark: SparkSession, folder: str, name: str, *columns: str, spread: str | None = None) -> DataFrame:
+    """A table with only the columns asked for, so the scan reads no others.
+
+    ``spread`` names a key for inputs with much work per row: a table whose files give
+    fewer tasks than there are cores is hashed on it once.  A large table has more tasks
+    than cores and is left alone.
+    """
     df = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores, spread)
+    return df
