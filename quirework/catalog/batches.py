@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quirework.catalog.registry import query
 from quirework.operators import batches
 from quirework.plans.ordered import id_bucket
+from quirework.session import materialize
 from quirework.sources.tables import table
 
 
@@ -20,7 +21,8 @@ from quirework.sources.tables import table
 def greedy_chunks(spark, folder):
     """Size-bounded packing of each source's documents in order."""
     docs = table(spark, folder, "documents", "source", "doc_id", "text")
-    sized = docs.select("source", "doc_id", F.length("text").cast("long").alias("chars"))
+    # The lengths are written once; the passes of the packing then never touch the text.
+    sized = materialize(docs.select("source", "doc_id", F.length("text").cast("long").alias("chars")))
     return batches.pack(sized, ["source"], id_bucket("doc_id"), ["doc_id"], F.col("chars")).select("source", "doc_id", "chunk")
 
 

@@ -11,6 +11,7 @@ from quirework.functions import rules as rx
 from quirework.functions import text as tx
 from quirework.operators import audit, corpus, units
 from quirework.plans.ordered import GroupMax, RowNumber, id_bucket, ordered_scan
+from quirework.session import materialize
 from quirework.sources.tables import table
 
 
@@ -34,7 +35,7 @@ def doc_exact_dedup(spark, folder):
 )
 def doc_copies(spark, folder):
     """Every document with the copy that is kept; all placements stay."""
-    docs = _docs(spark, folder, "doc_id", "text").select("doc_id", F.md5("text").alias("digest"))
+    docs = materialize(_docs(spark, folder, "doc_id", "text").select("doc_id", F.md5("text").alias("digest")))
     numbered = ordered_scan(
         docs, ["digest"], id_bucket("doc_id"), ["doc_id"], RowNumber("copy_no"), GroupMax("__kept", -F.col("doc_id"))
     )

@@ -8,6 +8,7 @@ from quirework.catalog.registry import query
 from quirework.operators import layout
 from quirework.plans.anchored import anchored_runs
 from quirework.plans.ordered import id_bucket, micros, time_bucket
+from quirework.session import materialize
 from quirework.sources.tables import table
 
 MINUTE = 60_000_000
@@ -90,7 +91,10 @@ def _boxes(spark, folder):
         (F.lit(40.0) + F.col("l_quantity") * 4 + F.col("l_linenumber") * 15).alias("x1"),
         (F.lit(10.0) + F.col("l_linenumber") * 6).alias("h"),
     )
-    return boxes.groupBy("page", "id", "cap").agg(F.max("top").alias("top"), F.max("x0").alias("x0"), F.max("x1").alias("x1"), F.max("h").alias("h"))
+    one = boxes.groupBy("page", "id", "cap").agg(
+        F.max("top").alias("top"), F.max("x0").alias("x0"), F.max("x1").alias("x1"), F.max("h").alias("h")
+    )
+    return materialize(one)
 
 
 @query(

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from quirework.functions import text as tx
 from quirework.plans.anchored import anchored_runs
 from quirework.plans.ordered import RowNumber, RunningSum, ordered_scan
+from quirework.session import materialize
 
 # --- fixed values -----------------------------------------------------------------
 PACK_CHARS = 14_000
@@ -128,12 +129,13 @@ def cascade(units: DataFrame, unit_id: str, stages: Sequence[tuple[str, Callable
     """Run stages in turn, each on what the earlier ones left unanswered.
 
     A stage maps units to (unit_id, answer, error).  The result has one row per unit with
-    the stage that answered it, or the last error.  Materialise a stage that calls a paid
-    service (``session.cut_lineage``) so that a lost executor does not call it again.
+    the stage that answered it, or the last error.  Each stage's answers are written once:
+    both the result and the next stage read them, and neither they nor a lost executor may
+    ask the service again.
     """
     pending, done = units, None
     for number, (label, stage) in enumerate(stages, 1):
-        result = stage(pending).select(unit_id, "answer", "error").withColumn("stage", F.lit(label))
+        result = materialize(stage(pending).select(unit_id, "answer", "error")).withColumn("stage", F.lit(label))
         answered = F.coalesce(F.col("answer"), F.lit("")) != ""
         kept = result if number == len(stages) else result.filter(answered)
         done = kept if done is None else done.unionByName(kept)

@@ -13,6 +13,7 @@ from quirework.functions import text as tx
 from quirework.functions import titles
 from quirework.plans.anchored import anchored_runs
 from quirework.plans.ordered import LastKnown, MaxBefore, Previous, RowNumber, RunningSum, id_bucket, ordered_scan
+from quirework.session import materialize
 
 # --- fixed values (points; origin at the top of the page) ----------------------------
 LINE_TOLERANCE = 3.0
@@ -60,7 +61,8 @@ def islands(
     """Number the clusters of overlapping or near intervals: a row opens a new one when it
     starts more than ``gap`` after everything before it has ended."""
     marked = rows.withColumn("__start", start).withColumn("__end", end)
-    reach = ordered_scan(marked, keys, bucket, order, MaxBefore("__reach", F.col("__end")))
+    # Two scans in a row: the first is written, else the second would run it twice.
+    reach = materialize(ordered_scan(marked, keys, bucket, order, MaxBefore("__reach", F.col("__end"))))
     opens = F.when(F.col("__start") <= F.col("__reach") + gap, F.lit(0)).otherwise(F.lit(1))
     numbered = ordered_scan(reach.withColumn("__opens", opens), keys, bucket, order, RunningSum(name, F.col("__opens").cast("long")))
     return numbered.select(*rows.columns, name)
@@ -239,7 +241,7 @@ def caption_blocks(lines: DataFrame, page: Sequence[str], line: str = "line_no")
         | (F.col("top") > 620)
     )
     runs = ordered_scan(
-        above.withColumn("__stop", F.coalesce(stop, F.lit(True)).cast("long")), page, place, [line], RunningSum("__run", F.col("__stop"))
+        materialize(above).withColumn("__stop", F.coalesce(stop, F.lit(True)).cast("long")), page, place, [line], RunningSum("__run", F.col("__stop"))
     )
     seeds = runs.filter((heads | inline) & (F.col("top") >= 100)).select(*page, "__run", F.col(line).alias("caption_line"), number.alias("number"))
     grown = seeds.join(runs.select(*page, "__run", line, "top", "bottom", "text"), [*page, "__run"]).filter(F.col(line) >= F.col("caption_line"))
@@ -268,11 +270,12 @@ def crop_boxes(
     bounded = ordered_scan(
         ordered, page, F.floor(F.col("__top") / (200 * SCALE)).cast("long"), ["__top", "caption_id"], MaxBefore("__prev", F.col("bottom"))
     ).withColumn("previous", F.coalesce("__prev", F.lit(0.0))).drop("__prev", "__top")
+    bounded = materialize(bounded)
     visible = objects.filter((F.col("x1") - F.col("x0") >= 1) | (F.col("bottom") - F.col("top") >= 1))
     near = assign_to_caption(visible, bounded, page, "object_id", "caption_id", 4.0).filter(
         F.col("top") >= F.greatest(F.lit(110.0), F.col("cap_previous") + 2)
     )
-    clusters = cluster_objects(near.withColumnRenamed("cap_caption_id", "caption_id"), [*page, "caption_id"], "object_id")
+    clusters = cluster_objects(materialize(near).withColumnRenamed("cap_caption_id", "caption_id"), [*page, "caption_id"], "object_id")
     useful = clusters.filter((F.col("x1") - F.col("x0") >= 80) & (F.col("bottom") - F.col("top") >= 30) & (F.col("objects") >= 2))
     chosen = useful.groupBy(*page, "caption_id").agg(
         F.max_by(F.struct("x0", "top", "x1", "bottom"), F.struct("bottom", -F.col("cluster_no"))).alias("box")

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from quirework.functions import text as tx
 from quirework.functions import titles
 from quirework.plans.ordered import Following, GroupLast, LastKnown, RowNumber, RunningSum, id_bucket, ordered_scan
-from quirework.session import cut_lineage
+from quirework.session import cut_lineage, materialize
 
 
 def unit_intervals(
@@ -252,7 +252,7 @@ def unique_slugs(rows: DataFrame, keys: Sequence[str], base: str, seq: str, buck
     suffixed name are settled together, on one pre-aggregated row per distinct base.
     """
     keys = list(keys)
-    ranked = ordered_scan(rows, [*keys, base], bucket, [seq], RowNumber("__nth"))
+    ranked = materialize(ordered_scan(rows, [*keys, base], bucket, [seq], RowNumber("__nth")))
     bases = ranked.groupBy(*keys, base).agg(F.count(F.lit(1)).alias("__count"), F.min(seq).alias("__first"))
     # A base such as "x-2" is a child of the base "x".
     child = bases.withColumn("__parent", F.regexp_replace(base, r"-[0-9]+\z", "")).withColumn(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,10 +28,13 @@ def build_session(app_name: str = "quirework", master: str | None = None, **extr
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only where none is set (tests)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    return os.path.join(tempfile.gettempdir(), f"quirework-{spark.sparkContext.applicationId}")
+    context = spark.sparkContext
+    configured = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or context.getConf().get("spark.checkpoint.dir")
+        or context.getCheckpointDir()
+    )
+    return configured or os.path.join(tempfile.gettempdir(), f"quirework-{context.applicationId}")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -40,3 +44,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(checkpoint_dir(spark))
     return df.checkpoint()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write an intermediate table once, in the shared folder, and read it back.
+
+    For results that several branches need and that are dear to recompute: narrow values
+    derived from wide text, chains of ordered scans, answers of a paid service.  Unlike a
+    cache it survives lost executors, and unlike a checkpoint it keeps column pruning.
+    """
+    spark = df.sparkSession
+    folder = f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
