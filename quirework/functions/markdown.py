@@ -21,7 +21,7 @@ def unquote(value: Column) -> Column:
 def front_matter(raw: Column) -> Column:
     """Map of the raw front-matter values; comment and blank lines ignored, last key wins."""
     rows = F.filter(
-        tx.lines(F.element_at(F.split(raw, FRONT_MARK, 3), 2)),
+        tx.lines(F.coalesce(F.get(F.split(raw, FRONT_MARK, 3), F.lit(1)), F.lit(""))),
         lambda r: (tx.strip(r) != "") & ~tx.strip(r).startswith("#"),
     )
     pairs = F.transform(
@@ -39,7 +39,7 @@ def front_matter(raw: Column) -> Column:
 
 
 def body(raw: Column) -> Column:
-    return tx.strip(F.element_at(F.split(raw, FRONT_MARK, 3), 3))
+    return tx.strip(F.coalesce(F.get(F.split(raw, FRONT_MARK, 3), F.lit(2)), F.lit("")))
 
 
 def is_list_value(value: Column, commas: bool) -> Column:

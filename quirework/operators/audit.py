@@ -116,7 +116,7 @@ def unnumbered_sections(html: Column) -> Column:
 
 def header_artifacts(html: Column) -> Column:
     """Headings and paragraphs that are left-over running headers."""
-    texts = F.transform(hx.elements(html, (*hx.HEADING_TAGS, "p")), hx.node_text)
+    texts = F.transform(hx.elements(html, (*hx.HEADING_TAGS, "p")), lambda e: hx.node_text(e))
     return F.filter(texts, lambda t: rx.full_match(t, rx.RUNNING_HEADERS))
 
 

@@ -20,10 +20,10 @@ def whole_files(spark: SparkSession, folder: str, pattern: str, recursive: bool
     where = jvm.org.apache.hadoop.fs.Path(folder)
     if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
         return spark.createDataFrame([], schema)
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", pattern)
+    reader = spark.read.option("pathGlobFilter", pattern)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
-    return reader.text(folder).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"))
+    return reader.text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"))
 
 
 def html_tree(spark: SparkSession, folder: str) -> DataFrame:
@@ -129,3 +129,89 @@ def toc_pages(toc: DataFrame, html: str, own_hosts: list[str], allowed: Callable
     )
     kept = rows.filter(F.col("path").isNotNull() & (F.col("title") != "") & allowed(F.col("path")))
     return kept.groupBy("path").agg(F.min("pos").alias("pos"), F.min_by("title", "pos").alias("title"))
+
+
+def layout_blocks(docs: DataFrame) -> DataFrame:
+    """Text blocks of nested layout documents (path, pages): (path, page, pos, type, text,
+    size, x0, y0, x1, y1)."""
+    pages = docs.select("path", F.explode("pages").alias("p"))
+    blocks = pages.select("path", F.col("p.page").alias("page"), F.posexplode("p.blocks").alias("pos", "b"))
+    box = [F.coalesce(F.get("b.bbox", F.lit(i)), F.lit(0.0)).alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))]
+    return blocks.select("path", "page", "pos", "b.type", "b.text", "b.size", *box)
+
+
+def layout_drawings(docs: DataFrame) -> DataFrame:
+    """Drawings of nested layout documents: (path, page, drawing_id, x0, top, x1, bottom)."""
+    pages = docs.select("path", F.explode("pages").alias("p"))
+    found = pages.select("path", F.col("p.page").alias("page"), F.posexplode("p.drawings").alias("drawing_id", "d"))
+    box = [F.get("d.bbox", F.lit(i)).alias(n) for i, n in enumerate(("x0", "top", "x1", "bottom"))]
+    return found.select("path", "page", "drawing_id", *box)
+
+
+def harvest_titles(docs: DataFrame, document: str, max_depth: int = 16) -> DataFrame:
+    """(path, title_en, title_zh) pairs found anywhere in JSON documents: objects with both
+    titles, and keys in Latin script whose value is a text in Chinese script.  One level of
+    nesting per round."""
+    spark = docs.sparkSession
+    level = docs.select("path", F.try_parse_json(document).alias("v")).filter("v IS NOT NULL")
+    english, chinese = F.lit("[A-Za-z]"), F.lit(tx.CJK)
+    found = None
+
+    def text(column: str, name: str):
+        return F.try_variant_get(column, f"$['{name}']", "string")
+
+    for _ in range(max_depth):
+        pairs = [(text("v", "title_en"), F.coalesce(text("v", "title_zh"), text("v", "zh"))), (text("v", "English"), F.coalesce(text("v", "Chinese"), text("v", "简体中文")))]
+        both = level.select("path", F.explode(F.array(*[F.struct(a.alias("title_en"), b.alias("title_zh")) for a, b in pairs])).alias("t"))
+        named = both.select("path", "t.title_en", "t.title_zh").filter("title_en IS NOT NULL AND title_zh IS NOT NULL")
+        level = level.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select("path", "key", F.col("value").alias("v"))
+        leaf = level.select("path", F.col("key").alias("title_en"), F.try_variant_get("v", "$", "string").alias("title_zh"), F.schema_of_variant("v").alias("kind"))
+        leaf = leaf.filter((F.col("kind") == "STRING") & F.regexp("title_en", english) & F.regexp("title_zh", chinese)).drop("kind")
+        found = named.unionByName(leaf) if found is None else found.unionByName(named).unionByName(leaf)
+        level = level.select("path", "v").filter(F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)"))
+        if level.isEmpty():
+            break
+    clean = found.select("path", tx.clean_text(F.col("title_en")).alias("title_en"), tx.clean_text(F.col("title_zh")).alias("title_zh"))
+    return clean.distinct()
+
+
+def heading_titles(pages: DataFrame, html: str, order: str) -> DataFrame:
+    """(id, title) of translated section headings; the first page that has an id wins."""
+    from quirework.functions import html as hx
+    from quirework.functions import rules as rx
+
+    rows = pages.select(order, F.posexplode(hx.headings(F.col(html))).alias("pos", "h")).select(
+        order, "pos", F.col("h")["id"].alias("id"), F.col("h")["text"].alias("title")
+    )
+    named = F.col("id").startswith("section-") | F.col("id").startswith("references")
+    kept = rows.filter(named & F.col("title").rlike(tx.CJK) & ~rx.is_rendered_header(F.col("title")))
+    return kept.groupBy("id").agg(F.min_by("title", F.struct(order, "pos")).alias("title"))
+
+
+def rewrite_links(pages: DataFrame, mapping: DataFrame, key: str, html: str, own_hosts: list[str]) -> DataFrame:
+    """Pages with same-site links replaced by local addresses (mapping: path, local_path).
+
+    Links become rows, meet the mapping in one equality join, and are put back in place;
+    fragments stay, unknown and foreign links are left alone."""
+    from quirework.functions import fragments as fr
+    from quirework.functions import paths as px
+
+    pattern = r"(?is)(?<=href=[\"'])[^\"'#][^\"']*(?=[\"'])"
+    found = pages.select(key, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(0))).alias("pos", "href"))
+    target = found.withColumn("path", px.normalize_path(F.col("href"), own_hosts))
+    mark = px.fragment(F.col("href"))
+    local = F.concat("local_path", F.when(mark != "", F.concat(F.lit("#"), mark)).otherwise(F.lit("")))
+    joined = target.join(mapping.select("path", "local_path"), "path", "left").withColumn("new", F.coalesce(local, F.col("href")))
+    packed = joined.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "new"))), lambda s: s["new"]).alias("__new"))
+    stitched = fr.stitch(F.split(F.col(html), pattern), F.col("__new"))
+    return pages.join(packed, key, "left").withColumn(html, F.coalesce(stitched, F.col(html))).drop("__new")
+
+
+def guide_sample(units: DataFrame, page: str, src: str, order: list[str], count: int = 700, chars: int = 90_000) -> DataFrame:
+    """Opening sample of a book for its guide: the first units, cut to a fixed length."""
+    from quirework.operators.corpus import newest
+
+    first = newest(units.select(page, src, *[c for c in order if c not in (page, src)]), count, [F.asc(c) for c in order])
+    entry = F.concat(F.lit("[p"), F.col(page).cast("string"), F.lit("] "), F.col(src))
+    packed = F.sort_array(F.collect_list(F.struct("rank", entry.alias("e"))))
+    return first.agg(F.substring(F.array_join(F.transform(packed, lambda s: s["e"]), "\n\n"), 1, chars).alias("sample"))
