@@ -244,9 +244,11 @@ def order_captions(spark, folder):
 
 
 @query(
-    """WITH c AS (SELECT l_orderkey, string_agg(l_linenumber || ':' || l_partkey, ',' ORDER BY l_linenumber, l_partkey) AS captions FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_returnflag = 'R') GROUP BY 1),
-    i AS (SELECT l_orderkey, string_agg(l_linenumber || ':' || l_suppkey, ',' ORDER BY l_linenumber, l_suppkey) AS images FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey FROM lineitem WHERE l_returnflag = 'A') GROUP BY 1)
-    SELECT o_orderkey, captions, images FROM orders LEFT JOIN c ON c.l_orderkey = o_orderkey LEFT JOIN i ON i.l_orderkey = o_orderkey"""
+    """WITH c AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey AS v, 'captions' AS part FROM lineitem WHERE l_returnflag = 'R'
+      UNION ALL SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey, 'images' FROM lineitem WHERE l_returnflag = 'A')
+    SELECT o_orderkey, 'page' AS part, 0::BIGINT AS position, NULL::VARCHAR AS value FROM orders
+    UNION ALL SELECT l_orderkey, part, row_number() OVER (PARTITION BY l_orderkey, part ORDER BY l_linenumber, v), l_linenumber || ':' || v
+      FROM c WHERE l_orderkey IN (SELECT o_orderkey FROM orders)"""
 )
 def page_payload(spark, folder):
     """Orders as pages with their returned lines as captions and accepted ones as images."""
@@ -255,16 +257,13 @@ def page_payload(spark, folder):
 
     def part(flag, key):
         rows = lines.filter(F.col("l_returnflag") == flag).select("o_orderkey", "l_linenumber", F.col(key).alias("v")).distinct()
-        return rows, "l_linenumber", ["v"]
+        return rows, F.concat_ws(":", F.col("l_linenumber").cast("string"), F.col("v").cast("string"))
 
-    payload = units.page_payload(
-        table(spark, folder, "orders", "o_orderkey"), "o_orderkey", {"captions": part("R", "l_partkey"), "images": part("A", "l_suppkey")}
+    return units.page_payload(
+        table(spark, folder, "orders", "o_orderkey"), "o_orderkey",
+        {"captions": part("R", "l_partkey"), "images": part("A", "l_suppkey")},
+        F.struct("l_linenumber", F.floor(F.col("v") / 100_000)), ["l_linenumber", "v"],
     )
-    shown = lambda c: F.when(
-        F.col(c).isNotNull(),
-        F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["l_linenumber"].cast("string"), s["v"].cast("string"))), ","),
-    ).alias(c)
-    return payload.select("o_orderkey", shown("captions"), shown("images"))
 
 
 @query(

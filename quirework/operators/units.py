@@ -348,14 +348,24 @@ def find_captions(
     )
 
 
-def page_payload(pages: DataFrame, key: str, parts: dict[str, tuple[DataFrame, str, Sequence[str]]]) -> DataFrame:
-    """Pages with one ordered array per part (captions, images, sections): each part is
-    grouped first and joined once, so parts never multiply each other."""
-    result = pages
-    for name, (rows, order, columns) in parts.items():
-        packed = F.sort_array(F.collect_list(F.struct(order, *[c for c in columns if c != order])))
-        result = result.join(rows.groupBy(key).agg(packed.alias(name)), key, "left")
-    return result
+def page_payload(
+    pages: DataFrame, key: str, parts: dict[str, tuple[DataFrame, Column]], bucket: Column, order: Sequence[str]
+) -> DataFrame:
+    """What belongs to a page, as rows (key, part, position, value): the page itself at
+    position 0, then each part (captions, images, sections) numbered in its order.
+
+    Parts are stacked, not joined, so they never multiply each other, and a page with very
+    many items is numbered in pieces instead of being packed into one array.  ``parts`` maps
+    a name to its rows and the text value of a row.
+    """
+    stacked = None
+    for name, (rows, value) in parts.items():
+        one = rows.select(key, *order, F.lit(name).alias("part"), value.alias("value"))
+        stacked = one if stacked is None else stacked.unionByName(one)
+    inner = stacked.join(pages.select(key), key, "left_semi")
+    numbered = ordered_scan(inner, [key, "part"], bucket, [*order, "value"], RowNumber("position"))
+    own = pages.select(key, F.lit("page").alias("part"), F.lit(0).cast("long").alias("position"), F.lit(None).cast("string").alias("value"))
+    return own.unionByName(numbered.select(key, "part", "position", "value"))
 
 
 def source_text(pages: DataFrame, unit: Sequence[str], page: str, text: str) -> DataFrame:
