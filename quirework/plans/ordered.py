@@ -23,9 +23,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _stretch(value: Column, width: int) -> Column:
+    """Start of the stretch of ``width`` a whole number falls in; exact for any 64-bit value."""
+    return value - F.pmod(value, F.lit(width).cast("long"))
+
+
 def id_bucket(column: str | Column, width: int = 100_000) -> Column:
     """Bucket of a whole-number ordering column; ``width`` bounds the rows per unique-id bucket."""
-    return F.floor((F.col(column) if isinstance(column, str) else column) / F.lit(width)).cast("long")
+    return _stretch((F.col(column) if isinstance(column, str) else column).cast("long"), width)
 
 
 def micros(column: str | Column) -> Column:
@@ -35,7 +40,7 @@ def micros(column: str | Column) -> Column:
 
 
 def time_bucket(column: str | Column, seconds: int = 86_400) -> Column:
-    return F.floor(micros(column) / F.lit(seconds * 1_000_000)).cast("long")
+    return _stretch(micros(column), seconds * 1_000_000)
 
 
 @dataclass(frozen=True)
@@ -98,7 +103,8 @@ class OrderedScan:
         whole = Window.partitionBy(*self.keys).orderBy(self.bucket).rowsBetween(
             Window.unboundedPreceding, Window.unboundedFollowing
         )
-        rank = F.struct(*self.order)
+        # A single ordering column keeps the summary in a hash aggregate.
+        rank = F.col(self.order[0]) if len(self.order) == 1 else F.struct(*self.order)
 
         local, summary, carry, final = {}, {}, {}, {}
         for step in steps:
@@ -124,16 +130,13 @@ class OrderedScan:
                 summary[total] = F.max_by(step.expr, F.when(step.expr.isNotNull(), rank))
                 carry[moved] = F.last(total, ignorenulls=True).over(earlier)
                 final[name] = F.coalesce(here, moved)
-            elif kind is Previous:
-                local[here] = F.lag(F.struct(step.expr.alias("v"))).over(inside)
-                summary[total] = F.max_by(F.struct(step.expr.alias("v")), rank)
-                carry[moved] = F.lag(total).over(across)
-                final[name] = F.when(F.col(here).isNotNull(), F.col(here)["v"]).otherwise(F.col(moved)["v"])
-            elif kind is Following:
-                local[here] = F.lead(F.struct(step.expr.alias("v"))).over(inside)
-                summary[total] = F.min_by(F.struct(step.expr.alias("v")), rank)
-                carry[moved] = F.lead(total).over(across)
-                final[name] = F.when(F.col(here).isNotNull(), F.col(here)["v"]).otherwise(F.col(moved)["v"])
+            elif kind in (Previous, Following):
+                beside, edge = (F.lag, F.max_by) if kind is Previous else (F.lead, F.min_by)
+                local[here] = beside(step.expr).over(inside)
+                local[f"__has_{name}"] = beside(F.lit(True)).over(inside)
+                summary[total] = edge(step.expr, rank)
+                carry[moved] = beside(total).over(across)
+                final[name] = F.when(F.col(f"__has_{name}"), F.col(here)).otherwise(F.col(moved))
             elif kind is GroupSum:
                 summary[total] = F.sum(step.expr)
                 carry[moved] = F.sum(total).over(whole)
