@@ -214,3 +214,25 @@ def page_attributes(spark, folder):
         shown.contains(" the ").alias("has_the"),
         tx.count_matches(F.col("html"), "(?i)<li>").alias("items"),
     )
+
+
+@query(
+    f"""WITH m AS (SELECT DISTINCT '/' || lower(n_name) AS path FROM nation UNION SELECT DISTINCT '/' || lower(split_part(p_name, ' ', 1)) FROM part
+      UNION SELECT '/the' UNION SELECT '/la' UNION SELECT '/der'),
+    p AS (SELECT page_id, string_split(html, 'href="') AS parts FROM pages),
+    u AS (SELECT page_id, generate_subscripts(parts, 1) AS n, unnest(parts) AS part FROM p),
+    r AS (SELECT page_id, n, CASE WHEN n = 1 THEN part WHEN m.path IS NOT NULL THEN 'href="/local' || m.path || '/' || substr(part, strpos(part, '"'))
+      ELSE 'href="' || part END AS piece FROM u LEFT JOIN m ON n > 1 AND m.path = split_part(part, '"', 1))
+    SELECT page_id, md5(string_agg(piece, '' ORDER BY n)) AS digest FROM r GROUP BY page_id"""
+)
+def page_rewrite_links(spark, folder):
+    """Pages with the links to known paths replaced by local addresses."""
+    from quirework.sources.corpus import rewrite_links
+
+    pages = table(spark, folder, "pages", "page_id", "html", spread="page_id")
+    names = table(spark, folder, "nation", "n_name").select(F.lower("n_name").alias("w")).unionByName(
+        table(spark, folder, "part", "p_name").select(F.lower(F.split_part("p_name", F.lit(" "), F.lit(1))).alias("w"))
+    )
+    extra = names.select(F.explode(F.array(F.col("w"), F.lit("the"), F.lit("la"), F.lit("der"))).alias("w")).distinct()
+    mapping = extra.select(F.concat(F.lit("/"), "w").alias("path"), F.concat(F.lit("/local/"), "w", F.lit("/")).alias("local_path"))
+    return rewrite_links(pages, mapping, "page_id", "html", []).select("page_id", F.md5("html").alias("digest"))

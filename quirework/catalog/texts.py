@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quirework.catalog.registry import count, found, q, query, replaces, slug, squash, strip, sub, text_lines
 from quirework.functions import code as cx
+from quirework.functions import fragments as fr
 from quirework.functions import html as hx
 from quirework.functions import markdown as md
 from quirework.functions import rules as rx
@@ -446,3 +447,28 @@ def event_answers(spark, folder):
 def json_props_extract(spark, folder):
     events = table(spark, folder, "events", "event_id", "props")
     return events.select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+
+
+_MARK = {"notices": [("licen", 2)], "openings": [("all rights", 1)], "dropped": ["the."], "prefixes": ["erreth"]}
+_HEADERS = "|".join(rx.SOURCE_RUNNING_HEADERS + rx.SECTION_RUNNING_HEADERS)
+
+
+@query(
+    f"""WITH RECURSIVE l AS (SELECT doc_id, line_no AS n, line, {squash('line')} AS s, lower({squash('line')}) AS low FROM ({LINES})),
+    j AS (SELECT *, CASE WHEN contains(low, 'licen') THEN 2 WHEN starts_with(low, 'all rights') THEN 1 ELSE 0 END AS skip,
+      starts_with(low, 'erreth') OR low = 'the.' OR regexp_matches(s, {q(r'^(?:' + _HEADERS + ')$')}) AS lone, regexp_matches(s, '^[0-9]{{1,4}}$') AS number FROM l),
+    w AS (SELECT doc_id, n, line, skip AS left_, skip = 0 AND NOT lone AS keep, skip = 0 AND NOT lone AS some FROM j WHERE n = 1
+      UNION ALL SELECT j.doc_id, j.n, j.line, CASE WHEN w.left_ > 0 THEN w.left_ - 1 ELSE j.skip END,
+        w.left_ = 0 AND j.skip = 0 AND NOT (j.lone OR (j.number AND w.some)), w.some OR (w.left_ = 0 AND j.skip = 0 AND NOT j.lone)
+      FROM w JOIN j ON j.doc_id = w.doc_id AND j.n = w.n + 1)
+    SELECT doc_id, count(*) FILTER (keep)::BIGINT AS kept, md5(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (keep), '')) AS digest FROM w GROUP BY doc_id"""
+)
+def doc_boilerplate(spark, folder):
+    """Documents without notice lines (and the lines they take along), headers, page numbers."""
+    kept = fr.drop_boilerplate(F.col("text"), **_MARK)
+    rows = _docs(spark, folder).select("doc_id", kept.alias("kept"))
+    return rows.select(
+        "doc_id",
+        F.when(F.col("kept") == "", F.lit(0)).otherwise(F.size(F.split("kept", "\n"))).cast("long").alias("kept"),
+        F.md5("kept").alias("digest"),
+    )

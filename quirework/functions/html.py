@@ -236,3 +236,46 @@ def paragraphs(text: Column) -> Column:
         return tx.bind(F.filter(F.transform(tx.lines(chunk), tx.strip), lambda r: r != ""), markup)
 
     return F.array_join(F.transform(chunks, render), "\n")
+
+
+_SECTION_START = r"<div\b(?=[^>]*\bclass\s*=\s*[\"'][^\"']*\bsection\b)[^>]*>\s*"
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    return F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*[\"']([^\"']*)[\"']", 1)
+
+
+def section_links(html: Column) -> Column:
+    """Array of (anchor, label) of the second-level headings: their own id, or the id of the
+    section they open; a section's number goes in front of a label that lacks it."""
+
+    found = F.regexp_extract_all(html, F.lit(rf"(?is)(?:{_SECTION_START})?<h2\b[^>]*>.*?</h2>"), F.lit(0))
+
+    def read(piece: Column) -> Column:
+        wrap = F.regexp_extract(piece, r"(?is)\A(<div\b[^>]*>)", 1)
+        head = F.regexp_extract(piece, r"(?is)(<h2\b[^>]*>)", 1)
+        own = _attribute(head, "id")
+        label = node_text(F.regexp_replace(piece, r"(?is)\A<div\b[^>]*>", ""))
+        number = F.when(own == "", tx.strip(_attribute(wrap, "number"))).otherwise(F.lit(""))
+        numbered = F.when((number != "") & ~label.startswith(number), F.concat(number, F.lit(" "), label)).otherwise(label)
+        return F.struct(F.when(own != "", own).otherwise(_attribute(wrap, "id")).alias("anchor"), numbered.alias("label"))
+
+    return F.filter(F.transform(found, read), lambda s: (s["anchor"] != "") & (s["label"] != ""))
+
+
+def number_sections(html: Column) -> Column:
+    """Headings of numbered sections ("2.1") get their number where it is missing."""
+    from quirework.functions import fragments as fr
+    from quirework.functions import titles
+
+    pattern = rf"(?is){_SECTION_START}<h[2-6]\b[^>]*>.*?</h[2-6]>"
+
+    def mend(piece: Column) -> Column:
+        number = tx.strip(_attribute(F.regexp_extract(piece, r"(?is)\A(<div\b[^>]*>)", 1), "number"))
+        label = node_text(F.regexp_replace(piece, r"(?is)\A<div\b[^>]*>", ""))
+        wanted = F.contains(number, F.lit(".")) & (label != "") & ~titles.number_heads_label(label, number)
+        opening = F.regexp_extract(piece, r"(?is)\A(<div\b[^>]*>\s*<h[2-6]\b[^>]*>)", 1)
+        closing = F.regexp_extract(piece, r"(?is)(</h[2-6]>)\z", 1)
+        return F.when(wanted, F.concat(opening, number, F.lit(" "), tx.escape_html(label), closing)).otherwise(piece)
+
+    return fr.stitch(F.split(html, pattern), F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(0)), mend))

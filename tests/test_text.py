@@ -253,3 +253,24 @@ def test_titles(value):
     assert value(titles.drop_running_headers(C("t")), t="中文12 CHAPTER 3 Some Title 续") in ("中文续", "中文12 CHAPTER 3 Some Title 续")
     assert value(titles.is_notice_page(C("t"), ["a notice"]), t="") is False
     assert value(titles.is_notice_page(C("t"), ["a notice"], empty=True), t=" ") is True
+
+
+def test_sections(value):
+    page = '<div class="section level2" id="s1" number="2.1"><h2>Risk &amp; return</h2></div><h2 id="own">Own</h2><h2>none</h2>'
+    assert [tuple(x) for x in value(hx.section_links(C("h")), h=page)] == [("s1", "2.1 Risk & return"), ("own", "Own")]
+    fixed = value(hx.number_sections(C("h")), h=page)
+    assert '<h2>2.1 Risk &amp; return</h2>' in fixed and value(hx.number_sections(C("h")), h=fixed) == fixed
+
+
+def test_listing_conversion(value):
+    def convert(code):
+        return value(
+            cx.convert_listing(
+                C("t"), {"aa": ["import a", "import b"]}, ["import numpy as np"], "# other", "# install", ["%>%"], "# bridged", [("old", "new")]
+            ),
+            t=code,
+        )
+
+    assert convert('library(aa)\nlibrary("zz")\nx <- sd(old)\n#note\ny %>% z') == "import a\nimport b\n# other\n\nx = np.std(new, ddof=1)\n# note\n# bridged"
+    assert convert("set.seed(1)\nx") == "import numpy as np\n\nrng = np.random.default_rng(1)\nx"
+    assert convert("install.packages('x')") == "# install"
