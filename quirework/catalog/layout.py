@@ -81,7 +81,7 @@ _BOXES = """WITH b AS (SELECT l_suppkey AS page, l_orderkey * 1000000 + l_partke
 
 
 def _boxes(spark, folder):
-    lines = table(spark, folder, "lineitem", "l_suppkey", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag").distinct()
+    lines = table(spark, folder, "lineitem", "l_suppkey", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     boxes = lines.select(
         F.col("l_suppkey").alias("page"),
         (F.col("l_orderkey") * 1_000_000 + F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("id"),

@@ -228,7 +228,7 @@ _CAPTION_LINES = """SELECT o_custkey AS page, o_orderkey AS pos, CASE o_ordersta
 )
 def order_captions(spark, folder):
     """Captions among page lines built from orders (page = customer)."""
-    orders = table(spark, folder, "orders", "o_custkey", "o_orderkey", "o_orderstatus", "o_orderpriority")
+    orders = table(spark, folder, "orders", "o_custkey", "o_orderkey", "o_orderstatus", "o_orderpriority", spread="o_orderkey")
     key = F.col("o_orderkey").cast("string")
     line = (
         F.when(

@@ -29,7 +29,8 @@ LATIN = "[A-Za-z]"
 READING_UNIT = r"[\x{4e00}-\x{9fff}]|[A-Za-z0-9]+"
 MARKDOWN_PUNCTUATION = r"[#>*`\-\[\]().]"
 UNITS_PER_MINUTE = 450
-SLUG_GAP = r"[^a-z0-9\x{4e00}-\x{9fff}]+"
+SLUG_KEPT = r"a-z0-9\x{4e00}-\x{9fff}"
+SLUG_GAP = f"[^{SLUG_KEPT}]+"
 LEADING_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}-"
 # Entities decoded without leaving the JVM; the ampersand comes last.
 COMMON_ENTITIES = (
@@ -122,19 +123,24 @@ def normalize_lines(text: Column) -> Column:
     return F.concat(F.regexp_replace(plain, rf"{BLANK}+(\n|\z)", "$1"), F.lit("\n"))
 
 
+def _hyphenate(text: Column, kept: str) -> Column:
+    """Runs of anything but the ``kept`` characters become one hyphen, none at the ends.
+    Blanks turn into hyphens first, so the pattern need not match each of them."""
+    gap = f"-[^{kept}]+|[^\\-{kept}][^{kept}]*"
+    return F.trim(F.regexp_replace(F.replace(text, F.lit(" "), F.lit("-")), gap, "-"), F.lit("-"))
+
+
 def slugify(text: Column, default: str = "post", drop_date: bool = True) -> Column:
     value = strip(F.lower(text))
     if drop_date:
         value = F.regexp_replace(value, LEADING_DATE, "")
-    value = F.trim(F.regexp_replace(value, SLUG_GAP, "-"), F.lit("-"))
-    return F.regexp_replace(value, r"\A\z", default)
+    return F.regexp_replace(_hyphenate(value, SLUG_KEPT), r"\A\z", default)
 
 
 def slugify_words(text: Column, typography: bool = True) -> Column:
     """ASCII slug of a title."""
     value = F.lower(clean_text(text, typography))
-    value = F.trim(F.regexp_replace(value, "[^a-z0-9]+", "-"), F.lit("-"))
-    return F.regexp_replace(value, r"\A\z", "section")
+    return F.regexp_replace(_hyphenate(value, "a-z0-9"), r"\A\z", "section")
 
 
 def reading_units(text: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,15 +16,16 @@ from quirework.functions import text as tx
 
 def whole_files(spark: SparkSession, folder: str, pattern: str, recursive: bool = False) -> DataFrame:
     """(path, raw): one row per matching file.  A missing folder is an empty table."""
-    schema = "path string, raw string"
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(folder)
-    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
-        return spark.createDataFrame([], schema)
     reader = spark.read.option("pathGlobFilter", pattern)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
-    return reader.text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"))
+    try:
+        found = reader.text(folder, wholetext=True)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, raw string")
+    return found.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"))
 
 
 def html_tree(spark: SparkSession, folder: str) -> DataFrame:

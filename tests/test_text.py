@@ -149,6 +149,9 @@ def test_rules(value):
     assert [f.rule for f in value(rx.findings(C("t"), rx.SYMBOL_ARTIFACTS), t="?????? then ########")] == ["symbol-3", "symbol-7"]
     assert value(rx.first_finding(C("t"), rx.SYMBOL_ARTIFACTS), t="clean") is None
     assert value(rx.hits_any(C("t"), rx.BAD_VISIBLE_TEXT), t="a TODO b") is True
+    assert value(rx.hits_any(C("t"), rx.BAD_NOTES), t="uses RStan here") is True
+    assert value(rx.hits_any(C("t"), rx.BAD_NOTES), t="uses rstans here") is False
+    assert value(rx.hits_any(C("t"), rx.BAD_CODE_PAGE_TEXT), t="x [[CODE_PAIR:a") is True
 
 
 def test_leaks(value):
@@ -158,6 +161,7 @@ def test_leaks(value):
     assert value(rx.is_leak(C("t")), t=latin + "中" * 50) is False
     assert value(rx.is_leak(C("t")), t=cjk + " Section ") is True
     assert value(rx.is_leak(C("t")), t="https://host/" + "a" * 200) is False
+    assert value(rx.is_leak(C("t")), t="他的家人 " + latin) is False
     assert value(rx.is_allowed_block(C("t")), t="Smith, Journal of Things, 2001") is True
     assert value(rx.is_allowed_block(C("t")), t="EBITDA = x") is True
     assert value(rx.is_allowed_block(C("t")), t="vol. 3, 1999") is True
