@@ -19,6 +19,10 @@ from quirework.session import materialize
 LINE_TOLERANCE = 3.0
 CLUSTER_GAP = 45.0
 HEADER_LIMIT = 78.0
+CAPTION_LINE_GAP = 13
+CAPTION_TOP, CAPTION_FLOOR = 100, 620
+NOTICE_STARTS = ("©", "Springer", "DOI ")
+FIGURE_MENTIONS = ("seefig.", "of fig.", "offig.", "infig.")
 SCALE = 1000  # thousandths of a point, so positions are whole numbers
 # ----------------------------------------------------------------------------------
 
@@ -226,7 +230,7 @@ def caption_blocks(lines: DataFrame, page: Sequence[str], line: str = "line_no")
     text = F.col("text")
     heads = text.rlike(titles.FIGURE_CAPTION)
     squeezed = F.replace(F.lower(text), F.lit(" "), F.lit(""))
-    mention = tx.contains_any(squeezed, ("seefig.", "of fig.", "offig.", "infig."))
+    mention = tx.contains_any(squeezed, FIGURE_MENTIONS)
     before = F.length(F.regexp_extract(text, r"(?s)\A(.*?)\bFig\.\s*[0-9]", 1))
     late = before >= F.greatest(F.lit(12), F.floor(F.length(text) / 3))
     inline = text.rlike(marker) & ~mention & late
@@ -235,15 +239,15 @@ def caption_blocks(lines: DataFrame, page: Sequence[str], line: str = "line_no")
     place = id_bucket(line, 10_000)
     above = ordered_scan(lines, page, place, [line], Previous("__above", F.col("bottom")))
     stop = (
-        (F.col("top") - F.col("__above") > 13)
-        | text.startswith("©") | text.startswith("Springer") | text.startswith("DOI ")
+        (F.col("top") - F.col("__above") > CAPTION_LINE_GAP)
+        | text.rlike(rf"\A(?:{'|'.join(NOTICE_STARTS)})")
         | heads
-        | (F.col("top") > 620)
+        | (F.col("top") > CAPTION_FLOOR)
     )
     runs = ordered_scan(
         materialize(above).withColumn("__stop", F.coalesce(stop, F.lit(True)).cast("long")), page, place, [line], RunningSum("__run", F.col("__stop"))
     )
-    seeds = runs.filter((heads | inline) & (F.col("top") >= 100)).select(*page, "__run", F.col(line).alias("caption_line"), number.alias("number"))
+    seeds = runs.filter((heads | inline) & (F.col("top") >= CAPTION_TOP)).select(*page, "__run", F.col(line).alias("caption_line"), number.alias("number"))
     grown = seeds.join(runs.select(*page, "__run", line, "top", "bottom", "text"), [*page, "__run"]).filter(F.col(line) >= F.col("caption_line"))
     words = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(line, "text"))), lambda s: s["text"]), " ")
     return grown.groupBy(*page, "caption_line", "number").agg(
