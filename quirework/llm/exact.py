@@ -125,7 +125,7 @@ def dedup_exact(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     counted = keys.groupBy("hash").agg(F.max("bytes").alias("bytes")).groupBy(lead.alias("lead")).agg(F.sum("bytes").alias("bytes"))
     depth, slots = directory({r["lead"]: r["bytes"] for r in counted.collect()}, MOST_BITS, bucket_bytes)
     spark = docs.sparkSession
-    names = spark.createDataFrame(slots, "slot long, bucket long, depth int")
+    names = F.broadcast(spark.createDataFrame(slots, "slot long, bucket long, depth int"))  # 2**MOST_BITS rows at most
     slot = F.shiftrightunsigned("hash", 64 - depth) if depth else F.lit(0).cast("long")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pages = rows.mapInArrow(_send, _CHAINED).withColumn("slot", slot).join(names, "slot")
