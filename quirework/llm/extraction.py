@@ -54,6 +54,8 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""([^\s/=>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 _WORD = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"\d+")
+#: Slices of the pages of a host in the join with its path.
+SLICES = 64
 
 
 class _Node:
@@ -240,7 +242,10 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     votes = rows.select("host", "html").mapInArrow(_votes, "host string, path string, votes double")
     summed = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
     winners = summed.groupBy("host").agg(F.min_by("path", F.struct(-F.col("votes"), "path")).alias("path"))
-    joined = rows.join(winners, "host", "left").select("page_id", "url", "html", "path")
+    # A host with a third of all pages meets its path in as many places as there are slices.
+    part = F.pmod(F.xxhash64("page_id", "url"), F.lit(SLICES))
+    dealt = winners.select("host", "path", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1)).cast("array<long>")).alias("part"))
+    joined = rows.withColumn("part", part).join(dealt, ["host", "part"], "left").select("page_id", "url", "html", "path")
     return joined.mapInArrow(_extract, "page_id long, url string, text string")
 
 
