@@ -153,7 +153,8 @@ class Page:
         holder = parent.holder
         node = _Node(tag, path, parent.depth + 1, weight, dropped, parent.link or tag == "a", holder, len(self.blocks))
         if tag in CONTAINERS:
-            node.path = f"{path}/{tag}" + "".join(f".{_DIGITS.sub('0', c)}" for c in sorted(classes.split()))
+            above = "" if tag in ("html", "body") else path  # these may be left out
+            node.path = f"{above}/{tag}" + "".join(f".{_DIGITS.sub('0', c)}" for c in sorted(classes.split()))
             node.weight = TAG_WEIGHT.get(tag, GOOD_WEIGHT if not GOOD_WORDS.isdisjoint(words) else 1.0)
             if not dropped:
                 node.holder = node
