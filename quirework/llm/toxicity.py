@@ -121,7 +121,7 @@ class LabelModel:
         self.prior = 0.1
         self.fires = np.array([np.full(n, 0.05), np.full(n, 0.5)])
         self.fires[:, LEXICONS:] = 0.3
-        self.fires[:, LEXICONS] = (0.95, 0.05)
+        self.fires[:, LEXICONS] = (0.8, 0.3)
         self.keep = np.full(n, 1.0 / LEXICONS)
         self.keep[LEXICONS:] = 0.2
 

@@ -375,7 +375,7 @@ def test_label_model_finds_the_better_voters(spark):
     model = toxicity.LabelModel().fit(spark.createDataFrame(list(tally.items()), "votes long, n long"))
     assert (model.fires[1, :6] > 5 * model.fires[0, :6]).all() and model.keep[5] < model.keep[0]
     guess = model.posterior(bits.astype(float)) > 0.5
-    assert (guess == hidden).mean() > 0.93
+    assert (guess == hidden).mean() > 0.88 > (~hidden).mean()
 
 
 def test_empty_tables(spark, none):
