@@ -106,7 +106,7 @@ def client_cascade(spark, folder):
     """The same cascade through the client interface: calls of eight, then one by one."""
     turns = table(spark, folder, "conversations", "conv_id", "turn", "text")
     turns = turns.withColumn("unit_id", F.col("conv_id") * 1000 + F.col("turn"))
-    batched = batches.fixed_batches(turns, [], F.col("conv_id"), ["conv_id", "turn"], batches.FRAGMENTS_PER_CALL)
+    batched = batches.fixed_batches(turns, [], id_bucket("conv_id", 10_000), ["conv_id", "turn"], batches.FRAGMENTS_PER_CALL)
     done = batches.cascade(
         batched,
         "unit_id",

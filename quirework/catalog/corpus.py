@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quirework.catalog.registry import hrefs, query, slug
+from quirework.catalog.registry import hrefs, q, query, slug
 from quirework.functions import html as hx
 from quirework.functions import paths as px
 from quirework.functions import rules as rx
@@ -148,8 +148,8 @@ def doc_search(spark, folder):
 
 
 @query(
-    f"""WITH fixed AS (SELECT 0 AS section, lpad((generate_subscripts(l, 1) - 1)::VARCHAR, 12, '0') AS sort_key, unnest(l) AS url FROM (SELECT ['/', '/posts/', '/tags/', '/about/'] AS l)),
-    posts AS (SELECT 1, lpad(doc_id::VARCHAR, 12, '0'), '/posts/doc-' || doc_id || '/' FROM documents),
+    f"""WITH fixed AS (SELECT 0 AS section, lpad((generate_subscripts(l, 1) - 1)::VARCHAR, 20, '0') AS sort_key, unnest(l) AS url FROM (SELECT ['/', '/posts/', '/tags/', '/about/'] AS l)),
+    posts AS (SELECT 1, lpad(doc_id::VARCHAR, 20, '0'), '/posts/doc-' || doc_id || '/' FROM documents),
     tags AS (SELECT DISTINCT 2, tag, '/tags/' || {slug('tag')} || '/' FROM (SELECT unnest([lang, source]) AS tag FROM documents UNION ALL SELECT n_name FROM nation)),
     listed AS (FROM fixed UNION ALL FROM posts UNION ALL FROM tags),
     links AS (SELECT DISTINCT CASE WHEN page_id % 3 = 0 THEN '/posts/doc-' || page_id || '/' ELSE href END AS url FROM (SELECT page_id, unnest({hrefs('html')}) AS href FROM pages))
@@ -159,7 +159,7 @@ def site_url_union(spark, folder):
     """Site map: fixed pages, posts, tags, then linked pages that are not listed yet."""
     docs = _docs(spark, folder, "doc_id", "lang", "source")
     key = F.col("doc_id").cast("string")
-    posts = docs.select(F.lpad(key, 12, "0").alias("sort_key"), F.concat(F.lit("/posts/doc-"), key, F.lit("/")).alias("url"))
+    posts = docs.select(F.lpad(key, 20, "0").alias("sort_key"), F.concat(F.lit("/posts/doc-"), key, F.lit("/")).alias("url"))
     tags = docs.select(F.explode(F.array("lang", "source")).alias("tag")).unionByName(
         table(spark, folder, "nation", "n_name").select(F.col("n_name").alias("tag"))
     )
@@ -219,7 +219,7 @@ def label_semi_docs(spark, folder):
     f"""WITH m AS (SELECT
       (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS missing_labels,
       (SELECT count(*) FROM labels WHERE toxic = 1) AS toxic_docs,
-      (SELECT count(*) FROM documents WHERE contains(text, 'TODO') OR contains(text, 'source_text')) AS bad_visible,
+      (SELECT count(*) FROM documents WHERE {' OR '.join(f'contains(text, {q(r.pattern)})' for r in rx.BAD_VISIBLE_TEXT)}) AS bad_visible,
       (SELECT count(*) FROM (SELECT unnest({hrefs('html')}) FROM pages)) AS links,
       (SELECT count(*) FROM pages WHERE NOT regexp_matches(html, '(?i)^<!doctype html>')) AS bad_preambles)
     SELECT missing_labels::BIGINT AS missing_labels, toxic_docs::BIGINT AS toxic_docs, bad_visible::BIGINT AS bad_visible, links::BIGINT AS links,
@@ -230,7 +230,7 @@ def quality_report(spark, folder):
     docs = _docs(spark, folder, "doc_id", "text")
     labels = table(spark, folder, "labels", "doc_id", "toxic")
     pages = table(spark, folder, "pages", "page_id", "html")
-    bad = docs.filter(rx.hits_any(F.col("text"), [r for r in rx.BAD_VISIBLE_TEXT if r.pattern in ("TODO", "source_text")]))
+    bad = docs.filter(rx.hits_any(F.col("text"), rx.BAD_VISIBLE_TEXT))
     return audit.report(
         [
             ("missing_labels", docs.select("doc_id").join(labels.select("doc_id"), "doc_id", "left_anti"), True),
@@ -243,9 +243,11 @@ def quality_report(spark, folder):
 
 
 @query(
-    """SELECT count(*)::BIGINT AS documents, sum(len(string_split(html, '<li>')) - 1)::BIGINT AS list_items,
-       sum(len(string_split(html, 'track(')) - 1)::BIGINT AS red_flags, (SELECT count(*) FROM pages WHERE page_id NOT IN (SELECT doc_id FROM labels))::BIGINT AS missing_answers,
-       'fail' AS status FROM pages"""
+    """WITH r AS (SELECT count(*)::BIGINT AS documents, sum(len(string_split(html, '<li>')) - 1)::BIGINT AS list_items,
+       sum(len(string_split(html, 'class="r-code-card"')) - 1)::BIGINT AS code_cards, sum(len(string_split(html, 'class="copy-code"')) - 1)::BIGINT AS copy_buttons,
+       sum(len(regexp_extract_all(regexp_replace(html, 'data:image/[^"'']+', 'data:image/removed', 'g'), '(?i)TODO|待翻译|未翻译')))::BIGINT AS todo_markers,
+       sum(len(string_split(html, 'track(')) - 1)::BIGINT AS red_flags, (SELECT count(*) FROM pages WHERE page_id NOT IN (SELECT doc_id FROM labels))::BIGINT AS missing_answers FROM pages)
+    SELECT *, CASE WHEN documents > 0 AND missing_answers = 0 AND code_cards = copy_buttons AND todo_markers = 0 AND red_flags = 0 THEN 'ready' ELSE 'fail' END AS status FROM r"""
 )
 def page_document_report(spark, folder):
     """Document report with red flags; labels stand for the answers that came back."""
@@ -253,7 +255,7 @@ def page_document_report(spark, folder):
     done = table(spark, folder, "labels", "doc_id").withColumnRenamed("doc_id", "page_id")
     row = audit.document_report(pages, F.col("html"), pages, done, "page_id", ["track("])
     items = pages.agg(F.sum(tx.count_matches(F.col("html"), "<li>"))).scalar()
-    return row.select("documents", items.alias("list_items"), "red_flags", "missing_answers", "status")
+    return row.withColumn("list_items", items)
 
 
 @query(

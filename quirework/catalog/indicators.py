@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quirework.catalog.registry import query
 from quirework.operators import indicators as ind
-from quirework.plans.ordered import time_bucket
+from quirework.plans.ordered import id_bucket
 from quirework.sources.tables import table
 
 _BARS = """WITH b AS (SELECT event_type AS symbol, ts::DATE AS day, arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low,
@@ -95,7 +95,7 @@ def ind_volume_norm(spark, folder):
 def ind_money_flow(spark, folder):
     events = table(spark, folder, "events", "event_id", "ts", "event_type", "value")
     rows = ind.tick_money_flow(
-        events, "event_type", F.to_date("ts"), "event_id", "value", F.col("event_id") % 100 + 1, time_bucket("ts", 900)
+        events, "event_type", F.to_date("ts"), "event_id", "value", F.col("event_id") % 100 + 1, id_bucket("event_id")
     )
     return rows.select("symbol", F.date_format("day", "yyyy-MM-dd").alias("day"), F.round("money_flow", 4).alias("money_flow"))
 
@@ -119,9 +119,11 @@ def ind_cap_weight(spark, folder):
 
 
 @query(
-    """WITH s AS (SELECT l_suppkey, sum(l_extendedprice) AS rev, sum(l_extendedprice * l_discount) AS ni, sum(l_quantity) * 1000 AS assets, sum(l_quantity) * 400 AS eq, sum(l_tax * l_extendedprice) AS tax FROM lineitem GROUP BY 1)
+    """WITH s AS (SELECT l_suppkey, sum(l_extendedprice) AS rev, sum(l_extendedprice * l_discount) AS ni, sum(l_quantity) * 1000 AS assets, sum(l_quantity) * 400 AS eq, sum(l_tax * l_extendedprice) AS tax,
+      sum(l_quantity) * 300 AS ca, sum(l_quantity) * 120 AS inv, sum(l_quantity) * 600 AS debt, (sum(l_quantity) * 200 + sum(l_tax * l_extendedprice)) AS cl FROM lineitem GROUP BY 1)
     SELECT l_suppkey, round((ni + tax * 0.1) / assets, 6) AS roa, round((ni + tax * 0.1) / rev, 6) AS margin, round(rev / assets, 6) AS asset_turnover, round(ni / eq, 6) AS roce,
-      round(assets / eq, 6) AS leverage, round((ni + tax * 0.5 + tax) / (tax * 0.5), 6) AS interest_coverage FROM s"""
+      round(assets / eq, 6) AS leverage, round(ca / cl, 6) AS current_ratio, round((ca - inv) / cl, 6) AS quick_ratio,
+      round(debt / assets, 6) AS liabilities_to_assets, round(debt / eq, 6) AS liabilities_to_equity, round((ni + tax * 0.5 + tax) / (tax * 0.5), 6) AS interest_coverage FROM s"""
 )
 def ind_statement_ratios(spark, folder):
     lines = table(spark, folder, "lineitem", "l_suppkey", "l_extendedprice", "l_discount", "l_quantity", "l_tax")
@@ -129,10 +131,13 @@ def ind_statement_ratios(spark, folder):
         F.sum("l_extendedprice").alias("revenue"), F.sum(F.col("l_extendedprice") * F.col("l_discount")).alias("net_income"),
         (F.sum("l_quantity") * 1000).alias("assets"), (F.sum("l_quantity") * 400).alias("equity"), F.sum(F.col("l_tax") * F.col("l_extendedprice")).alias("tax"),
     )
-    zero = F.lit(0.0)
+    pieces = F.col("assets") / 1000
     s = s.withColumns(
-        {"interest_after_tax": F.col("tax") * 0.1, "interest": F.col("tax") * 0.5, "operating_income": zero, "current_assets": zero,
-         "current_liabilities": zero, "inventory": zero, "liabilities": zero}
+        {"interest_after_tax": F.col("tax") * 0.1, "interest": F.col("tax") * 0.5, "current_assets": pieces * 300,
+         "inventory": pieces * 120, "liabilities": pieces * 600, "current_liabilities": pieces * 200 + F.col("tax")}
+    )
+    names = (
+        "roa", "margin", "asset_turnover", "roce", "leverage", "current_ratio", "quick_ratio", "liabilities_to_assets",
+        "liabilities_to_equity", "interest_coverage",
     )
-    names = ("roa", "margin", "asset_turnover", "roce", "leverage", "interest_coverage")
     return ind.statement_ratios(s).select("l_suppkey", *[F.round(c, 6).alias(c) for c in names])

@@ -175,13 +175,13 @@ def layout_lines(spark, folder):
 
 @query(
     """WITH b AS (SELECT user_id AS page, event_id, event_type, (event_id * 13) % 300 AS y0, CASE WHEN event_type = 'click' THEN '12 Running header' WHEN event_type = 'view' AND event_id % 3 = 0 THEN event_id % 900 || ''
-        WHEN event_type = 'error' THEN '> x <- ' || event_id ELSE 'Text ' || event_id END AS text FROM events WHERE event_type <> 'signup'),
+        WHEN event_type = 'error' THEN '> x <- ' || event_id ELSE 'Text ' || event_id END AS text FROM events),
     k AS (SELECT * FROM b WHERE NOT (regexp_matches(text, '^[0-9]{1,4}$') OR (y0 <= 78 AND regexp_matches(text, '^[0-9]+ [^ ].+$'))))
     SELECT event_id, 'p' || page || '_t' || (row_number() OVER (PARTITION BY page ORDER BY event_id) - 1) AS unit_id, event_type = 'error' AS is_listing FROM k"""
 )
 def layout_block_ids(spark, folder):
     """Ids of the text blocks that survive the header filter; listings take a number."""
-    events = table(spark, folder, "events", "event_id", "user_id", "event_type").filter("event_type <> 'signup'")
+    events = table(spark, folder, "events", "event_id", "user_id", "event_type")
     key, kind = F.col("event_id").cast("string"), F.col("event_type")
     text = (
         F.when(kind == "click", F.lit("12 Running header"))

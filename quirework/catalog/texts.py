@@ -250,29 +250,45 @@ def doc_markdown(spark, folder):
     return docs.select("doc_id", md.render(F.col("text")).alias("html"))
 
 
-@query("SELECT doc_id, md5(text) AS digest FROM documents")
+_LINKED = "'see https://example.org/d?x=' || doc_id || ' and ' || chr(96) || 'v' || doc_id || chr(96) || '. ' || text"
+
+
+@query(
+    f"""SELECT doc_id, md5({_LINKED}) AS digest, md5('see @@1@@ and @@0@@. ' || text) AS masked, 2::BIGINT AS spans FROM documents
+    WHERE NOT regexp_matches(text, '[$`\\\\]|https?:')
+    UNION ALL SELECT doc_id, md5({_LINKED}), NULL, NULL FROM documents WHERE regexp_matches(text, '[$`\\\\]|https?:')"""
+)
 def doc_protect_restore(spark, folder):
     """Protecting formulas, code and addresses and putting them back changes nothing."""
-    docs = _docs(spark, folder).withColumn("kept", cx.protect_spans(F.col("text")))
-    return docs.select("doc_id", F.md5(cx.restore_spans(F.col("kept")["text"], F.col("kept")["stash"])).alias("digest"))
+    key = F.col("doc_id").cast("string")
+    linked = F.concat(F.lit("see https://example.org/d?x="), key, F.lit(" and `v"), key, F.lit("`. "), F.col("text"))
+    docs = _docs(spark, folder).withColumn("kept", cx.protect_spans(linked))
+    # The masked text is compared where the text itself brings no further span.
+    plain = ~F.col("text").rlike(r"[$`\\]|https?:")
+    return docs.select(
+        "doc_id",
+        F.md5(cx.restore_spans(F.col("kept")["text"], F.col("kept")["stash"])).alias("digest"),
+        F.when(plain, F.md5(F.col("kept")["text"])).alias("masked"),
+        F.when(plain, F.size(F.col("kept")["stash"]).cast("long")).alias("spans"),
+    )
 
 
 _CHUNKS = f"string_split({sub(strip('text'), chr(10) + tx.SPACE + '*' + chr(10), chr(1))}, chr(1))"
 _ESCAPES = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")]
+_ROWS = f"list_filter(list_transform({text_lines('c')}, lambda r: {strip('r')}), lambda r: r <> '')"
+_ITEMS = f"list_filter({_ROWS}, lambda r: starts_with(r, '- '))"
+_LIST = f"""'<ul>' || array_to_string(list_transform({_ROWS}, lambda r: '<li>' || {replaces(strip('substr(r, 3)'), _ESCAPES)} || '</li>'), '') || '</ul>'"""
 _PARA = f"""'<p>' || {replaces(f"array_to_string(list_filter(list_transform({text_lines('c')}, lambda r: {strip('r')}), lambda r: r <> ''), ' ')", _ESCAPES)} || '</p>'"""
 
 
 @query(
     f"""WITH c AS (SELECT doc_id, list_filter(list_transform({_CHUNKS}, lambda c: {strip('c')}), lambda c: c <> '') AS cs FROM documents)
-    SELECT doc_id, md5(array_to_string(list_transform(cs, lambda c: {_PARA}), chr(10))) AS digest FROM c
-    WHERE NOT list_bool_or(list_transform(cs, lambda c: starts_with(c, '- ')))"""
-    .replace("list_bool_or(list_transform(cs, lambda c: starts_with(c, '- ')))", "coalesce(list_bool_or(list_transform(cs, lambda c: starts_with(c, '- '))), false)")
+    SELECT doc_id, md5(array_to_string(list_transform(cs, lambda c: CASE WHEN len({_ROWS}) = len({_ITEMS}) THEN {_LIST} ELSE {_PARA} END), chr(10))) AS digest FROM c"""
 )
 def doc_paragraphs(spark, folder):
-    """Paragraph markup of the documents that hold no dash list."""
+    """Paragraph and list markup of the documents."""
     docs = _docs(spark, folder)
-    listed = F.exists(F.split(tx.strip(F.col("text")), rf"\n{tx.SPACE}*\n"), lambda c: tx.strip(c).startswith("- "))
-    return docs.filter(~listed).select("doc_id", F.md5(hx.paragraphs(F.col("text"))).alias("digest"))
+    return docs.select("doc_id", F.md5(hx.paragraphs(F.col("text"))).alias("digest"))
 
 
 # Outline titles of every style, derived from the part table.

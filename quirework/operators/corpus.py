@@ -81,7 +81,7 @@ def site_map(posts: DataFrame, tags: DataFrame, pages: DataFrame) -> DataFrame:
     ``posts`` has (sort_key, url) in listing order, ``tags`` (tag_slug), ``pages`` (url).
     """
     spark = posts.sparkSession
-    fixed = spark.createDataFrame([(0, f"{i:012d}", u) for i, u in enumerate(FIXED_PAGES)], "section int, sort_key string, url string")
+    fixed = spark.createDataFrame([(0, f"{i:020d}", u) for i, u in enumerate(FIXED_PAGES)], "section int, sort_key string, url string")
     post_rows = posts.select(F.lit(1).alias("section"), "sort_key", "url")
     tag_rows = tags.select(F.lit(2).alias("section"), F.col("tag").alias("sort_key"), F.concat(F.lit("/tags/"), "tag_slug", F.lit("/")).alias("url"))
     listed = fixed.unionByName(post_rows).unionByName(tag_rows)

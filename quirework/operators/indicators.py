@@ -120,12 +120,15 @@ def tick_money_flow(trades: DataFrame, symbol: str, day: Column, order: str, pri
 def cap_weighted_volume(members: DataFrame) -> DataFrame:
     """Volume weighted by each member's share of the day's capitalisation (symbol, day,
     capital, volume), summed per day, split by the direction of the close."""
-    total = members.groupBy("day").agg(F.sum("capital").alias("__total"))
-    share = members.join(total, "day").withColumn("__w", F.try_divide(F.col("capital"), F.col("__total")) * F.col("volume"))
-    return share.groupBy("day").agg(
-        F.sum("__w").alias("weighted_volume"),
-        F.sum(F.when(F.col("direction") > 0, F.col("__w")).otherwise(F.lit(0.0))).alias("up_volume"),
-        F.sum(F.when(F.col("direction") < 0, F.col("__w")).otherwise(F.lit(0.0))).alias("down_volume"),
+    weighed = F.col("capital") * F.col("volume")
+
+    def part(value: Column) -> Column:
+        return F.try_divide(F.sum(value), F.sum("capital"))
+
+    return members.groupBy("day").agg(
+        part(weighed).alias("weighted_volume"),
+        part(F.when(F.col("direction") > 0, weighed).otherwise(F.lit(0.0))).alias("up_volume"),
+        part(F.when(F.col("direction") < 0, weighed).otherwise(F.lit(0.0))).alias("down_volume"),
     )
 
 
@@ -135,7 +138,7 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 def statement_ratios(s: DataFrame) -> DataFrame:
     """Profitability and liquidity ratios of statement rows (revenue, net_income,
-    operating_income, interest_after_tax, assets, equity, current_assets,
+    interest_after_tax, assets, equity, current_assets,
     current_liabilities, inventory, liabilities, interest, tax)."""
     c = F.col
     return s.withColumns(

@@ -240,7 +240,7 @@ def caption_blocks(lines: DataFrame, page: Sequence[str], line: str = "line_no")
     above = ordered_scan(lines, page, place, [line], Previous("__above", F.col("bottom")))
     stop = (
         (F.col("top") - F.col("__above") > CAPTION_LINE_GAP)
-        | text.rlike(rf"\A(?:{'|'.join(NOTICE_STARTS)})")
+        | text.rlike(r"\A(?:" + "|".join(rf"\Q{x}\E" for x in NOTICE_STARTS) + ")")
         | heads
         | (F.col("top") > CAPTION_FLOOR)
     )

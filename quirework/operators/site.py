@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,12 +69,12 @@ def build(spark: SparkSession, posts_folder: str, out: str, site: str, coercion:
     if count == 0:
         raise ValueError("no published posts")
 
-    # Newest first; equal dates keep the order of their file names.
-    day = -F.coalesce(F.unix_date(F.try_to_date(F.substring("date", 1, 10), "yyyy-MM-dd")), F.lit(0))
-    by_date = ordered_scan(
-        live.withColumn("__day", day).withColumn("__date", F.regexp_replace("date", "[^0-9]", "")),
-        [], F.col("__day"), ["__day", "path"], RowNumber("position"),
-    ).drop("__day", "__date")
+    # Newest first by the date as it is written; equal dates keep the order of their file names.  The range of a
+    # sort gives the stretch of each post, so no day is walked by one task.
+    parts = spark.sparkContext.defaultParallelism
+    spread = live.repartitionByRange(parts, F.desc("date"), F.asc("path")).sortWithinPartitions(F.desc("date"), F.asc("path"))
+    walked = materialize(spread.select("*", F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().alias("__at")))
+    by_date = ordered_scan(walked, [], F.col("__part"), ["__at"], RowNumber("position")).drop("__part", "__at")
     listed = materialize(by_date.withColumn("url", F.concat(F.lit("/posts/"), "slug", F.lit("/"))).withColumn("card", card(F.col("url"))))
 
     sinks.write_documents(live.withColumn("html", post_page()), f"{out}/posts", "slug", "html", html=True)
@@ -120,7 +122,7 @@ def _within(path: Column, root: str) -> Column:
 
 def audit_site(spark: SparkSession, root: str, rules=None, page: str | None = None) -> dict[str, DataFrame]:
     """Findings of a site audit by name, plus ``report``."""
-    packs = rules or (rx.SYMBOL_ARTIFACTS + rx.BAD_VISIBLE_TEXT)
+    packs = [rules] if rules else [rx.SYMBOL_ARTIFACTS, rx.BAD_VISIBLE_TEXT]
     every = sources.html_tree(spark, root).select(_within(F.col("path"), root).alias("file"), F.col("raw").alias("html"))
     pages = every.filter(F.col("file") == f"/{page.lstrip('/')}") if page else every
     files = site_files(spark, root)
@@ -130,7 +132,9 @@ def audit_site(spark: SparkSession, root: str, rules=None, page: str | None = No
         "missing_links": audit.missing_targets(links, files),
         "missing_anchors": audit.missing_anchors(links, files, audit.page_anchors(every, "file", "html")),
         "missing_images": audit.missing_targets(audit.image_edges(pages, "file", "html"), files),
-        "rule_hits": audit.rule_hits(shown, ["file"], F.col("text"), packs, first_only=True),
+        "rule_hits": reduce(
+            DataFrame.unionByName, [audit.rule_hits(shown, ["file"], F.col("text"), pack, first_only=True) for pack in packs]
+        ),
         "bad_preambles": pages.filter(hx.bad_preamble(F.col("html"))).select("file"),
         "missing_controls": pages.filter(audit.lacks_sidebar_controls(F.col("html"))).select("file"),
         "missing_numbers": pages.select("file", F.explode(audit.unnumbered_sections(F.col("html"))).alias("number")),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 import pandas as pd
@@ -171,18 +172,19 @@ def pair_by_key(
     return left.join(last, list(keys), "left")
 
 
-def flatten_tree(nodes: DataFrame, node: str, parent: str, sibling: str, max_depth: int = 64) -> DataFrame:
+def flatten_tree(nodes: DataFrame, node: str, parent: str, sibling: str) -> DataFrame:
     """Depth and path of every node of an adjacency list, level by level.
 
     One join per level; the frontier of each level is checkpointed, so neither the plan nor
-    the recomputation grows with the depth.  The path sorts in pre-order.
+    the recomputation grows with the depth.  The path sorts in pre-order.  The walk ends when a
+    level is empty; a cycle hangs below no root, so its nodes are left out like other orphans.
     """
     base = nodes.select(F.col(node).alias("__n"), F.col(parent).alias("__p"), F.col(sibling).alias("__o"))
     level = cut_lineage(
         base.filter("__p IS NULL").select("__n", F.lit(0).alias("depth"), F.array("__o").alias("path"))
     )
     levels = [level]
-    for depth in range(1, max_depth + 1):
+    for depth in itertools.count(1):
         below = base.alias("c").join(level.alias("p"), F.col("c.__p") == F.col("p.__n"))
         level = cut_lineage(
             below.select(F.col("c.__n"), F.lit(depth).alias("depth"), F.concat(F.col("p.path"), F.array("c.__o")).alias("path"))
@@ -190,8 +192,6 @@ def flatten_tree(nodes: DataFrame, node: str, parent: str, sibling: str, max_dep
         if level.isEmpty():
             break
         levels.append(level)
-    else:
-        raise ValueError(f"tree deeper than {max_depth} levels, or it has a cycle")
     flat = levels[0]
     for more in levels[1:]:
         flat = flat.unionByName(more)
@@ -256,7 +256,7 @@ def unique_slugs(rows: DataFrame, keys: Sequence[str], base: str, seq: str, buck
     bases = ranked.groupBy(*keys, base).agg(F.count(F.lit(1)).alias("__count"), F.min(seq).alias("__first"))
     # A base such as "x-2" is a child of the base "x".
     child = bases.withColumn("__parent", F.regexp_replace(base, r"-[0-9]+\z", "")).withColumn(
-        "__k", F.try_to_number(F.regexp_extract(base, r"-([1-9][0-9]{0,8})\z", 1), F.lit("999999999")).cast("long")
+        "__k", F.regexp_extract(base, r"-([1-9][0-9]*)\z", 1).try_cast("long")
     )
     child = child.filter((F.col("__parent") != F.col(base)) & (F.col("__k") >= 2))
     parents = bases.select(*keys, F.col(base).alias("__parent"))

@@ -11,7 +11,8 @@ and carries the state across buckets on one summary row per bucket:
 * only the per-key sequence of summaries is walked in order.
 
 The bucket column must not decrease along the scan order, and the order columns must
-identify a row within a key.  Keys and buckets must not be null.
+identify a row within a key.  Null keys, and null order values and with them buckets, are ordinary
+values: a null key is one more key, a null bucket comes first.
 """
 
 from __future__ import annotations
@@ -94,18 +95,24 @@ class OrderedScan:
     order: Sequence[str]
 
     def extend(self, df: DataFrame, *steps: Step) -> DataFrame:
-        place = [*self.keys, self.bucket]
+        # A struct of nulls equals itself, so the join back to the summaries loses no null key, and
+        # windows, aggregate and join still share one partitioning.
+        df = df.withColumn("__place", F.struct(*self.keys, self.bucket))
+        place = ["__place"]
         inside = Window.partitionBy(*place).orderBy(*self.order)
         so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         before = inside.rowsBetween(Window.unboundedPreceding, -1)
-        across = Window.partitionBy(*self.keys).orderBy(self.bucket)
+        across = Window.partitionBy(*[F.col(f"__place.{k}") for k in self.keys]).orderBy(F.col(f"__place.{self.bucket}"))
         earlier = across.rowsBetween(Window.unboundedPreceding, -1)
-        whole = Window.partitionBy(*self.keys).orderBy(self.bucket).rowsBetween(
-            Window.unboundedPreceding, Window.unboundedFollowing
-        )
+        whole = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         # A single ordering column keeps the summary in a hash aggregate.
         rank = F.col(self.order[0]) if len(self.order) == 1 else F.struct(*self.order)
 
+        def at_edge(edge, value: Column, order: Column, ignore: bool = False) -> Column:
+            """Value of the first or last row of a bucket; the bucket of null order values has one row."""
+            only = F.first(value, ignorenulls=ignore)
+            return F.coalesce(edge(value, order), F.when(F.count(rank) == 0, only))
+
         local, summary, carry, final = {}, {}, {}, {}
         for step in steps:
             kind, name = type(step), step.name
@@ -127,14 +134,14 @@ class OrderedScan:
                 final[name] = F.greatest(here, moved)
             elif kind is LastKnown:
                 local[here] = F.last(step.expr, ignorenulls=True).over(so_far)
-                summary[total] = F.max_by(step.expr, F.when(step.expr.isNotNull(), rank))
+                summary[total] = at_edge(F.max_by, step.expr, F.when(step.expr.isNotNull(), rank), True)
                 carry[moved] = F.last(total, ignorenulls=True).over(earlier)
                 final[name] = F.coalesce(here, moved)
             elif kind in (Previous, Following):
                 beside, edge = (F.lag, F.max_by) if kind is Previous else (F.lead, F.min_by)
                 local[here] = beside(step.expr).over(inside)
                 local[f"__has_{name}"] = beside(F.lit(True)).over(inside)
-                summary[total] = edge(step.expr, rank)
+                summary[total] = at_edge(edge, step.expr, rank)
                 carry[moved] = beside(total).over(across)
                 final[name] = F.when(F.col(f"__has_{name}"), F.col(here)).otherwise(F.col(moved))
             elif kind is GroupSum:
@@ -146,7 +153,7 @@ class OrderedScan:
                 carry[moved] = F.max(total).over(whole)
                 final[name] = F.col(moved)
             elif kind is GroupLast:
-                summary[total] = F.max_by(step.expr, F.when(step.expr.isNotNull(), rank))
+                summary[total] = at_edge(F.max_by, step.expr, F.when(step.expr.isNotNull(), rank), True)
                 carry[moved] = F.last(total, ignorenulls=True).over(whole)
                 final[name] = F.col(moved)
             else:
@@ -156,7 +163,7 @@ class OrderedScan:
         carried = totals.select(*place, *[value.alias(key) for key, value in carry.items()])
         rows = df.select("*", *[value.alias(key) for key, value in local.items()])
         return rows.join(carried, place).select(
-            *[F.col(name) for name in df.columns], *[value.alias(key) for key, value in final.items()]
+            *[F.col(name) for name in df.columns if name != "__place"], *[value.alias(key) for key, value in final.items()]
         )
 
 

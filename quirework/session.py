@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -27,14 +28,22 @@ def build_session(app_name: str = "quirework", master: str | None = None, **extr
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set (tests)."""
+    """The shared folder the cluster names.
+
+    Where none is set, a local session (one machine, as in tests) gets a folder of its own; on a
+    cluster that is an error, as each executor would write to its own disk.
+    """
     context = spark.sparkContext
     configured = (
         spark.conf.get("spark.checkpoint.dir", None)
         or context.getConf().get("spark.checkpoint.dir")
         or context.getCheckpointDir()
     )
-    return configured or os.path.join(tempfile.gettempdir(), f"quirework-{context.applicationId}")
+    if configured:
+        return configured
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return os.path.join(tempfile.gettempdir(), f"quirework-{context.applicationId}")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -52,8 +61,12 @@ def materialize(df: DataFrame) -> DataFrame:
     For results that several branches need and that are dear to recompute: narrow values
     derived from wide text, chains of ordered scans, answers of a paid service.  Unlike a
     cache it survives lost executors, and unlike a checkpoint it keeps column pruning.
+    The table goes when the session's JVM ends.  Writing runs a job, so a query that uses this
+    starts work while it is built.
     """
     spark = df.sparkSession
     folder = f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(folder)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from quirework.functions import markdown as md
 from quirework.functions import text as tx
+from quirework.session import cut_lineage
 
 
 def whole_files(spark: SparkSession, folder: str, pattern: str, recursive: bool = False) -> DataFrame:
@@ -79,22 +80,27 @@ def posts(files: DataFrame, coercion: str = "safe", cover: str = "") -> DataFram
     )
 
 
-def page_texts(files: DataFrame, extract: Callable[[bytes], list[str]]) -> DataFrame:
+def page_texts(files: DataFrame, extract: Callable[[bytes], Iterable[str | Exception]]) -> DataFrame:
     """(path, page, text, error) of binary documents (path, content).
 
-    ``extract`` turns the bytes of one document into page texts; it is injected because no
-    document library is assumed.  A document that fails is one row with its error.
+    ``extract`` turns the bytes of one document into its pages, each a text or the error that reading it
+    gave; it is injected because no document library is assumed.  A bad page is a row with its number and
+    error; if the extractor itself fails, the pages before stay and one row without number tells.
     """
     schema = "path string, page int, text string, error string"
 
+    def told(problem: Exception) -> str:
+        return f"{type(problem).__name__}: {problem}"
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
             for path, content in zip(frame["path"], frame["content"]):
                 try:
-                    rows += [(path, n, t or "", None) for n, t in enumerate(extract(bytes(content)), 1)]
+                    for n, page in enumerate(extract(bytes(content)), 1):
+                        rows.append((path, n, "", told(page)) if isinstance(page, Exception) else (path, n, page or "", None))
                 except Exception as problem:
-                    rows.append((path, None, "", f"{type(problem).__name__}: {problem}"))
+                    rows.append((path, None, "", told(problem)))
             out = pd.DataFrame(rows, columns=["path", "page", "text", "error"])
             yield out.astype({"page": "Int32"})
 
@@ -150,10 +156,10 @@ def layout_drawings(docs: DataFrame) -> DataFrame:
     return found.select("path", "page", "drawing_id", *box)
 
 
-def harvest_titles(docs: DataFrame, document: str, max_depth: int = 16) -> DataFrame:
+def harvest_titles(docs: DataFrame, document: str) -> DataFrame:
     """(path, title_en, title_zh) pairs found anywhere in JSON documents: objects with both
     titles, and keys in Latin script whose value is a text in Chinese script.  One level of
-    nesting per round."""
+    nesting per round, until nothing is nested any more; each round's rows are stored."""
     spark = docs.sparkSession
     level = docs.select("path", F.try_parse_json(document).alias("v")).filter("v IS NOT NULL")
     english, chinese = F.lit("[A-Za-z]"), F.lit(tx.CJK)
@@ -162,7 +168,7 @@ def harvest_titles(docs: DataFrame, document: str, max_depth: int = 16) -> DataF
     def text(column: str, name: str):
         return F.try_variant_get(column, f"$['{name}']", "string")
 
-    for _ in range(max_depth):
+    while True:
         pairs = [(text("v", "title_en"), F.coalesce(text("v", "title_zh"), text("v", "zh"))), (text("v", "English"), F.coalesce(text("v", "Chinese"), text("v", "简体中文")))]
         both = level.select("path", F.explode(F.array(*[F.struct(a.alias("title_en"), b.alias("title_zh")) for a, b in pairs])).alias("t"))
         named = both.select("path", "t.title_en", "t.title_zh").filter("title_en IS NOT NULL AND title_zh IS NOT NULL")
@@ -170,7 +176,7 @@ def harvest_titles(docs: DataFrame, document: str, max_depth: int = 16) -> DataF
         leaf = level.select("path", F.col("key").alias("title_en"), F.try_variant_get("v", "$", "string").alias("title_zh"), F.schema_of_variant("v").alias("kind"))
         leaf = leaf.filter((F.col("kind") == "STRING") & F.regexp("title_en", english) & F.regexp("title_zh", chinese)).drop("kind")
         found = named.unionByName(leaf) if found is None else found.unionByName(named).unionByName(leaf)
-        level = level.select("path", "v").filter(F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)"))
+        level = cut_lineage(level.select("path", "v").filter(F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)")))
         if level.isEmpty():
             break
     clean = found.select("path", tx.clean_text(F.col("title_en")).alias("title_en"), tx.clean_text(F.col("title_zh")).alias("title_zh"))
