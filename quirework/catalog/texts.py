@@ -243,11 +243,56 @@ def doc_suspicious_samples(spark, folder):
     return rows.select("doc_id", (F.col("p") + 1).cast("long").alias("sample_no"), "sample")
 
 
-@query()
+_HTML_SIGNS = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")]
+_NL, _GAP = "chr(10)", tx.SPACE + "+"
+_IMAGE = r"^!\[([^\]]*)\]\(([^)]+)\)$"
+#: Documents with some Markdown of every kind in front of their text.
+_MD_TEXT = """'# Title ' || doc_id || chr(10) || '> quoted' || chr(10) || '- one' || chr(10) || '* **two**' || chr(10) || 'loose' || chr(10) || '1. `x`' || chr(10) ||
+    chr(10) || '![a](b.png)' || chr(10) || '```' || chr(10) || '- <code>' || chr(10) || chr(10) || '```' || chr(10) || text ||
+    CASE WHEN doc_id % 3 = 0 THEN chr(10) || '```' || chr(10) || 'never closed' ELSE '' END"""
+
+
+def _inline_sql(value: str) -> str:
+    marks = ((r"`([^`]+)`", r"<code>\1</code>"), (r"\*\*([^*]+)\*\*", r"<strong>\1</strong>"), (r"\*([^*]+)\*", r"<em>\1</em>"), (r"\[([^\]]+)\]\(([^)]+)\)", r'<a href="\2">\1</a>'))
+    value = replaces(value, _HTML_SIGNS)
+    for pattern, to in marks:
+        value = sub(value, pattern, to)
+    return value
+
+
+_ITEM = sub("row", rf"^(?:[-*]|\d+\.|>|#{{1,4}}){_GAP}", "")
+_LEVEL = f"length(regexp_extract(row, {q('^(#{1,4})' + tx.SPACE)}, 1))"
+_IMG = replaces("row", _HTML_SIGNS)
+
+
+@query(
+    f"""WITH l AS (SELECT doc_id, generate_subscripts(ls, 1) AS n, unnest(ls) AS raw FROM (SELECT doc_id, {text_lines('t')} AS ls FROM (SELECT doc_id, {_MD_TEXT} AS t FROM documents))),
+    k AS (SELECT *, CASE WHEN row = '' THEN 'blank' WHEN starts_with(row, '```') THEN 'fence' WHEN regexp_matches(row, {q(_IMAGE)}) THEN 'figure'
+        WHEN regexp_matches(row, {q('^#{1,4}' + _GAP + '.+$')}) THEN 'heading' WHEN regexp_matches(row, {q('^>' + _GAP + '.+$')}) THEN 'quote'
+        WHEN regexp_matches(row, {q('^[-*]' + _GAP + '.+$')}) THEN 'ul' WHEN regexp_matches(row, {q('^[0-9]+[.]' + _GAP + '.+$')}) THEN 'ol' ELSE 'plain' END AS kind
+      FROM (SELECT doc_id, n, {sub('raw', tx.SPACE + '+$', '')} AS row FROM l)),
+    f AS (SELECT *, count(*) FILTER (kind = 'fence') OVER (PARTITION BY doc_id ORDER BY n) AS fences FROM k),
+    c AS (SELECT doc_id, fences, string_agg(row, {_NL} ORDER BY n) AS code FROM f WHERE kind <> 'fence' AND fences % 2 = 1 GROUP BY 1, 2),
+    o AS (SELECT *, count(*) FILTER (kind <> 'plain') OVER (PARTITION BY doc_id ORDER BY n) AS g FROM f WHERE kind = 'fence' OR fences % 2 = 0),
+    p AS (SELECT doc_id, g, string_agg({strip('row')}, ' ' ORDER BY n) AS para FROM o WHERE kind = 'plain' GROUP BY 1, 2),
+    e AS (SELECT doc_id, g, kind, row, fences FROM o WHERE kind <> 'plain'
+      UNION ALL SELECT doc_id, max(g) + 1, 'end', '', 0 FROM o GROUP BY doc_id),
+    x AS (SELECT e.*, para, code, CASE WHEN lag(kind) OVER (PARTITION BY e.doc_id ORDER BY e.g) IN ('ul', 'ol') THEN lag(kind) OVER (PARTITION BY e.doc_id ORDER BY e.g) END AS listed
+      FROM e LEFT JOIN p ON p.doc_id = e.doc_id AND p.g = e.g - 1 LEFT JOIN c ON c.doc_id = e.doc_id AND c.fences = e.fences - 1 AND e.kind = 'fence'),
+    y AS (SELECT doc_id, g, coalesce('<p>' || {_inline_sql('para')} || '</p>' || {_NL}, '')
+      || CASE WHEN listed IS NULL OR kind = listed THEN '' ELSE '</' || listed || '>' || {_NL} END
+      || CASE WHEN kind IN ('ul', 'ol') THEN CASE WHEN kind IS DISTINCT FROM listed THEN '<' || kind || '>' || {_NL} ELSE '' END || '<li>' || {_inline_sql(_ITEM)} || '</li>' || {_NL}
+        WHEN kind = 'fence' AND fences % 2 = 0 THEN '<pre><code>' || {replaces("coalesce(code, '')", _HTML_SIGNS)} || '</code></pre>' || {_NL}
+        WHEN kind = 'heading' THEN '<h' || {_LEVEL} || '>' || {_inline_sql(_ITEM)} || '</h' || {_LEVEL} || '>' || {_NL}
+        WHEN kind = 'quote' THEN '<blockquote>' || {_inline_sql(_ITEM)} || '</blockquote>' || {_NL}
+        WHEN kind = 'figure' THEN '<figure class="article-figure"><img src="' || regexp_extract({_IMG}, {q(_IMAGE)}, 2) || '" alt="' || regexp_extract({_IMG}, {q(_IMAGE)}, 1) || '" loading="lazy"></figure>' || {_NL}
+        ELSE '' END AS piece FROM x)
+    SELECT doc_id, md5(regexp_replace(string_agg(piece, '' ORDER BY g), '\n$', '')) AS digest FROM y GROUP BY doc_id"""
+)
 def doc_markdown(spark, folder):
-    """Documents rendered as Markdown."""
-    docs = _docs(spark, folder)
-    return docs.select("doc_id", md.render(F.col("text")).alias("html"))
+    """Documents, each after some Markdown of every kind, rendered."""
+    docs = _docs(spark, folder).withColumn("text", F.expr(_MD_TEXT.replace("chr(10)", "char(10)")))
+    return docs.select("doc_id", F.md5(md.render(F.col("text"))).alias("digest"))
 
 
 _LINKED = "'see https://example.org/d?x=' || doc_id || ' and ' || chr(96) || 'v' || doc_id || chr(96) || '. ' || text"

@@ -99,20 +99,20 @@ def render(markdown: Column) -> Column:
             .when(~row.rlike(r"\A[`!#>*\-0-9]"), plain)
             .when(row.startswith("```"), fence)
             .when(row.rlike(image), figure)
-            .when(row.rlike(r"\A#{1,4}\s+.+\z"), heading)
-            .when(row.rlike(r"\A>\s+.+\z"), quote)
-            .when(row.rlike(r"\A[-*]\s+.+\z"), bullet)
-            .when(row.rlike(r"\A\d+\.\s+.+\z"), number)
+            .when(row.rlike(rf"\A#{{1,4}}{tx.SPACE}+.+\z"), heading)
+            .when(row.rlike(rf"\A>{tx.SPACE}+.+\z"), quote)
+            .when(row.rlike(rf"\A[-*]{tx.SPACE}+.+\z"), bullet)
+            .when(row.rlike(rf"\A\d+\.{tx.SPACE}+.+\z"), number)
             .otherwise(plain)
         )
         return F.struct(row.alias("row"), kind.alias("kind"))
 
     def dress(line: Column) -> Column:
         row, kind = line["row"], line["kind"]
-        level = F.length(F.regexp_extract(row, r"\A(#{1,4})\s", 1)).cast("string")
+        level = F.length(F.regexp_extract(row, rf"\A(#{{1,4}}){tx.SPACE}", 1)).cast("string")
         alt = F.regexp_extract(tx.escape_html(row), image, 1)
         src = F.regexp_extract(tx.escape_html(row), image, 2)
-        item = F.regexp_replace(row, r"\A(?:[-*]|\d+\.|>|#{1,4})\s+", "")
+        item = F.regexp_replace(row, rf"\A(?:[-*]|\d+\.|>|#{{1,4}}){tx.SPACE}+", "")
         block = (
             F.when(kind.isin(plain, blank, fence), F.lit(""))
             .when(
