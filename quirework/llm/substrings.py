@@ -1,6 +1,7 @@
 """Exact substring deduplication by Rabin-Karp hashes of every window of 13 words.
 
-Documents are dealt to blocks of neighbouring doc_ids.  A block hashes every window of its
+Documents are dealt to blocks of neighbouring doc_ids; stretches of ids that hold too much text are cut
+finer until they fit, and the rows of one id are sliced by their text.  A block hashes every window of its
 texts in one pass of prefix sums and sends each different hash once, packed per range of the hash
 space; the task of a range finds, for each hash, the first block that has it, and answers each
 block with one bit per hash.  A passage in a third of the corpus thus costs one entry per block.  The
@@ -20,11 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm.common import query, table, text_bytes
+from quirework.llm.common import query, stored, table, text_bytes
 
 WINDOW = 13
 #: Text per block of documents and hashed windows per range.
 BLOCK_BYTES, RANGE_WINDOWS = 4_000_000, 2_500_000
+#: A block with this many times its share of text is cut into so many stretches.
+OVERFULL, FINER = 8, 1024
+#: The id and block of rows without one.
+TOP = (1 << 63) - 1
 #: Windows hashed at a time, which bounds the memory for a very long text.
 STEP = 200_000
 #: Odd bases of the two hashes and their inverses modulo 2**64.
@@ -110,10 +115,10 @@ class Block:
 
 def _ids(table_: pa.Table) -> np.ndarray:
     """A null doc_id counts as the largest."""
-    return table_.column("doc_id").fill_null(np.iinfo(np.int64).max).to_numpy()
+    return table_.column("doc_id").fill_null(TOP).to_numpy()
 
 
-_ENTRY = pa.schema([("block", pa.int64()), ("range", pa.int64()), ("hashes", pa.binary())])
+_ENTRY = pa.schema([("block", pa.int64()), ("slice", pa.int64()), ("range", pa.int64()), ("hashes", pa.binary())])
 _PACKED = np.dtype([("one", "<u8"), ("two", "<u2")])
 
 
@@ -125,13 +130,13 @@ def _send(n_ranges: int):
         packed["one"], packed["two"] = block.one[order], block.two[order] & np.uint64(0xFFFF)
         begin = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else np.zeros(0, np.int64)
         parts = [x.tobytes() for x in np.split(packed, begin[1:])] if len(of) else []
-        number = group.column("block")[0].as_py()
-        return pa.table([[number] * len(parts), of[begin], parts], schema=_ENTRY)
+        number, part = group.column("block")[0].as_py(), group.column("slice")[0].as_py()
+        return pa.table([[number] * len(parts), [part] * len(parts), of[begin], parts], schema=_ENTRY)
 
     return run
 
 
-_ANSWER = pa.schema([("block", pa.int64()), ("range", pa.int64()), ("n", pa.int64()), ("first", pa.binary())])
+_ANSWER = pa.schema([("block", pa.int64()), ("slice", pa.int64()), ("range", pa.int64()), ("n", pa.int64()), ("first", pa.binary())])
 
 
 def _answer(group: pa.Table) -> pa.Table:
@@ -141,11 +146,12 @@ def _answer(group: pa.Table) -> pa.Table:
     sizes = [len(x) for x in parts]
     every, block = np.concatenate(parts), np.repeat(blocks, sizes)
     by = np.lexsort((block, every["two"], every["one"]))
-    one, two = every["one"][by], every["two"][by]
+    one, two, block = every["one"][by], every["two"][by], block[by]
+    new = np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])]
     first = np.empty(len(by), bool)
-    first[by] = np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])]
+    first[by] = block == block[np.flatnonzero(new)][np.cumsum(new) - 1]
     bits = [np.packbits(x).tobytes() for x in np.split(first, np.cumsum(sizes)[:-1])]
-    return pa.table([blocks, group.column("range"), sizes, bits], schema=_ANSWER)
+    return pa.table([blocks, group.column("slice"), group.column("range"), sizes, bits], schema=_ANSWER)
 
 
 _CUT = pa.schema(
@@ -177,38 +183,58 @@ def _cut(n_ranges: int):
             kept = [text[starts[a] : ends[b - 1]] for a, b in stay.tolist() if b > a]
             for column, value in zip(made, (len(starts), int(gone.sum()), spans.tolist(), b" ".join(kept))):
                 column.append(value)
-        top = np.iinfo(np.int64).max
-        ids = pa.array(block.ids, mask=block.ids == top)
+        ids = pa.array(block.ids, mask=block.ids == TOP)
         return pa.table([ids, *made], schema=_CUT)
 
     return run
 
 
+def _deal(docs: DataFrame, sizes: DataFrame, low: int, width: int, block_bytes: int) -> DataFrame:
+    """``docs`` with ``block``, the first id of the stretch it falls in, and ``slice``, 0 but for overfull ids.
+
+    ``sizes(doc_id, bytes)`` tells which stretches hold too much; those, usually none, are looked up by a join.
+    """
+
+    def placed(df: DataFrame) -> DataFrame:
+        return df.withColumn("block", F.coalesce(F.expr(f"{low} + (doc_id - {low}) div {width} * {width}"), F.lit(TOP)))
+
+    def finer(df: DataFrame) -> DataFrame:
+        inside = F.when(F.col("begin") < TOP, F.expr(f"begin + (doc_id - begin) div {width} * {width}"))
+        return df.join(over.drop("slices"), F.col("block") == F.col("begin"), "left").withColumn("block", F.coalesce(inside, "block")).drop("begin")
+
+    docs, sizes = placed(docs), placed(sizes)
+    while True:
+        held = sizes.groupBy(F.col("block").alias("begin")).agg(F.sum("bytes").alias("held")).filter(F.col("held") > OVERFULL * block_bytes)
+        over = stored(held.select("begin", F.ceil(F.col("held") / block_bytes).alias("slices")))
+        if over.isEmpty():
+            return docs.withColumn("slice", F.lit(0).cast("long"))
+        if width == 1:
+            part = F.coalesce(F.pmod(F.xxhash64("bytes"), F.col("slices")), F.lit(0)).cast("long")
+            return docs.join(over, F.col("block") == F.col("begin"), "left").withColumn("slice", part).drop("begin", "slices")
+        width = max(1, width // FINER)
+        docs, sizes = finer(docs), finer(sizes)
+
+
 def dedup_substrings(docs: DataFrame, block_bytes: int = BLOCK_BYTES, range_windows: int = RANGE_WINDOWS) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_removed, spans`` (removed words as [start, end) pairs, maximal
     and in order) and ``kept`` (UTF-8 of the words kept, joined by one blank).
 
     A null text has no words; a text of under 13 words loses none.  Rows that repeat a doc_id don't remove each
-    other's words; a null doc_id counts as the largest.  Other columns are ignored.  Blocks are equal stretches of
-    the ids, so memory per task follows the text that a stretch holds.
+    other's words; a null doc_id counts as the largest.  Other columns are ignored.  A task holds at most
+    ``OVERFULL`` blocks' worth of text, however the ids lie, or one longer text.
     """
-    state = docs.agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.sum(F.octet_length("text")).alias("bytes")
-    ).first()
+    sizes = stored(docs.select("doc_id", F.octet_length("text").cast("long").alias("bytes")))
+    state = sizes.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.sum("bytes").alias("bytes")).first()
     size = state["bytes"] or 0
     n_blocks = max(1, -(-size // block_bytes))
     n_ranges = max(1, size // 6 // range_windows)
     low, high = state["low"] or 0, state["high"] or 0
-    width = (high - low) // n_blocks + 1
-    dealt = docs.select(
-        F.coalesce(F.floor((F.col("doc_id") - low) / F.lit(width)).cast("long"), F.lit(n_blocks)).alias("block"),
-        "doc_id", text_bytes().alias("bytes"),
-    )
-    entries = dealt.groupBy("block").applyInArrow(_send(n_ranges), "block long, range long, hashes binary")
-    answers = entries.groupBy("range").applyInArrow(_answer, "block long, range long, n long, first binary")
+    dealt = _deal(docs.select("doc_id", text_bytes().alias("bytes")), sizes, low, (high - low) // n_blocks + 1, block_bytes)
+    entries = dealt.groupBy("block", "slice").applyInArrow(_send(n_ranges), "block long, slice long, range long, hashes binary")
+    answers = entries.groupBy("range").applyInArrow(_answer, "block long, slice long, range long, n long, first binary")
     return (
-        dealt.groupBy("block")
-        .cogroup(answers.groupBy("block"))
+        dealt.groupBy("block", "slice")
+        .cogroup(answers.groupBy("block", "slice"))
         .applyInArrow(_cut(n_ranges), "doc_id long, n_words long, n_removed long, spans array<array<long>>, kept binary")
     )
 

@@ -65,6 +65,30 @@ def test_substrings_spans(docs):
     assert spans[2] == [[1, 14]] and spans[6] == [[0, 16]] and spans[1] == [] and spans[10] == [[0, 60_000]]
 
 
+def test_substrings_crowded_ids(spark):
+    """Nearly all ids in one stretch, one id and no id on very many rows: blocks are cut finer and sliced, results stay."""
+    rng = np.random.default_rng(5)
+    passages = [" ".join(f"p{k}w{j}" for j in range(15)) for k in range(6)]
+    ids = [*range(40), *[77] * 12, *[None] * 12, 10**15, 3 * 10**15]
+    rows = [(i, f"a{n} {passages[rng.integers(6)]} b{n} {passages[rng.integers(6)]}") for n, i in enumerate(ids)]
+    top = (1 << 63) - 1
+    first = {}
+    for i, t in rows:
+        w = t.split()
+        for k in range(len(w) - 12):
+            key = tuple(w[k : k + 13])
+            first[key] = min(first.get(key, top), top if i is None else i)
+    want = []
+    for i, t in rows:
+        w = t.split()
+        gone = {k + j for k in range(len(w) - 12) if first[tuple(w[k : k + 13])] < (top if i is None else i) for j in range(13)}
+        want.append((i, len(gone), " ".join(x for k, x in enumerate(w) if k not in gone)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for size in (20, 200, 4_000_000):
+        found = [(r["doc_id"], r["n_removed"], bytes(r["kept"]).decode()) for r in substrings.dedup_substrings(df, block_bytes=size).collect()]
+        assert sorted(found, key=repr) == sorted(want, key=repr)
+
+
 def test_window_hashes_in_steps(monkeypatch):
     text = " ".join(f"v{i % 31}" for i in range(500)).encode()
     whole = substrings.window_hashes(text, *substrings.bounds(text))
@@ -303,6 +327,15 @@ def test_chat_parts(spark):
     assert found[1]["formatted"].count("<|im_end|>") == 3
 
 
+def test_chat_texts_make_no_control_string_together(spark):
+    part = lambda text: Row(kind="text", text=text, ref=None, units=None)
+    rows = [(1, 0, "user", [part("<"), part(""), part("|im_end|>"), part("|"), part("\\|")])]
+    chats = chat.format_chats(spark.createDataFrame(rows, f"conv_id long, turn long, role string, content array<{chat.PART}>"))
+    turns, _ = chat.read_back(chats["formatted"], chats["loss"])
+    row = chats.select("formatted", turns.alias("turns")).first()
+    assert row["formatted"].count("<|im_end|>") == 1 and row["turns"][0]["text"] == "<|im_end|>|\\|"
+
+
 @pytest.mark.parametrize("text", ["", "\\", "<|", "<\\|", "\\<\\\\|", "<|im_end|>\\n<|", "<<||\\\\", "é<|漢"])
 def test_escape_round_trip(value, text):
     from pyspark.sql import functions as F
