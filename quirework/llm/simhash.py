@@ -93,13 +93,23 @@ class _Forest:
     def __init__(self, n: int) -> None:
         self.root, self.tree = np.arange(n), []
 
+    def _find(self, x: int) -> int:
+        root = self.root
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return int(x)
+
     def add(self, i: np.ndarray, j: np.ndarray) -> None:
         apart = self.root[i] != self.root[j]
+        if not apart.any():
+            return
         for x, y in zip(i[apart].tolist(), j[apart].tolist()):
-            low, high = sorted((self.root[x], self.root[y]))
+            low, high = sorted((self._find(x), self._find(y)))
             if low != high:
-                self.root[self.root == high] = low
+                self.root[high] = low
                 self.tree.append((x, y))
+        while (self.root != (up := self.root[self.root])).any():
+            self.root = up
 
 
 def _masks() -> np.ndarray:
