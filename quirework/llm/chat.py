@@ -27,8 +27,8 @@ def escape(text: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    r"""A single backslash between ``<`` and ``|`` was put there; all others stand in pairs."""
-    return F.replace(F.replace(text, F.lit("<\\|"), F.lit("<|")), F.lit("\\\\"), F.lit("\\"))
+    r"""A backslash always stands before another one or a ``|``, and goes."""
+    return F.regexp_replace(text, r"\\([\\|])", "$1")
 
 
 def text_part(text: Column) -> Column:
@@ -40,9 +40,13 @@ def text_part(text: Column) -> Column:
     return F.array(part)
 
 
-def _visit(part: Column) -> Column:
-    """Output of one part; a part of an unknown kind shows its text."""
+def _visit(part: Column, at: Column) -> Column:
+    """Output of one part; a part of an unknown kind shows its text.
+
+    A later part that begins with ``|`` gets a backslash, lest it make a control string with the part before it.
+    """
     shown = escape(F.coalesce(part["text"], F.lit("")))
+    shown = F.when((at > 0) & F.startswith(shown, F.lit("|")), F.concat(F.lit("\\"), shown)).otherwise(shown)
     for kind, sign in PLACEHOLDER.items():
         shown = F.when(part["kind"] == kind, F.lit(sign)).otherwise(shown)
     return shown
