@@ -152,7 +152,7 @@ def layout_crop_boxes(spark, folder):
 
 
 @query(
-    """WITH RECURSIVE w AS (SELECT o_custkey % 50 AS page, o_orderkey AS id, 60000 + (o_orderkey * 7919) % 640000 AS top, 20000 + (o_orderkey * 104729) % 500000 AS x0 FROM orders),
+    """WITH RECURSIVE w AS (SELECT o_custkey // 20 AS page, o_orderkey AS id, 60000 + (o_orderkey * 7919) % 640000 AS top, 20000 + (o_orderkey * 104729) % 500000 AS x0 FROM orders),
     n AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY top, x0, id) AS n FROM w),
     r AS (SELECT page, id, n, top AS anchor, 1::BIGINT AS line_no FROM n WHERE n = 1
       UNION ALL SELECT n.page, n.id, n.n, CASE WHEN n.top > r.anchor + 3000 THEN n.top ELSE r.anchor END, CASE WHEN n.top > r.anchor + 3000 THEN r.line_no + 1 ELSE r.line_no END
@@ -160,11 +160,11 @@ def layout_crop_boxes(spark, folder):
     SELECT n.page, r.line_no, min(n.top) / 1000 AS top, min(n.x0) / 1000 AS x0, string_agg('w' || n.id, ' ' ORDER BY n.top, n.x0, n.id) AS text FROM n JOIN r ON r.page = n.page AND r.id = n.id GROUP BY n.page, r.line_no"""
 )
 def layout_lines(spark, folder):
-    """Words placed from order keys grouped into the lines of fifty pages."""
+    """Words placed from order keys grouped into the lines of a page per twenty customers."""
     orders = table(spark, folder, "orders", "o_orderkey", "o_custkey")
     key = F.col("o_orderkey")
     words = orders.select(
-        (F.col("o_custkey") % 50).alias("page"),
+        F.floor(F.col("o_custkey") / 20).alias("page"),
         key.alias("id"),
         ((60_000 + (key * 7919) % 640_000) / 1000).alias("top"),
         ((20_000 + (key * 104_729) % 500_000) / 1000).alias("x0"),

@@ -137,6 +137,48 @@ def broken_links(spark, folder):
     return audit.missing_targets(edges, files.select("file").distinct()).select("file", "href", "target")
 
 
+# Pages with an id, a link to an id of their own address, and an image.
+_FURNISHED = f"""SELECT page_id, {_FILE} AS file, html || '<p id="a' || page_id % 7 || '">x</p><a href="' || {_FILE} || '#a' || page_id % 5
+    || '">x</a><a href="/gone/index.html#a1">x</a><img alt="" src="/img/' || page_id % 40 || '.png">' AS html FROM pages"""
+
+
+def _furnished(spark, folder):
+    n = F.col("page_id")
+    more = F.concat(
+        F.lit('<p id="a'), (n % 7).cast("string"), F.lit('">x</p><a href="'), F.col("file"), F.lit("#a"), (n % 5).cast("string"),
+        F.lit('">x</a><a href="/gone/index.html#a1">x</a><img alt="" src="/img/'), (n % 40).cast("string"), F.lit('.png">'),
+    )
+    return _files(spark, folder).select("page_id", "file", F.concat("html", more).alias("html"))
+
+
+_IDS = found(markup("html"), hx.attribute_pattern("[a-z][a-z0-9]*", "id"), 1)
+_BARE = r"\A[\"']|[\"']\z"
+
+
+@query(
+    f"""WITH f AS ({_FURNISHED}), a AS (SELECT DISTINCT file, {sub('v', _BARE, '')} AS id FROM (SELECT file, unnest({_IDS}) AS v FROM f)),
+    e AS (SELECT file AS origin, split_part(href, '#', 1) AS href, split_part(href, '#', 2) AS fragment FROM (SELECT file, unnest({hrefs('html')}) AS href FROM f)),
+    t AS (SELECT origin, fragment, {_TARGET} AS target FROM e WHERE fragment <> '' AND NOT regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:|^//'))
+    SELECT origin AS file, target, fragment FROM t WHERE target IN (SELECT file FROM f) AND (target, fragment) NOT IN (SELECT file, id FROM a)"""
+)
+def broken_fragments(spark, folder):
+    """Links to an existing page that lacks the id they point to."""
+    pages = _furnished(spark, folder)
+    edges = audit.link_edges(pages, "file", "html")
+    files = pages.select("file").distinct()
+    return audit.missing_anchors(edges, files, audit.page_anchors(pages, "file", "html").distinct()).select("file", "target", "fragment")
+
+
+@query(
+    f"""WITH f AS ({_FURNISHED}), e AS (SELECT file, page_id FROM f)
+    SELECT file, '/img/' || page_id % 40 || '.png' AS target FROM e WHERE page_id % 40 NOT IN (SELECT n_nationkey FROM nation)"""
+)
+def missing_images(spark, folder):
+    """Images that are no file of the site."""
+    there = table(spark, folder, "nation", "n_nationkey").select(F.concat(F.lit("/img/"), F.col("n_nationkey").cast("string"), F.lit(".png")).alias("file"))
+    return audit.missing_targets(audit.image_edges(_furnished(spark, folder), "file", "html"), there).select("file", "target")
+
+
 @query(
     f"""WITH s AS (SELECT DISTINCT '/' || lower(regexp_extract({_first('h1')}, '([A-Za-z]+)', 1)) AS section FROM pages),
     e AS (SELECT page_id, unnest({hrefs('html')}) AS href FROM pages),

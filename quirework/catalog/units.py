@@ -88,7 +88,7 @@ def page_to_first_unit(spark, folder):
         (F.col("event_id") + 500 + (F.col("event_id") % 4) * 1000).alias("b"),
     )
     points = events.select("user_id", "event_id", F.col("event_id").alias("at"))
-    found = units.first_match(points, spans, ["user_id"], "at", "event_id", "a", "b", "unit_id", ["unit_id"], width=2000)
+    found = units.first_match(points, spans, ["user_id"], "at", "event_id", "a", "b", "unit_id", ["unit_id"])
     return found.select("event_id", "unit_id")
 
 

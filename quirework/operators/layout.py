@@ -139,7 +139,7 @@ def text_block_ids(blocks: DataFrame, page: Sequence[str], pos: str, page_no: st
     )
 
 
-def heading_tiers(sizes: DataFrame, size: str, seq: str) -> DataFrame:
+def heading_tiers(sizes: DataFrame, size: str, seq: str | Column) -> DataFrame:
     """Tier of each size above the body size: largest h1, next h2, all others h3.
 
     The body size is the most frequent one, the earliest on a tie.  Sizes are counted

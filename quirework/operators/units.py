@@ -87,6 +87,28 @@ def locate(
     )
 
 
+#: Nodes of one level are this many bits finer than those of the next.
+NODE_BITS = 4
+
+
+def _pieces(start: Column, end: Column, levels: int) -> Column:
+    """(level, node) pieces that make up a closed interval: at each level the nodes that fit
+    into it and into no node of the next level, at most 30 of them."""
+    low = [-F.shiftright(-start, NODE_BITS * level) for level in range(levels)]
+    high = [F.shiftright(end + 1, NODE_BITS * level) for level in range(levels)]
+
+    def nodes(level: int, first: Column, stop: Column) -> Column:
+        run = F.when(first < stop, F.sequence(first, stop - 1)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(run, lambda n: F.struct(F.lit(level).alias("level"), n.alias("node")))
+
+    parts = [nodes(levels - 1, low[-1], high[-1])]
+    for level in range(levels - 1):
+        wider = low[level + 1] < high[level + 1]
+        parts.append(nodes(level, low[level], F.when(wider, F.shiftleft(low[level + 1], NODE_BITS)).otherwise(high[level])))
+        parts.append(nodes(level, F.when(wider, F.shiftleft(high[level + 1], NODE_BITS)).otherwise(high[level]), high[level]))
+    return F.flatten(F.array(*parts))
+
+
 def first_match(
     points: DataFrame,
     intervals: DataFrame,
@@ -97,28 +119,30 @@ def first_match(
     end: str,
     rank: str,
     carry: Sequence[str],
-    width: int,
+    levels: int = 6,
 ) -> DataFrame:
     """Left join of points to closed whole-number intervals that may overlap; the match
     with the lowest ``rank`` wins.
 
-    Intervals are laid over bins of ``width`` and joined on (key, bin), so the join is an
-    equality join that adaptive execution can split; only the best match per point is kept
-    by a partial aggregate.
+    The number line is a tree of 16 children a node.  An interval is cut into the few nodes that make it
+    up, of each node only the best interval is kept, and a point looks up the ``levels`` nodes it lies
+    in.  However many intervals overlap, a point meets one row per level, and the join is an
+    equality join.  Beyond the widest node an interval takes several of them.
     """
-    binned = intervals.select(
-        *keys, start, end, rank, *[c for c in carry if c not in (start, end, rank)],
-        F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width))).alias("__bin"),
+    best_of = F.struct(F.col(rank).alias("__rank"), *[F.col(c).alias(f"__{i}") for i, c in enumerate(carry)])
+    cut = intervals.select(
+        *keys, best_of.alias("__best"),
+        F.explode(_pieces(F.col(start).cast("long"), F.col(end).cast("long"), levels)).alias("__piece"),
     )
-    placed = points.select(*keys, point, point_id).withColumn("__bin", F.floor(F.col(point) / width))
-    best = (
-        placed.join(binned, [*keys, "__bin"])
-        .filter(F.col(point).between(F.col(start), F.col(end)))
-        .groupBy(*keys, point_id)
-        .agg(F.min_by(F.struct(*[F.col(c).alias(f"__{c}") for c in carry]), F.col(rank)).alias("__best"))
+    nodes = cut.groupBy(*keys, F.col("__piece.level").alias("__level"), F.col("__piece.node").alias("__node")).agg(
+        F.min_by("__best", "__best.__rank").alias("__best")
     )
+    at = F.col(point).cast("long")
+    ways = F.array(*[F.struct(F.lit(n).alias("__level"), F.shiftright(at, NODE_BITS * n).alias("__node")) for n in range(levels)])
+    placed = points.select(*keys, point_id, F.explode(ways).alias("__way")).select(*keys, point_id, "__way.*")
+    best = placed.join(nodes, [*keys, "__level", "__node"]).groupBy(*keys, point_id).agg(F.min_by("__best", "__best.__rank").alias("__best"))
     return points.join(best, [*keys, point_id], "left").select(
-        points["*"], *[F.col("__best")[f"__{c}"].alias(c) for c in carry]
+        points["*"], *[F.col("__best")[f"__{i}"].alias(c) for i, c in enumerate(carry)]
     )
 
 
