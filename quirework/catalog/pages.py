@@ -11,6 +11,7 @@ from quirework.functions import paths as px
 from quirework.functions import rules as rx
 from quirework.functions import text as tx
 from quirework.operators import audit
+from quirework.session import materialize
 from quirework.sources.tables import table
 
 
@@ -61,14 +62,16 @@ def page_blocks(spark, folder):
     return rows.select("page_id", (F.col("p") + 1).cast("long").alias("block_no"), "block")
 
 
-@query(
-    f"""WITH b AS (SELECT page_id, generate_subscripts(l, 1) AS n, unnest(l) AS block FROM (SELECT page_id, {_BLOCKS} AS l FROM pages)),
-    u AS (SELECT *, {sub('block', rf'https?://[^\n{tx.BLANK_CHARS}]+')} AS bare FROM b),
-    k AS (SELECT page_id, block, row_number() OVER (PARTITION BY page_id ORDER BY n) AS r FROM u
+def _leaking(source: str) -> str:
+    """SQL rows (page_id, block, r) of the leaking blocks of ``source(page_id, html)``."""
+    return f"""SELECT page_id, block, row_number() OVER (PARTITION BY page_id ORDER BY n) AS r FROM (
+        SELECT *, {sub('block', rf'https?://[^\n{tx.BLANK_CHARS}]+')} AS bare FROM (
+          SELECT page_id, generate_subscripts(l, 1) AS n, unnest(l) AS block FROM (SELECT page_id, {_BLOCKS} AS l FROM {source})))
       WHERE {squash("replace(bare, '↩︎', '')")} <> '' AND (regexp_matches(bare, {q(rx.SECTION_WORDS)}) OR
-        ({count('bare', tx.LATIN)} >= 80 AND ({count('bare', tx.CJK)} < 20 OR {count('bare', tx.LATIN)} > 2 * {count('bare', tx.CJK)}))))
-    SELECT page_id, r::BIGINT AS leak_no, left(block, 180) AS block FROM k WHERE r <= 5"""
-)
+        ({count('bare', tx.LATIN)} >= 80 AND ({count('bare', tx.CJK)} < 20 OR {count('bare', tx.LATIN)} > 2 * {count('bare', tx.CJK)})))"""
+
+
+@query(f"SELECT page_id, r::BIGINT AS leak_no, left(block, 180) AS block FROM ({_leaking('pages')}) WHERE r <= 5")
 def page_language_leaks(spark, folder):
     pages = table(spark, folder, "pages", "page_id", "html", spread="page_id")
     return audit.block_leaks(pages, ["page_id"], hx.visible_blocks(F.col("html")))
@@ -179,6 +182,52 @@ def missing_images(spark, folder):
     return audit.missing_targets(audit.image_edges(_furnished(spark, folder), "file", "html"), there).select("file", "target")
 
 
+# What the checks look for, put into some of the pages.
+_PLANTED = (
+    (9, "<p>TODO ######## x</p>"),
+    (10, "<h2>12 第 3 章 风险</h2>"),
+    (12, '<div class="section" number="2.2"><h2>2.2 b</h2></div>'),
+    (13, '<div class="section" number="2.1"><h2>a</h2></div>'),
+    (15, '<div class="tutorial-sidebar"><b data-sidebar-action="expand">+</b></div>'),
+    (16, '<pre><code><div class="code-tabs">x</div></code></pre>'),
+)
+_AUDITED = f"""SELECT page_id, file, CASE WHEN page_id % 14 = 0 THEN 'html' || chr(10) ELSE '' END || html || {
+    ' || '.join(f"CASE WHEN page_id % {n} = 0 THEN {q(v)} ELSE '' END" for n, v in _PLANTED)} AS html FROM ({_FURNISHED})"""
+_SHOWN_ANY = lambda pack: " OR ".join(f"regexp_matches(t, {q(r.regex)})" for r in pack)
+_MASKED = sub("html", audit.EMBEDDED_IMAGE, "data:image/removed")
+_ELEMENTS = f"list_transform({found('html', hx.element_pattern((*hx.HEADING_TAGS, 'p')))}, lambda b: {node_text('b')})"
+
+
+@query(
+    f"""WITH f AS ({_AUDITED}), v AS (SELECT {visible('html')} AS t FROM f), a AS (SELECT DISTINCT file, {sub('v', _BARE, '')} AS id FROM (SELECT file, unnest({_IDS}) AS v FROM f)),
+    e AS (SELECT split_part(href, '#', 1) AS href, split_part(href, '#', 2) AS fragment FROM (SELECT unnest({hrefs('html')}) AS href FROM f)),
+    t AS (SELECT fragment, {_TARGET} AS target FROM e WHERE NOT regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:|^//')),
+    r AS (SELECT (SELECT count(*) FROM f) AS pages,
+      (SELECT count(*) FROM v WHERE {_SHOWN_ANY(rx.SYMBOL_ARTIFACTS)}) + (SELECT count(*) FROM v WHERE {_SHOWN_ANY(rx.BAD_VISIBLE_TEXT)}) AS rule_hits,
+      (SELECT count(*) FROM f WHERE lower(trim(split_part(html, chr(10), 1))) = 'html' OR lower(trim(split_part(html, chr(10), 1))) LIKE '<html%') AS bad_preambles,
+      (SELECT count(*) FROM f WHERE page_id % 15 = 0) AS missing_controls, (SELECT count(*) FROM f WHERE page_id % 13 = 0) AS missing_numbers,
+      (SELECT count(*) FROM (SELECT unnest({_ELEMENTS}) AS b FROM f) WHERE {' OR '.join(f'regexp_full_match(b, {q(p)})' for p in rx.RUNNING_HEADERS)}) AS running_headers,
+      (SELECT count(*) FROM f WHERE page_id % 16 = 0) AS nested_code_tabs, (SELECT count(*) FROM ({_leaking('f')})) AS language_leaks,
+      (SELECT coalesce(sum({count(_MASKED, audit.TODO_MARKERS)}), 0)::BIGINT FROM f) AS todo_markers,
+      (SELECT count(*) FROM t WHERE target NOT IN (SELECT file FROM f)) AS missing_links,
+      (SELECT count(*) FROM t WHERE fragment <> '' AND target IN (SELECT file FROM f) AND (target, fragment) NOT IN (SELECT file, id FROM a)) AS missing_anchors,
+      (SELECT count(*) FROM f WHERE page_id % 40 NOT IN (SELECT n_nationkey FROM nation)) AS missing_images)
+    SELECT *, CASE WHEN rule_hits + bad_preambles + missing_controls + missing_numbers + running_headers + nested_code_tabs + todo_markers + missing_links + missing_anchors + missing_images > 0
+      THEN 'incomplete' ELSE 'ready' END AS status FROM r"""
+)
+def audit_report(spark, folder):
+    """Every check of the audit over pages that hold what it looks for, counted from one reading."""
+    n = F.col("page_id")
+    planted = [F.when(n % k == 0, F.lit(v)).otherwise("") for k, v in _PLANTED]
+    pages = _furnished(spark, folder).select(
+        "file", F.concat(F.when(n % 14 == 0, "html\n").otherwise(""), "html", *planted).alias("html")
+    )
+    found = materialize(audit.page_findings(pages, "file", "html", [rx.SYMBOL_ARTIFACTS, rx.BAD_VISIBLE_TEXT]))
+    there = table(spark, folder, "nation", "n_nationkey").select(F.concat(F.lit("/img/"), F.col("n_nationkey").cast("string"), F.lit(".png")).alias("file"))
+    broken = audit.integrity(found, found.select("file").unionByName(there).distinct())
+    return audit.findings_report(found, {name: (rows, True) for name, rows in broken.items()})
+
+
 @query(
     f"""WITH s AS (SELECT DISTINCT '/' || lower(regexp_extract({_first('h1')}, '([A-Za-z]+)', 1)) AS section FROM pages),
     e AS (SELECT page_id, unnest({hrefs('html')}) AS href FROM pages),

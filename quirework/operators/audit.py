@@ -6,7 +6,7 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirework.functions import code as cx
@@ -19,6 +19,8 @@ from quirework.functions import titles
 # --- fixed values -----------------------------------------------------------------
 LEAKS_PER_PAGE = 5
 REPORT_SAMPLES = 10
+TODO_MARKERS = "(?i)TODO|待翻译|未翻译"
+EMBEDDED_IMAGE = r"data:image/[^\"']+"
 # ----------------------------------------------------------------------------------
 
 
@@ -124,17 +126,24 @@ def nested_code_tabs(html: Column) -> Column:
     return html.rlike(r"(?i)<pre><code\b[^>]*>\s*<div\b[^>]*class=[\"'][^\"']*\bcode-tabs\b")
 
 
-def code_residue(pages: DataFrame, keys: Sequence[str], html: str, keep: int = LEAKS_PER_PAGE) -> DataFrame:
-    """Python listings that still hold R syntax outside comments, first ``keep`` per page."""
-    blocks = pages.select(*keys, F.posexplode(hx.code_in_language(F.col(html), "python")).alias("block_no", "code"))
+def listings_of(pages: DataFrame, keys: Sequence[str], listings: Column) -> DataFrame:
+    """(keys, block_no, code) of an array of listings."""
+    return pages.select(*keys, F.posexplode(listings).alias("block_no", "code"))
+
+
+def code_residue(blocks: DataFrame, keys: Sequence[str], keep: int | None = LEAKS_PER_PAGE, cut: int = 500) -> DataFrame:
+    """Python listings (keys, block_no, code) that still hold R syntax outside comments: the first ``keep`` per
+    page, or all without it, each cut to ``cut`` characters for the report."""
     hits = blocks.filter(rx.hits_any(cx.without_comments(F.col("code")), rx.R_RESIDUE))
-    packed = F.slice(F.sort_array(F.collect_list(F.struct("block_no", F.substring("code", 1, 500).alias("code")))), 1, keep)
-    return hits.groupBy(*keys).agg(packed.alias("__b")).select(*keys, F.explode("__b").alias("__b")).select(*keys, "__b.block_no", "__b.code")
+    shown = hits.select(*keys, "block_no", F.substring("code", 1, cut).alias("code"))
+    if keep is None:
+        return shown
+    at = Window.partitionBy(*keys).orderBy("block_no")
+    return shown.withColumn("__at", F.row_number().over(at)).filter(F.col("__at") <= keep).drop("__at")
 
 
-def code_errors(pages: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
-    """Python listings that do not parse."""
-    blocks = pages.select(*keys, F.posexplode(hx.code_in_language(F.col(html), "python")).alias("block_no", "code"))
+def code_errors(blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Python listings (keys, block_no, code) that do not parse."""
     checked = blocks.withColumn("error", cx.syntax_error(F.col("code"))).filter("error.message IS NOT NULL")
     return checked.select(*keys, "block_no", "error.line", "error.message")
 
@@ -154,6 +163,60 @@ def misplaced_headings(pages: DataFrame, sections: DataFrame, keys: Sequence[str
     return matched.join(pages_of, [*keys, "section_slug"]).filter("section_page < page")
 
 
+def page_findings(pages: DataFrame, file: str, html: str, packs: Sequence[Sequence[rx.Rule]]) -> DataFrame:
+    """One narrow row per page with all that the checks need, so the pages are read once.
+
+    ``rule_hits`` holds the first finding of each pack in the visible text.  Nothing is cut here.
+    """
+    page, text = F.col("__html"), F.col("__text")
+    seen = pages.select(F.col(file).alias("file"), F.col(html).alias("__html"), hx.visible_text(F.col(html)).alias("__text"))
+    return seen.select(
+        "file",
+        hx.links(page).alias("links"), hx.images(page).alias("images"), hx.ids(page).alias("ids"),
+        F.array_compact(F.array(*[rx.first_finding(text, pack) for pack in packs])).alias("rule_hits"),
+        hx.bad_preamble(page).alias("bad_preamble"), lacks_sidebar_controls(page).alias("missing_controls"),
+        unnumbered_sections(page).alias("missing_numbers"), header_artifacts(page).alias("running_headers"),
+        nested_code_tabs(page).alias("nested_code_tabs"), hx.code_in_language(page, "python").alias("listings"),
+        F.filter(hx.visible_blocks(page), lambda b: rx.is_leak(b)).alias("leaks"),
+        tx.count_matches(F.regexp_replace(page, EMBEDDED_IMAGE, "data:image/removed"), TODO_MARKERS).alias("todo_markers"),
+    )
+
+
+def integrity(findings: DataFrame, files: DataFrame, marked: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Links, fragments and images without a target.  ``marked(file, ids)`` names the ids of all pages, if
+    ``findings`` has only some of them."""
+    links = _targets(findings.select("file", F.explode("links").alias("href")), "file", "href")
+    images = _targets(findings.select("file", F.explode("images").alias("src")), "file", "src")
+    anchors = (findings if marked is None else marked).select("file", F.explode("ids").alias("id"))
+    return {
+        "missing_links": missing_targets(links, files),
+        "missing_anchors": missing_anchors(links, files, anchors),
+        "missing_images": missing_targets(images, files),
+    }
+
+
+def findings_report(findings: DataFrame, rows: dict[str, tuple[DataFrame, bool]], soft: Sequence[str] = ("language_leaks",)) -> DataFrame:
+    """One row: counts over ``findings`` in one aggregate, a count of each of ``rows(name: (rows, hard))``, and a
+    status, ``incomplete`` if a count is not zero that is neither soft nor of the pages."""
+    size = lambda column: F.sum(F.size(column).cast("long"))
+    counts = {
+        "rule_hits": size("rule_hits"),
+        "bad_preambles": F.count_if("bad_preamble"),
+        "missing_controls": F.count_if("missing_controls"),
+        "missing_numbers": size("missing_numbers"),
+        "running_headers": size("running_headers"),
+        "nested_code_tabs": F.count_if("nested_code_tabs"),
+        "language_leaks": size("leaks"),
+        "todo_markers": F.sum("todo_markers"),
+    }
+    none = F.lit(0).cast("long")
+    row = findings.agg(F.count(F.lit(1)).alias("pages"), *[F.coalesce(value, none).alias(name) for name, value in counts.items()])
+    row = row.select("*", *[found.agg(F.count(F.lit(1))).scalar().alias(name) for name, (found, _) in rows.items()])
+    hard = [name for name in counts if name not in soft] + [name for name, (_, strict) in rows.items() if strict]
+    failed = reduce(lambda a, b: a | b, [F.col(name) > 0 for name in hard])
+    return row.withColumn("status", F.when(failed, F.lit("incomplete")).otherwise(F.lit("ready")))
+
+
 def report(metrics: Sequence[tuple[str, DataFrame, bool]]) -> DataFrame:
     """One row: a count per metric and a status, ``incomplete`` if a hard one is not zero.
 
@@ -174,13 +237,13 @@ def report(metrics: Sequence[tuple[str, DataFrame, bool]]) -> DataFrame:
 def document_report(pages: DataFrame, html: Column, expected: DataFrame, done: DataFrame, key: str, red_flags: Sequence[str] = ()) -> DataFrame:
     """Quality row of rendered documents: missing answers, listings against copy buttons,
     open markers and red flags; embedded images are masked before scanning."""
-    scan = F.regexp_replace(html, r"data:image/[^\"']+", "data:image/removed")
+    scan = F.regexp_replace(html, EMBEDDED_IMAGE, "data:image/removed")
     flags = reduce(lambda a, b: a + b, [tx.count_matches(scan, rf"\Q{f}\E") for f in red_flags], F.lit(0).cast("long"))
     counted = pages.agg(
         F.count(F.lit(1)).alias("documents"),
         F.sum(tx.count_matches(html, 'class="r-code-card"')).alias("code_cards"),
         F.sum(tx.count_matches(html, 'class="copy-code"')).alias("copy_buttons"),
-        F.sum(tx.count_matches(scan, "(?i)TODO|待翻译|未翻译")).alias("todo_markers"),
+        F.sum(tx.count_matches(scan, TODO_MARKERS)).alias("todo_markers"),
         F.sum(flags).alias("red_flags"),
     )
     missing = expected.select(key).join(done.select(key), key, "left_anti").agg(F.count(F.lit(1)))

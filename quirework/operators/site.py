@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,24 +124,26 @@ def audit_site(spark: SparkSession, root: str, rules=None, page: str | None = No
     every = sources.html_tree(spark, root).select(_within(F.col("path"), root).alias("file"), F.col("raw").alias("html"))
     pages = every.filter(F.col("file") == f"/{page.lstrip('/')}") if page else every
     files = site_files(spark, root)
-    links = audit.link_edges(pages, "file", "html")
-    shown = pages.select("file", hx.visible_text(F.col("html")).alias("text"))
+    # Pages are read once; every check works on the stored row of a page.
+    pages_found = materialize(audit.page_findings(pages, "file", "html", packs))
+    marked = every.select("file", hx.ids(F.col("html")).alias("ids")) if page else None
+    blocks = audit.listings_of(pages_found, ["file"], F.col("listings"))
+    broken = audit.integrity(pages_found, files, marked)
+    residue, errors = audit.code_residue(blocks, ["file"], keep=None), audit.code_errors(blocks, ["file"])
+    leaks = F.posexplode(F.slice("leaks", 1, audit.LEAKS_PER_PAGE)).alias("leak_no", "block")
     found = {
-        "missing_links": audit.missing_targets(links, files),
-        "missing_anchors": audit.missing_anchors(links, files, audit.page_anchors(every, "file", "html")),
-        "missing_images": audit.missing_targets(audit.image_edges(pages, "file", "html"), files),
-        "rule_hits": reduce(
-            DataFrame.unionByName, [audit.rule_hits(shown, ["file"], F.col("text"), pack, first_only=True) for pack in packs]
+        **broken,
+        "rule_hits": pages_found.select("file", F.explode("rule_hits").alias("f")).select("file", "f.rule", "f.matched"),
+        "bad_preambles": pages_found.filter("bad_preamble").select("file"),
+        "missing_controls": pages_found.filter("missing_controls").select("file"),
+        "missing_numbers": pages_found.select("file", F.explode("missing_numbers").alias("number")),
+        "running_headers": pages_found.select("file", F.explode("running_headers").alias("text")),
+        "nested_code_tabs": pages_found.filter("nested_code_tabs").select("file"),
+        "code_residue": audit.code_residue(blocks, ["file"]),
+        "code_errors": errors,
+        "language_leaks": pages_found.select("file", leaks).select(
+            "file", (F.col("leak_no") + 1).cast("long").alias("leak_no"), F.substring("block", 1, 180).alias("block")
         ),
-        "bad_preambles": pages.filter(hx.bad_preamble(F.col("html"))).select("file"),
-        "missing_controls": pages.filter(audit.lacks_sidebar_controls(F.col("html"))).select("file"),
-        "missing_numbers": pages.select("file", F.explode(audit.unnumbered_sections(F.col("html"))).alias("number")),
-        "running_headers": pages.select("file", F.explode(audit.header_artifacts(F.col("html"))).alias("text")),
-        "nested_code_tabs": pages.filter(audit.nested_code_tabs(F.col("html"))).select("file"),
-        "code_residue": audit.code_residue(pages, ["file"], "html"),
-        "code_errors": audit.code_errors(pages, ["file"], "html"),
-        "language_leaks": audit.block_leaks(pages, ["file"], hx.visible_blocks(F.col("html"))),
     }
-    soft = {"language_leaks"}
-    report = audit.report([(name, rows, name not in soft) for name, rows in found.items()])
-    return {**found, "report": report}
+    counted = {**broken, "code_residue": residue, "code_errors": errors}
+    return {**found, "report": audit.findings_report(pages_found, {name: (rows, True) for name, rows in counted.items()})}
