@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quirework.catalog.registry import query
-from quirework.operators import book
+from quirework.operators import audit, book
 from quirework.plans.ordered import id_bucket
 from quirework.sources.tables import table
 
@@ -68,3 +68,56 @@ def unit_missing_pages(spark, folder):
 def unit_contents(spark, folder):
     """Contents list of every book."""
     return book.contents(_units(spark, folder), ["book"], "o_orderkey", ROOT)
+
+
+_LED = """WITH s AS (SELECT c_custkey AS unit, 'Topic of ' || c_name AS title, CASE WHEN c_custkey % 4 = 0 THEN b ELSE a END AS section_page
+      FROM customer JOIN (SELECT o_custkey, min(o_orderkey) AS a, max(o_orderkey) AS b FROM orders GROUP BY 1) ON o_custkey = c_custkey),
+    p AS (SELECT o_custkey AS unit, o_orderkey AS page, title, section_page, o_orderkey % 5 = 0 AS other, o_orderkey % 3 AS kind,
+        '<section class="book-page" data-pdf-page="' || o_orderkey || '">' AS opening, '<h2 id="section-' || o_custkey || '">' || title || '</h2>' AS heading
+      FROM orders JOIN s ON s.unit = o_custkey)"""
+
+
+def _led(spark, folder):
+    """Pages led by the title of their unit's section, the sections, and the source of the pages."""
+    orders = table(spark, folder, "orders", "o_orderkey", "o_custkey")
+    customers = table(spark, folder, "customer", "c_custkey", "c_name").select(F.col("c_custkey").alias("o_custkey"), F.concat(F.lit("Topic of "), "c_name").alias("title"))
+    first = orders.groupBy("o_custkey").agg(F.min("o_orderkey").alias("a"), F.max("o_orderkey").alias("b")).join(customers, "o_custkey")
+    page = F.when(F.col("o_custkey") % 4 == 0, F.col("b")).otherwise(F.col("a"))
+    sections = first.select(
+        F.col("o_custkey").alias("unit"), F.concat(F.lit("section-"), F.col("o_custkey").cast("string")).alias("slug"), F.col("title").alias("title_en"),
+        F.lit(None).cast("string").alias("title_zh"), F.lit(1).alias("level"), page.alias("pdf_page"),
+    )
+    rows = orders.join(customers, "o_custkey")
+    number, kind = F.col("o_orderkey").cast("string"), F.col("o_orderkey") % 3
+    head = F.when(F.col("o_orderkey") % 5 == 0, "<p>Elsewhere</p>").otherwise(F.concat(F.lit("<h2>"), F.upper("title"), F.lit("</h2>")))
+    pages = rows.select(
+        F.col("o_custkey").alias("unit"), F.col("o_orderkey").alias("page"),
+        F.concat(F.lit('<section class="book-page" data-pdf-page="'), number, F.lit('">'), head, F.lit("<p>One</p><figure>f</figure><p>Two</p></section>")).alias("html"),
+    )
+    before = F.when(kind == 0, "").when(kind == 1, "This is a line of running text.\n").otherwise("Fig. 3.1. Something is shown here.\n")
+    sources = rows.select(
+        F.col("o_custkey").alias("unit"), F.col("o_orderkey").alias("page"), F.concat(before, "title", F.lit("\nMore text follows on this page.")).alias("text")
+    )
+    return pages, sections, sources
+
+
+@query(
+    _LED
+    + """ SELECT unit, page, opening || CASE WHEN other THEN '<p>Elsewhere</p><p>One</p><figure>f</figure><p>Two</p>'
+      WHEN section_page > page OR (section_page = page AND kind = 0) THEN '<h2>' || upper(title) || '</h2><p>One</p><figure>f</figure><p>Two</p>'
+      WHEN section_page < page THEN '<p>One</p><figure>f</figure><p>Two</p>'
+      WHEN kind = 1 THEN '<p>One</p><figure>f</figure>' || heading || chr(10) || '<p>Two</p>'
+      ELSE '<p>One</p><figure>f</figure>' || chr(10) || heading || '<p>Two</p>' END || '</section>' AS html FROM p"""
+)
+def heading_repair(spark, folder):
+    """Pages with the section titles at their head removed or moved to where the source has them."""
+    pages, sections, sources = _led(spark, folder)
+    return book.repair_headings(pages, sections, sources, ["unit"])
+
+
+@query(_LED + " SELECT unit, page, 'section-' || unit AS slug FROM p WHERE NOT other AND (section_page < page OR (section_page = page AND kind > 0))")
+def misplaced_headings(spark, folder):
+    """Titles at the head of a page whose section began earlier, or begins further down."""
+    pages, sections, sources = _led(spark, folder)
+    found = audit.misplaced_headings(pages.select("unit", F.col("html")), sections, ["unit"], "html", sources)
+    return found.select("unit", "page", F.col("section_slug").alias("slug"))

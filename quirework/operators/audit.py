@@ -148,19 +148,21 @@ def code_errors(blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
     return checked.select(*keys, "block_no", "error.line", "error.message")
 
 
-def misplaced_headings(pages: DataFrame, sections: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
-    """Page sections led by the title of a section that began on an earlier page."""
-    from quirework.operators.units import match_headings
+def misplaced_headings(pages: DataFrame, sections: DataFrame, keys: Sequence[str], html: str, sources: DataFrame | None = None) -> DataFrame:
+    """Page sections led by the title of a section that began on an earlier page, or, with the ``sources`` of the
+    pages (keys, page, text), of one that the source begins further down the same page."""
+    from quirework.operators.book import heading_places
 
     led = r"(?is)<section\b(?=[^>]*book-page)[^>]*\bdata-pdf-page\s*=\s*[\"'][0-9]+[\"'][^>]*>\s*(?:<h[1-6]\b[^>]*>.*?</h[1-6]>|<p\b[^>]*>.*?</p>)"
     found = pages.select(*keys, F.explode(F.regexp_extract_all(F.col(html), F.lit(led), F.lit(0))).alias("__s")).select(
         *keys,
-        F.regexp_extract("__s", r"data-pdf-page\s*=\s*[\"']([0-9]+)[\"']", 1).cast("int").alias("page"),
+        F.regexp_extract("__s", r"data-pdf-page\s*=\s*[\"']([0-9]+)[\"']", 1).cast("long").alias("page"),
         hx.node_text(F.regexp_extract("__s", r"(?is)<section\b[^>]*>\s*(.*)\z", 1)).alias("text"),
     )
-    matched = match_headings(found, sections, keys, "text", ["title_en", "title_zh"], "pdf_page").filter("section_slug IS NOT NULL")
-    pages_of = sections.select(*keys, F.col("slug").alias("section_slug"), F.col("pdf_page").alias("section_page"))
-    return matched.join(pages_of, [*keys, "section_slug"]).filter("section_page < page")
+    told = sources if sources is not None else found.select(*keys, "page", F.lit(None).cast("string").alias("text")).limit(0)
+    placed = heading_places(found, sections.withColumn("level", F.lit(1)), told, keys)
+    wrong = (F.col("section_page") < F.col("page")) | ((F.col("section_page") == F.col("page")) & ~F.col("near_top"))
+    return placed.filter(wrong).select(*keys, "page", "text", F.col("slug").alias("section_slug"), "section_page")
 
 
 def page_findings(pages: DataFrame, file: str, html: str, packs: Sequence[Sequence[rx.Rule]]) -> DataFrame:

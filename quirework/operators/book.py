@@ -7,14 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quirework.functions import fragments as fr
 from quirework.functions import html as hx
 from quirework.functions import text as tx
-from quirework.operators.units import expand
+from quirework.operators.units import expand, match_headings
 from quirework.plans.ordered import Following, Previous, ordered_scan
 
 #: Fixed values of the output.
 NAV_OPEN, NAV_CLOSE, NO_PREVIOUS = '<nav class="chapter-nav">', "</nav>", "<span></span>"
 PREVIOUS_LABEL, NEXT_LABEL = "上一节：", "下一节："
+#: Fixed value: a figure or table named in source text.
+FIGURE_OR_TABLE = r"\b(?:Fig\.|Figure|Table)\s+[0-9]"
 
 #: Parts of a unit page, in order; a page has its missing section anchors in front.
 HEAD, PAGES, NAVIGATION = 0, 1, 2
@@ -83,3 +86,48 @@ def unit_parts(
 def missing_pages(parts: DataFrame, book: Sequence[str]) -> DataFrame:
     """Expected pages that were not there."""
     return parts.filter((F.col("part") == PAGES) & (F.col("layer") == FRAGMENT) & F.col("html").isNull()).select(*book, "slug", "page")
+
+
+def heading_places(heads: DataFrame, sections: DataFrame, sources: DataFrame, keys: Sequence[str], **boilerplate) -> DataFrame:
+    """Where the section titles that lead pages belong.
+
+    ``heads(*keys, page, text)`` are the first texts of the pages, ``sections(*keys, slug, title_en, title_zh, level,
+    pdf_page)`` the sections of the units, ``sources(*keys, page, text)`` the source of the pages.  Rows
+    (*keys, page, text, slug, section_page, near_top, blocks, after_figure, heading) of the heads that read like a section
+    with a page: whether the source has its title at the top of the page, how many stretches of
+    prose stand above it, whether a figure does.  A page without source counts as one with the title at its top.
+    """
+    known = sections.filter(F.col("pdf_page").isNotNull())
+    matched = match_headings(heads, known, keys, "text", ["title_en", "title_zh"], "pdf_page").filter("section_slug IS NOT NULL")
+    facts = known.groupBy(*keys, F.col("slug").alias("section_slug")).agg(
+        F.min_by(F.struct("title_en", "title_zh", "level", "pdf_page"), "pdf_page").alias("__s")
+    )
+    told = sources.select(*keys, "page", F.col("text").alias("__source"))
+    rows = matched.join(facts, [*keys, "section_slug"]).join(told, [*keys, "page"], "left")
+    lines = fr.source_lines(F.coalesce("__source", F.lit("")), **boilerplate)
+    placed = rows.select("*", lines.alias("__lines"))
+    title = F.col("__s.title_en")
+    above = F.slice("__lines", F.lit(1), F.greatest(fr.title_position(F.col("__lines"), title) - 1, F.lit(0)))
+    return placed.select(
+        *keys, "page", "text", F.col("section_slug").alias("slug"), F.col("__s.pdf_page").alias("section_page"),
+        fr.title_near_top(F.col("__lines"), title).alias("near_top"), fr.prose_blocks_before(F.col("__lines"), title).alias("blocks"),
+        F.array_join(above, "\n").rlike(FIGURE_OR_TABLE).alias("after_figure"),
+        fr.section_heading(F.col("__s.level"), F.col("section_slug"), F.coalesce("__s.title_zh", "__s.title_en")).alias("heading"),
+    )
+
+
+def repair_headings(pages: DataFrame, sections: DataFrame, sources: DataFrame, keys: Sequence[str], **boilerplate) -> DataFrame:
+    """``pages(*keys, page, html)`` with the section titles at the head of pages put right: a section of an
+    earlier page loses the repeated title, one that begins further down the page gets it moved there.
+
+    Only the first text of a page travels to the sections, and only pages led by a title meet their source.
+    """
+    heads = pages.select(*keys, "page", fr.leading_text(F.col("html")).alias("text")).filter("text <> ''")
+    places = heading_places(heads, sections, sources, keys, **boilerplate).select(
+        *keys, "page", F.struct("section_page", "near_top", "blocks", "after_figure", "heading").alias("__place")
+    )
+    place = F.col("__place")
+    settled = fr.settle_heading(
+        F.col("html"), F.col("page"), place["section_page"], place["near_top"], place["heading"], place["blocks"], place["after_figure"]
+    )
+    return pages.join(places, [*keys, "page"], "left").select(*keys, "page", settled.alias("html"))

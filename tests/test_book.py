@@ -1,4 +1,4 @@
-"""Unit pages of a book: order of parts, anchors, missing pages, neighbours, null books."""
+"""Unit pages of a book: order of parts, anchors, missing pages, neighbours, null books; heading repair."""
 
 from quirework.operators import book
 from quirework.plans.ordered import id_bucket
@@ -34,3 +34,30 @@ def test_unit_parts(spark):
         )
     gone = book.missing_pages(book.unit_parts(units, pages, sections, ["book"], "n", id_bucket("n"), "r"), ["book"]).collect()
     assert sorted((r["slug"], r["page"]) for r in gone) == [("c", 3), ("d", 9)]
+
+
+def test_heading_repair(spark):
+    def page(lead, *rest):
+        return '<section class="book-page">' + lead + "".join(rest) + "</section>"
+
+    head, figure = "<h3>2.4 Tail Risk</h3>", "<figure>f</figure>"
+    sections = spark.createDataFrame(
+        [("u", "s", "2.4 Tail Risk", "2.4 尾部风险", 2, 7), ("u", "t", "2.5 No Page", None, 1, None), (None, "n", "2.4 Tail Risk", None, 1, 1)],
+        "unit string, slug string, title_en string, title_zh string, level int, pdf_page int",
+    )
+    pages = [
+        ("u", 6, page(head, "<p>a</p>")), ("u", 7, page(head, "<p>a</p>", "<p>b</p>")), ("u", 8, page("<p>2.4 尾部风险</p>", "<p>a</p>")),
+        ("u", 9, page("<h2>2.5 No Page</h2>")), ("u", 10, page(figure)), (None, 8, page(head)), ("v", 8, page(head)), ("u", 11, None),
+    ]
+    frame = spark.createDataFrame(pages, "unit string, page long, html string")
+
+    def repaired(source):
+        sources = spark.createDataFrame([("u", 7, source)], "unit string, page long, text string")
+        return {(r.unit, r.page): r.html for r in book.repair_headings(frame, sections, sources, ["unit"]).collect()}
+
+    same = {(u, n): h for u, n, h in pages}
+    low = repaired("Here is a whole line of running text.\n2.4 Tail Risk\nMore of it follows below.")
+    moved = '<h3 id="s">2.4 尾部风险</h3>'
+    assert low == {**same, ("u", 7): page("<p>a</p>", moved + "\n", "<p>b</p>"), ("u", 8): page("", "<p>a</p>")}
+    for at_top in ("2.4 Tail Risk\nMore of it follows below.", "No title here at all in this text.", None):
+        assert repaired(at_top)["u", 7] == same["u", 7]
