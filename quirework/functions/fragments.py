@@ -17,6 +17,10 @@ from quirework.functions import text as tx
 from quirework.functions import titles
 
 
+#: Lines per stretch of a fold.
+STRETCH = 512
+
+
 def stitch(parts: Column, values: Column) -> Column:
     """Text pieces with a value after each but the last."""
     return F.array_join(F.transform(parts, lambda part, i: F.concat(part, F.coalesce(F.get(values, i), F.lit("")))), "")
@@ -60,19 +64,33 @@ def drop_boilerplate(
 
         return tx.bind(F.struct(raw.alias("raw"), line.alias("line"), F.lower(line).alias("low")), judge)
 
-    def state(out: Column, left: Column) -> Column:
-        return F.struct(out.alias("out"), left.alias("left"))
+    def state(out: Column, left: Column, some: Column) -> Column:
+        return F.struct(out.alias("out"), left.alias("left"), some.alias("some"))
 
     def step(s: Column, line: Column) -> Column:
         return (
-            F.when(s["left"] > 0, state(s["out"], s["left"] - 1))
-            .when(line["skip"] > 0, state(s["out"], line["skip"]))
-            .when(line["lone"] | (line["number"] & (F.size(s["out"]) > 0)), s)
-            .otherwise(state(F.concat(s["out"], F.array(line["raw"])), F.lit(0)))
+            F.when(s["left"] > 0, state(s["out"], s["left"] - 1, s["some"]))
+            .when(line["skip"] > 0, state(s["out"], line["skip"], s["some"]))
+            .when(line["lone"] | (line["number"] & s["some"]), s)
+            .otherwise(state(F.concat(s["out"], F.array(line["raw"])), F.lit(0), F.lit(True)))
+        )
+
+    none = F.array().cast("array<string>")
+
+    # The lines kept are gathered by stretch, so that appending copies at most a stretch, not all lines before.
+    def over(s: Column, stretch: Column) -> Column:
+        walked = F.aggregate(stretch, state(none, s["left"], s["some"]), step)
+        return tx.bind(walked, lambda w: state(F.concat(s["out"], F.array(w["out"])), w["left"], w["some"]))
+
+    def kept(looked: Column) -> Column:
+        stretches = F.transform(
+            F.sequence(F.lit(0), F.floor(F.greatest(F.size(looked) - 1, F.lit(0)) / STRETCH).cast("int")),
+            lambda n: F.slice(looked, n * STRETCH + 1, F.lit(STRETCH)),
         )
+        start = state(F.array().cast("array<array<string>>"), F.lit(0), F.lit(False))
+        return F.aggregate(stretches, start, over, lambda s: F.flatten(s["out"]))
 
-    start = state(F.array().cast("array<string>"), F.lit(0))
-    return F.array_join(F.aggregate(F.transform(tx.lines(text), look), start, step, lambda s: s["out"]), "\n")
+    return F.array_join(tx.bind(F.transform(tx.lines(text), look), kept), "\n")
 
 
 def drop_elements(fragment: Column, tags: Sequence[str], unwanted) -> Column:
