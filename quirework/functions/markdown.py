@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from quirework.functions import text as tx
 
 FRONT_MARK = "---\n"
+#: Lines per stretch of the fold over a document.
+STRETCH = 512
 
 
 def has_front_matter(raw: Column) -> Column:
@@ -85,8 +87,9 @@ def inline(text: Column) -> Column:
 def render(markdown: Column) -> Column:
     """HTML of a document.
 
-    Each line is classified once; a fold over the lines keeps what is open (paragraph,
-    list, code) and appends finished blocks.  A fence that never closes is dropped with
+    Each line is classified once; a fold over the lines keeps what is open (the lines of a paragraph or
+    of code, the list) and appends finished blocks, by stretches of lines, so that appending copies no more
+    than a stretch.  A fence that never closes is dropped with
     its lines, as are lines after it.
     """
     fence, blank, figure, heading, quote, bullet, number, plain = range(8)
@@ -133,22 +136,22 @@ def render(markdown: Column) -> Column:
         return F.struct(out.alias("out"), para.alias("para"), listed.alias("listed"), code.alias("code"))
 
     none = F.lit(None).cast("string")
+    shut = F.lit(None).cast("array<string>")
+    empty = F.array().cast("array<string>")
 
     def closed_para(s: Column) -> Column:
-        return F.when(
-            s["para"].isNotNull(), F.concat(s["out"], F.lit("<p>"), inline(s["para"]), F.lit("</p>\n"))
-        ).otherwise(s["out"])
+        shown = F.concat(F.lit("<p>"), inline(F.array_join(s["para"], " ")), F.lit("</p>\n"))
+        return F.when(s["para"].isNotNull(), F.concat(s["out"], F.array(shown))).otherwise(s["out"])
 
     def closed_all(s: Column) -> Column:
         tail = F.when(s["listed"].isNotNull(), F.concat(F.lit("</"), s["listed"], F.lit(">\n"))).otherwise(F.lit(""))
-        return F.concat(closed_para(s), tail)
+        return F.concat(closed_para(s), F.array(tail))
 
     def add(s: Column, line: Column) -> Column:
         kind, row = line["kind"], line["row"]
         wanted = F.when(kind == bullet, F.lit("ul")).otherwise(F.lit("ol"))
         same = F.coalesce(s["listed"] == wanted, F.lit(False))
         opened = F.concat(
-            closed_para(s),
             F.when(same, F.lit("")).otherwise(
                 F.concat(
                     F.when(s["listed"].isNotNull(), F.concat(F.lit("</"), s["listed"], F.lit(">\n"))).otherwise(F.lit("")),
@@ -157,25 +160,37 @@ def render(markdown: Column) -> Column:
             ),
         )
         in_code = s["code"].isNotNull()
-        # The first code line follows an opening mark so that an empty block stays open.
-        listing = F.concat(F.lit("<pre><code>"), tx.escape_html(F.regexp_replace(s["code"], r"\A\u0001\n?", "")), F.lit("</code></pre>\n"))
+        listing = F.concat(F.lit("<pre><code>"), tx.escape_html(F.array_join(s["code"], "\n")), F.lit("</code></pre>\n"))
         return (
-            F.when(in_code & (kind == fence), state(F.concat(s["out"], listing), s["para"], s["listed"], none))
-            .when(in_code, state(s["out"], s["para"], s["listed"], F.concat(s["code"], F.lit("\n"), row)))
-            .when(kind == fence, state(closed_all(s), none, none, F.lit("\u0001")))
-            .when(kind == blank, state(closed_all(s), none, none, none))
-            .when(kind.isin(figure, heading, quote), state(F.concat(closed_all(s), line["block"], F.lit("\n")), none, none, none))
-            .when(kind.isin(bullet, number), state(F.concat(opened, line["block"], F.lit("\n")), none, wanted, none))
+            F.when(in_code & (kind == fence), state(F.concat(s["out"], F.array(listing)), s["para"], s["listed"], shut))
+            .when(in_code, state(s["out"], s["para"], s["listed"], F.concat(s["code"], F.array(row))))
+            .when(kind == fence, state(closed_all(s), shut, none, empty))
+            .when(kind == blank, state(closed_all(s), shut, none, shut))
+            .when(kind.isin(figure, heading, quote), state(F.concat(closed_all(s), F.array(line["block"], F.lit("\n"))), shut, none, shut))
+            .when(kind.isin(bullet, number), state(F.concat(closed_para(s), F.array(opened, line["block"], F.lit("\n"))), shut, wanted, shut))
             .otherwise(
                 state(
                     s["out"],
-                    F.when(s["para"].isNull(), tx.strip(row)).otherwise(F.concat(s["para"], F.lit(" "), tx.strip(row))),
+                    F.concat(F.coalesce(s["para"], empty), F.array(tx.strip(row))),
                     s["listed"],
-                    none,
+                    shut,
                 )
             )
         )
 
-    start = state(F.lit(""), none, none, none)
-    folded = F.aggregate(F.transform(F.transform(tx.lines(markdown), classify), dress), start, add, closed_all)
+    def over(s: Column, stretch: Column) -> Column:
+        walked = F.aggregate(stretch, state(empty, s["para"], s["listed"], s["code"]), add)
+        return tx.bind(walked, lambda w: state(F.concat(s["out"], F.array(w["out"])), w["para"], w["listed"], w["code"]))
+
+    def whole(s: Column) -> Column:
+        return F.array_join(closed_all(state(F.flatten(s["out"]), s["para"], s["listed"], s["code"])), "")
+
+    def walk(rows: Column) -> Column:
+        stretches = F.transform(
+            F.sequence(F.lit(0), F.floor(F.greatest(F.size(rows) - 1, F.lit(0)) / STRETCH).cast("int")),
+            lambda n: F.slice(rows, n * STRETCH + 1, F.lit(STRETCH)),
+        )
+        return F.aggregate(stretches, state(F.array().cast("array<array<string>>"), shut, none, shut), over, whole)
+
+    folded = tx.bind(F.transform(F.transform(tx.lines(markdown), classify), dress), walk)
     return F.regexp_replace(folded, r"\n\z", "")
