@@ -266,6 +266,30 @@ def test_sharding_is_minimax(spark, monkeypatch, shards, digits):
     assert max(load.values()) == best_capacity([groups[d] for d in sorted(groups)], shards)
 
 
+@pytest.mark.parametrize("share, at", [(2, 0.5), (3, 0.1), (12, 0.7), (15, 0.4)])
+def test_sharding_sums_stay_bounded(spark, monkeypatch, share, at):
+    """A group with 1 / share of all bytes does not bring a sum per group to the driver."""
+    monkeypatch.setattr(sharding, "FIRST_DIGITS", 2)
+    monkeypatch.setattr(sharding, "MORE_DIGITS", 1)
+    seen, kind = [], sharding.Stretch
+    monkeypatch.setattr(sharding, "Stretch", lambda *a: seen.append(a) or kind(*a))
+    draw = np.random.default_rng(share)
+    digests = sorted(hashlib.sha256(str(i).encode()).hexdigest() for i in range(20_000))
+    sizes = [int(n) for n in draw.integers(50, 150, len(digests))]
+    hot = int(len(digests) * at)
+    sizes[hot] = (sum(sizes) - sizes[hot]) // (share - 1)
+    groups = spark.createDataFrame(list(zip(digests, sizes)), "digest string, size long").repartition(3)
+    found = sharding.cuts(groups, 16)
+    load = Counter()
+    for d, n in zip(digests, sizes):
+        load[sum(d >= cut for cut in found)] += n
+    assert max(load.values()) == sharding.smallest_capacity(sizes, 16)
+    assert len(seen) < len(digests) // 4
+    # With a small bound on what is opened at a time the cuts are the same.
+    monkeypatch.setattr(sharding, "OPENED", 3)
+    assert sharding.cuts(groups, 16) == found
+
+
 def test_mixing_law(spark):
     draw = np.random.default_rng(1)
     rows = [(i, f"s{min(4, int(draw.integers(0, 9)))}" if i % 11 else None, int(draw.integers(0, 3000))) for i in range(900)]
