@@ -3,6 +3,9 @@
 Every container of a page is scored by the prose below it.  A page votes for the generalised path (tags
 and classes, numbers made alike) of its best container; the votes of a host are summed in Spark, and all its pages
 are extracted anew from the containers on the winning path.  A page without that path falls back to its own best.
+
+Navigation, scripts and hidden elements are left out at once.  A form, or an element whose class or id says advert,
+sidebar, comments or the like, is only suspected: it stays if it holds the page's article or most of its prose.
 """
 
 from __future__ import annotations
@@ -20,16 +23,22 @@ from quirework.llm.common import query, table
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that hold no article text, wherever they stand.
 DROPPED = frozenset(
-    "script style noscript template head title nav footer aside form button select textarea iframe object svg canvas dialog menu".split()
+    "script style noscript template head title nav footer aside button select textarea iframe object svg canvas dialog menu".split()
 )
-DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
-#: Words in a class or id that mark an element as no part of the article.
+DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
+#: Words at the head or tail of a class or id that make an element suspect of being no part of the article.
 DROPPED_WORDS = frozenset(
     """ad ads adv advert adverts advertisement advertising sponsor sponsored promo banner sidebar aside rail menu nav navbar navigation
     breadcrumb breadcrumbs footer foot masthead cookie cookies consent notice notices alert gdpr popup modal overlay newsletter
     subscribe subscription signup login search share sharing social related recommended recommendations comment comments
     commentlist respond reply replies disqus pagination pager toolbar widget skip hidden""".split()
 )
+#: Of these, the ones whose elements may well hold more prose than the article before them.
+TALK_WORDS = frozenset("comment comments commentlist respond reply replies disqus".split())
+#: A class that begins so tells of a state of the page: has-sidebar, no-comments.
+STATES = frozenset("has no with without is not".split())
+#: Only here is an id a name of a region; elsewhere it is an anchor.
+ID_TAGS = frozenset("div ul ol dl table td center".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split()
 )
@@ -59,23 +68,47 @@ SLICES = 64
 
 
 class _Node:
-    __slots__ = ("tag", "path", "depth", "weight", "dropped", "link", "holder", "start", "end", "prose")
+    __slots__ = ("tag", "path", "depth", "weight", "dropped", "link", "holder", "outer", "suspect", "start", "end", "prose")
 
-    def __init__(self, tag, path, depth, weight, dropped, link, holder, start) -> None:
+    def __init__(self, tag, path, depth, weight, dropped, link, holder, start, suspect=None) -> None:
         self.tag, self.path, self.depth, self.weight = tag, path, depth, weight
         self.dropped, self.link, self.holder, self.start = dropped, link, holder, start
-        self.end, self.prose = None, 0
+        self.outer, self.suspect, self.end, self.prose = holder, suspect, None, 0
+
+
+class _Suspect:
+    """An element that is no part of the article by its name, unless its content speaks for it."""
+
+    __slots__ = ("outer", "talk", "start", "prose", "dropped")
+
+    def __init__(self, outer, talk, start) -> None:
+        self.outer, self.talk, self.start, self.prose, self.dropped = outer, talk, start, 0, False
+
+
+def _ends_of(names: str) -> set[str]:
+    """Head and tail of every name that tells of no state."""
+    parts = [p for name in names.split() if (p := _WORD.findall(name)) and (len(p) == 1 or p[0] not in STATES)]
+    return {end for p in parts for end in (p[0], p[-1])}
 
 
 class Page:
-    """Blocks of text outside dropped elements, and for each container the range of blocks inside it."""
+    """Blocks of text outside dropped elements, and for each container the range of blocks inside it.
+
+    Text in suspects is kept in pieces with its suspect until the end of the page, when they are judged.
+    """
 
     def __init__(self, html: str) -> None:
         root = _Node("", "", 0, 0.0, False, False, None, 0)
         self.stack, self.containers, self.blocks, self.pieces = [root], [], [], []
+        self.suspects, self.withheld, self.heading, self.prose = [], [], None, 0
         self._read(html)
         self._close_to(1)
         self._flush()
+        if self.suspects:
+            self._judge()
+        for node in reversed(self.containers):
+            if node.outer is not None:
+                node.outer.prose += node.prose
 
     def _read(self, html: str) -> None:
         at, size = 0, len(html)
@@ -101,10 +134,10 @@ class Page:
 
     def _flush(self) -> None:
         if self.pieces:
-            text = " ".join("".join(self.pieces).split())
-            self.pieces = []
+            text = " ".join("".join([t for t, _ in self.pieces]).split())
             if text:
-                self.blocks.append(text)
+                self.blocks.append(self.pieces if any(s is not None for _, s in self.pieces) else text)
+            self.pieces = []
 
     def _close_to(self, height: int) -> None:
         while len(self.stack) > height:
@@ -113,13 +146,42 @@ class Page:
                 self._flush()
             if node.holder is node:
                 node.end = len(self.blocks)
-                outer = self.stack[-1].holder
-                if outer is not None:
-                    outer.prose += node.prose
+
+    def _judge(self) -> None:
+        """Drop the suspects that hold neither the page's article, main or title nor most of its prose, and what is in them."""
+        filled = [n for n in self.containers if n.tag in ("article", "main") and n.end > n.start]
+        marks = [m for tag in ("article", "main") if (m := next((n for n in filled if n.tag == tag), None))]
+        held = set()
+        for node in marks or [self.heading]:
+            suspect = node.suspect if node is not None else None
+            while suspect is not None:
+                held.add(suspect)
+                suspect = suspect.outer
+        for suspect in reversed(self.suspects):
+            if suspect.outer is not None:
+                suspect.outer.prose += suspect.prose
+        for s in self.suspects:
+            kept = s in held or 2 * s.prose > self.prose
+            if kept and s.talk and s not in held:  # long comments beside an article
+                kept = all(m.start <= s.start < m.end for m in marks)
+            s.dropped = not kept or (s.outer is not None and s.outer.dropped)
+        blocks, moved = [], [0]
+        for block in self.blocks:
+            text = block if isinstance(block, str) else " ".join("".join([t for t, s in block if s is None or not s.dropped]).split())
+            if text:
+                blocks.append(text)
+            moved.append(len(blocks))
+        self.blocks = blocks
+        for node in self.containers:
+            node.start, node.end = moved[node.start], moved[node.end]
+        self.containers = [n for n in self.containers if n.suspect is None or not n.suspect.dropped]
+        for holder, suspect, prose in self.withheld:
+            if not suspect.dropped:
+                holder.prose += prose
 
     def _start_tag(self, tag: str, attributes: str) -> None:
         if tag == "br":
-            self.pieces.append(" ")
+            self.pieces.append((" ", None))
         if tag in VOID:
             if tag == "hr":
                 self._flush()
@@ -138,7 +200,7 @@ class Page:
         if tag not in INLINE:
             self._flush()
         dropped, path, weight = parent.dropped, parent.path, 0.0
-        words, classes = (), ""
+        words, classes, suspected, talk = (), "", tag == "form", False
         if tag in DROPPED:
             dropped = True
         if attributes and not dropped:
@@ -146,12 +208,21 @@ class Page:
             classes = named.get("class", "").lower()
             words = _WORD.findall(classes) + _WORD.findall(named.get("id", "").lower())
             dropped = "hidden" in named or named.get("aria-hidden") == "true"
-            dropped = dropped or named.get("role", "").lower() in DROPPED_ROLES or "display:none" in named.get("style", "").replace(" ", "")
-            dropped = dropped or (tag not in ("html", "body", "article", "main") and not DROPPED_WORDS.isdisjoint(words))
+            role = named.get("role", "").lower()
+            dropped = dropped or role in DROPPED_ROLES or "display:none" in named.get("style", "").replace(" ", "")
+            if tag not in ("html", "body", "article", "main"):
+                ends = _ends_of(classes) | (_ends_of(named.get("id", "").lower()) if tag in ID_TAGS else set())
+                suspected = suspected or role == "form" or not DROPPED_WORDS.isdisjoint(ends)
+                talk = not TALK_WORDS.isdisjoint(ends)
         if tag == "header" and not any(n.tag in ("article", "main") for n in self.stack):
             dropped = True
-        holder = parent.holder
-        node = _Node(tag, path, parent.depth + 1, weight, dropped, parent.link or tag == "a", holder, len(self.blocks))
+        holder, suspect = parent.holder, parent.suspect
+        if suspected and not dropped:
+            suspect = _Suspect(suspect, talk, len(self.blocks))
+            self.suspects.append(suspect)
+        node = _Node(tag, path, parent.depth + 1, weight, dropped, parent.link or tag == "a", holder, len(self.blocks), suspect)
+        if tag == "h1" and self.heading is None and not dropped:
+            self.heading = node
         if tag in CONTAINERS:
             above = "" if tag in ("html", "body") else path  # these may be left out
             node.path = f"{above}/{tag}" + "".join(f".{_DIGITS.sub('0', c)}" for c in sorted(classes.split()))
@@ -171,7 +242,7 @@ class Page:
 
     def _end_tag(self, tag: str) -> None:
         if tag == "br":
-            self.pieces.append(" ")
+            self.pieces.append((" ", None))
             return
         for at in range(len(self.stack) - 1, 0, -1):
             if self.stack[at].tag == tag:
@@ -184,10 +255,18 @@ class Page:
             return
         if "&" in data:
             data = unescape(data)
-        self.pieces.append(data)
+        suspect, size = node.suspect, len(data.strip())
+        self.pieces.append((data, suspect))
+        if not node.link:
+            self.prose += size
+            if suspect is not None:
+                suspect.prose += size
         if node.holder is not None:
-            size = len(data.strip())
-            node.holder.prose += size - LINK_COST * size if node.link else size
+            prose = size - LINK_COST * size if node.link else size
+            if suspect is None:
+                node.holder.prose += prose
+            else:
+                self.withheld.append((node.holder, suspect, prose))
 
     def best(self) -> _Node | None:
         """The container with the highest score; of equals the first."""

@@ -384,6 +384,31 @@ def test_extraction_blocks_and_votes(spark):
     assert extraction.Page(poor).text(None) != "hi"  # alone, the page would have chosen otherwise
 
 
+ARTICLE = "<h1>Title</h1><p>The first paragraph has prose.</p><p>The second has some more.</p>"
+ASIDE = '<div class="sidebar"><p>side</p></div><div id="comments"><p>nice</p></div><form><p>search</p></form>'
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<body><div class="content-sidebar-wrap">{ARTICLE}</div>{ASIDE}', f'<body><div class="site has-sidebar">{ARTICLE}{ASIDE}</div>',
+        f'<body><div id="page" class="no-comments">{ARTICLE}{ASIDE}</div>', f'<body><form id="aspnetForm"><div>{ARTICLE}{ASIDE}</div></form>',
+        f'<body><form><main>{ARTICLE}</main><div class="comments"><p>{"long talk " * 50}</p></div></form>',
+        f'<body><article>{ARTICLE}</article><div class="comments"><article><p>{"long talk " * 50}</p></article></div>',
+        f'<body><main><article>{ARTICLE}</article><div id="comments"><p>{"long talk " * 50}</p></div></main>',
+        f'<body><form role="form"><div><h1>Title</h1><p>The first paragraph has prose.</p>The second <span class="ad">x</span>has some more.</div>{ASIDE}</form>',
+    ],
+)
+def test_extraction_keeps_wrapped_articles(page):
+    assert extraction.Page(page).text(None) == "Title\nThe first paragraph has prose.\nThe second has some more."
+
+
+def test_extraction_keeps_anchors():
+    page = """<body><article><h2 id="search-algorithms">Search</h2><p>one</p><section id="related-work"><p id="share-prices">two</p></section>
+    <p class="lead-skip-over">three</p><div class="share">tweet</div><div id="cookie-notice">We use</div></article>"""
+    assert extraction.Page(page).text(None) == "Search\none\ntwo\nthree"
+
+
 @needs_tables
 def test_extraction_brute(spark):
     from html import unescape
