@@ -188,7 +188,7 @@ def parent_children(spark, folder):
     SELECT id, depth, row_number() OVER (ORDER BY path)::BIGINT AS position FROM t"""
 )
 def tree_flatten(spark, folder):
-    """Pre-order position and depth of the region / nation / customer tree."""
+    """Pre-order position and depth of the region / nation / customer tree; both are null for a row below no region."""
     def node(kind, key, up, parent):
         above = F.concat(F.lit(up), F.col(parent).cast("string")) if up else F.lit(None).cast("string")
         return [F.concat(F.lit(kind), F.col(key).cast("string")).alias("id"), above.alias("parent"), F.col(key).cast("long").alias("o")]
@@ -198,11 +198,12 @@ def tree_flatten(spark, folder):
         .unionByName(table(spark, folder, "nation").select(*node("n", "n_nationkey", "r", "n_regionkey")))
         .unionByName(table(spark, folder, "customer", "c_custkey", "c_nationkey").select(*node("c", "c_custkey", "n", "c_nationkey")))
     )
-    flat = units.flatten_tree(nodes, "id", "parent", "o")
+    flat = units.flatten_tree(nodes, "id", "parent", "o", unreached=True)
     # Buckets follow the path: region, nation, then a range of customers.
     at = lambda i: F.coalesce(F.get("path", F.lit(i)), F.lit(-1))
     bucket = F.struct(at(0), at(1), F.floor(at(2) / 100_000))
-    return ordered_scan(flat, [], bucket, ["path"], RowNumber("position")).select("id", "depth", "position")
+    placed = ordered_scan(flat.filter("path IS NOT NULL"), [], bucket, ["path"], RowNumber("position")).select("id", "depth", "position")
+    return placed.unionByName(flat.filter("path IS NULL").select("id", "depth", F.lit(None).cast("long").alias("position")))
 
 
 @query(

@@ -196,12 +196,13 @@ def pair_by_key(
     return left.join(last, list(keys), "left")
 
 
-def flatten_tree(nodes: DataFrame, node: str, parent: str, sibling: str) -> DataFrame:
+def flatten_tree(nodes: DataFrame, node: str, parent: str, sibling: str, unreached: bool = False) -> DataFrame:
     """Depth and path of every node of an adjacency list, level by level.
 
     One join per level; the frontier of each level is checkpointed, so neither the plan nor
     the recomputation grows with the depth.  The path sorts in pre-order.  The walk ends when a
-    level is empty; a cycle hangs below no root, so its nodes are left out like other orphans.
+    level is empty.  A node in a cycle, below one, or below a parent that does not exist hangs below no root: it is
+    left out, or with ``unreached`` comes out with a null depth and path.
     """
     base = nodes.select(F.col(node).alias("__n"), F.col(parent).alias("__p"), F.col(sibling).alias("__o"))
     level = cut_lineage(
@@ -219,7 +220,7 @@ def flatten_tree(nodes: DataFrame, node: str, parent: str, sibling: str) -> Data
     flat = levels[0]
     for more in levels[1:]:
         flat = flat.unionByName(more)
-    return nodes.join(flat.withColumnRenamed("__n", node), node)
+    return nodes.join(flat.withColumnRenamed("__n", node), node, "left" if unreached else "inner")
 
 
 def children(rows: DataFrame, parent: str, order: str, value: str, name: str = "children") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from quirework.catalog import QUERIES
 from quirework.operators import batches, site, units
 from quirework.plans.ordered import LastKnown, Previous, RowNumber, RunningSum, id_bucket, ordered_scan
 from quirework.session import checkpoint_dir
@@ -36,6 +37,23 @@ def test_tree_deeper_than_any_limit(spark):
     assert sorted(r["depth"] for r in found) == list(range(70))
 
 
+def test_tree_shows_unreached_nodes(spark):
+    rows = [(1, None, 0), (2, 1, 0), (10, 11, 0), (11, 10, 0), (12, 11, 0), (20, 99, 0)]
+    found = units.flatten_tree(spark.createDataFrame(rows, "n long, p long, o long"), "n", "p", "o", unreached=True).collect()
+    assert {r["n"]: r["depth"] for r in found} == {1: 0, 2: 1, 10: None, 11: None, 12: None, 20: None}
+    assert all((r["path"] is None) == (r["depth"] is None) for r in found)
+
+
+def test_tree_query_keeps_rows_below_no_region(spark, tmp_path):
+    spark.createDataFrame([(0, "R")], "r_regionkey int, r_name string").write.parquet(f"{tmp_path}/region.parquet")
+    spark.createDataFrame([(0, "N", 0), (1, "M", 7)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    people = [(5, 0), (6, 1), (7, None)]
+    spark.createDataFrame(people, "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    found = {r["id"]: (r["depth"], r["position"]) for r in QUERIES["tree_flatten"](spark, str(tmp_path)).collect()}
+    none = (None, None)
+    assert found == {"r0": (0, 1), "n0": (1, 2), "c5": (2, 3), "n1": none, "c6": none, "c7": (0, 4)}  # as in the SQL, a null parent makes a root
+
+
 def test_slug_suffix_of_many_digits(spark):
     names = ["x", "x-12345678901", "x"]
     df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i long, base string")
