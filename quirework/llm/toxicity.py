@@ -86,6 +86,7 @@ def _features(known: dict[str, int]):
                 text = value.as_py() or ""
                 words = _WORD.findall(text.lower())
                 found: set[int] = set()
+                hit: set[str] = set()  # of this text; the memo may be cleared in its middle
                 for word in set(words):
                     ids = memo.get(word)
                     if ids is None:
@@ -94,7 +95,8 @@ def _features(known: dict[str, int]):
                         ids = memo[word] = tuple(known[t] for t in terms_of(word) if t in known)
                     if ids:
                         found.update(ids)
-                hits = sum(1 for w in words if memo.get(w)) if found else 0
+                        hit.add(word)
+                hits = sum(1 for w in words if w in hit) if hit else 0
                 bits = 0
                 for i in found:
                     bits |= 1 << (i % LEXICONS)

@@ -368,6 +368,21 @@ def test_escape_round_trip(value, text):
     assert "<|" not in value(chat.escape(F.col("t")), t=text)
 
 
+def test_toxicity_votes_do_not_depend_on_the_memo(monkeypatch):
+    import pyarrow as pa
+
+    words = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
+    known = {t: i for i, t in enumerate(sorted({t for w in words[::3] for t in toxicity.terms_of(w)}))}
+    texts = [" ".join(words), " ".join(words[:30]), " ".join(words[3:4] * 2 + words[100:140])]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(texts)], ["doc_id", "text"])
+    seen, patterns = [], toxicity.patterns_of
+    monkeypatch.setattr(toxicity, "patterns_of", lambda text, n, hits: seen.append(hits) or patterns(text, n, hits))
+    want = next(toxicity._features(known)(iter([batch]))).to_pylist()
+    monkeypatch.setattr(toxicity, "_MEMO_WORDS", 5)
+    assert next(toxicity._features(known)(iter([batch]))).to_pylist() == want
+    assert seen[:3] == seen[3:] and seen[0] >= 100
+
+
 PAGE = """<html><head><title>x</title><script>if(a<b){"</p>"}</script></head><body><div id="cookie-notice">We use</div>
 <header><h1>Site</h1></header><div class="wrap"><div class=sidebar><p>side</p></div><div class="post-12 content"><h1>T &amp; X</h1>
 <p>Hello <a href="/x>y">wor</a>ld &lt;b&gt;  more<p>para&nbsp;2<ul><li>one<li>two</ul><form><input></form>
