@@ -47,6 +47,14 @@ def stored(df: DataFrame) -> DataFrame:
     return materialize(df)
 
 
+def hashed_share(df: DataFrame, size: int, *columns: str) -> DataFrame:
+    """About ``size`` rows of a stored table, chosen by a hash of the columns; all of them where there are fewer."""
+    share = size / max(1, df.count())
+    if share >= 1:
+        return df
+    return df.filter(F.pmod(F.xxhash64(*columns), F.lit(1 << 40)) < int(share * (1 << 40)))
+
+
 def text_bytes(column: str | Column = "text") -> Column:
     """UTF-8 bytes of a text; a null text is empty."""
     value = F.col(column) if isinstance(column, str) else column
