@@ -308,3 +308,75 @@ def heading_sections(spark, folder):
         "p_brand", "p_partkey", F.concat(F.lit("section-"), F.col("p_partkey").cast("string")).alias("slug"), "p_name"
     ).withColumnRenamed("p_partkey", "rank")
     return units.match_headings(heads, sections, ["p_brand"], "heading", ["p_name"], "rank").select("p_partkey", "section_slug")
+
+
+_LINE_NUMBER = "row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice)"
+_OUTLINE_SQL = f"""WITH o AS (SELECT o_custkey AS book, o_orderkey AS k, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n, o_orderpriority AS title, NULL::INTEGER AS page FROM orders),
+    l AS (SELECT o.book, o.n, {_LINE_NUMBER} AS m, 'Part ' || l_partkey AS title, CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_linenumber END AS page FROM lineitem JOIN o ON o.k = l_orderkey),
+    i AS (SELECT book, 0 AS n, 0 AS m, 0 AS level, c_name AS title, c_nationkey AS page FROM customer JOIN (SELECT DISTINCT book FROM o) ON book = c_custkey
+      UNION ALL SELECT book, n, 0, 1, title, page FROM o UNION ALL SELECT book, n, m, 2, title, page FROM l),
+    s AS (SELECT *, row_number() OVER (PARTITION BY book ORDER BY n, m) AS seq FROM i),
+    d AS (SELECT *, 'outline-' || lpad(seq::VARCHAR, greatest(4, length(seq::VARCHAR))::INTEGER, '0') AS id FROM s)
+    SELECT d.book, d.seq, d.id, p.id AS parent_id, d.level, d.title AS title_en, d.page AS pdf_page FROM d LEFT JOIN d p ON p.book = d.book AND p.level = d.level - 1
+      AND p.n = CASE d.level WHEN 2 THEN d.n ELSE 0 END AND p.m = 0"""
+
+
+@query(_OUTLINE_SQL)
+def outline_flatten(spark, folder):
+    """Outline of every customer's book, read from nested lists: the customer, its orders, their items."""
+    def entry(title, page):
+        return F.to_json(F.struct(title.alias("title"), page.cast("string").alias("page")))
+
+    def listed(parts):
+        return F.concat(F.lit("["), F.array_join(parts, ","), F.lit("]"))
+
+    def ordered(*by):
+        return F.transform(F.sort_array(F.collect_list(F.struct(*by, "json"))), lambda x: x["json"])
+
+    order = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    items = table(spark, folder, "lineitem", "l_orderkey", "l_returnflag", *order)
+    page = F.when(F.col("l_returnflag") == "R", F.lit("none")).otherwise(F.col("l_linenumber").cast("string"))
+    items = items.withColumn("json", entry(F.concat(F.lit("Part "), F.col("l_partkey").cast("string")), page))
+    items = items.groupBy("l_orderkey").agg(listed(ordered(*order)).alias("items"))
+    orders = table(spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderpriority").join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    head = entry(F.col("o_orderpriority"), F.lit(None).cast("string"))
+    orders = orders.withColumn("json", F.concat_ws(",", head, "items")).groupBy("o_custkey").agg(listed(ordered("o_orderkey")).alias("orders"))
+    books = table(spark, folder, "customer", "c_custkey", "c_name", "c_nationkey").join(orders, F.col("c_custkey") == F.col("o_custkey"))
+    outline = listed(F.array(entry(F.col("c_name"), F.col("c_nationkey")), "orders"))
+    found, _ = units.flatten_outline(books.select(F.col("c_custkey").alias("book"), outline.alias("outline")), "book", "outline")
+    return found
+
+
+_SECTIONS_SQL = """WITH s AS (SELECT p_partkey, (p_partkey % 9 + 1) || '.' || p_size AS number, p_brand, p_type, p_size,
+      'section-' || (p_partkey % 9 + 1) || '-' || p_size AS slug, CASE WHEN p_retailprice < 905 THEN p_name ELSE (p_partkey % 9 + 1) || '.' || p_size || ' ' || upper(left(p_name, 1)) || substr(p_name, 2) END AS title_en, p_name FROM part),
+    a AS (SELECT slug, min(CASE WHEN p_brand < 'Brand#15' THEN number || ' ' || p_type WHEN p_brand < 'Brand#2' THEN number || ' ' || '章 ' || p_type ELSE '第' || p_size || '章' END) AS t FROM s WHERE p_type < 'P' GROUP BY slug),
+    b AS (SELECT title_en, min('题 ' || p_type) AS t FROM s WHERE p_size < 25 GROUP BY title_en),
+    c AS (SELECT p_name AS words, min('译 ' || p_type) AS t FROM part WHERE p_name LIKE 's%' OR p_name LIKE '%r' GROUP BY p_name),
+    j AS (SELECT s.*, a.t AS ta, b.t AS tb, c.t AS tc, regexp_extract(s.title_en, '\\A([A-Z]?[0-9]*(?:\\.[0-9]+)+|[A-Z]\\.[0-9]+)\\s+(.+)\\z', 1) AS pre
+      FROM s LEFT JOIN a USING (slug) LEFT JOIN b ON b.title_en = s.title_en LEFT JOIN c ON c.words = s.p_name),
+    k AS (SELECT *, ta IS NOT NULL AND starts_with(ta, number) AS fits, tc IS NULL OR regexp_matches(ta, '[\\x{4e00}-\\x{9fff}]') AS cjk FROM j)
+    SELECT p_partkey, slug, title_en,
+      CASE WHEN fits AND cjk THEN ta WHEN ta IS NULL AND tb IS NOT NULL THEN tb WHEN tc IS NOT NULL THEN CASE pre WHEN '' THEN '' ELSE pre || ' ' END || tc ELSE title_en END AS title,
+      CASE WHEN fits AND cjk THEN 'slug' WHEN ta IS NULL AND tb IS NOT NULL THEN 'title' WHEN tc IS NOT NULL THEN 'common' ELSE 'english' END AS source,
+      CASE WHEN ta IS NOT NULL AND NOT fits THEN 'wrong number' WHEN ta IS NOT NULL AND NOT cjk THEN 'untranslated' END AS rejected FROM k"""
+
+
+@query(_SECTIONS_SQL)
+def section_titles(spark, folder):
+    """Titles of the parts as sections, from maps that know some slugs, some titles and some words, partly wrongly."""
+    number = F.concat((F.col("p_partkey") % 9 + 1).cast("string"), F.lit("."), F.col("p_size").cast("string"))
+    name = F.concat(F.upper(F.substring("p_name", 1, 1)), F.expr("substr(p_name, 2)"))
+    parts = table(spark, folder, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice").select(
+        "p_partkey", "p_name", "p_brand", "p_type", "p_size", number.alias("number"),
+        F.concat(F.lit("section-"), F.replace(number, F.lit("."), F.lit("-"))).alias("slug"),
+        F.when(F.col("p_retailprice") < 905, F.col("p_name")).otherwise(F.concat_ws(" ", number, name)).alias("title_en"),
+    )
+    shown = (
+        F.when(F.col("p_brand") < "Brand#15", F.concat_ws(" ", "number", "p_type"))
+        .when(F.col("p_brand") < "Brand#2", F.concat_ws(" ", F.col("number"), F.lit("章"), F.col("p_type")))
+        .otherwise(F.concat(F.lit("第"), F.col("p_size").cast("string"), F.lit("章")))
+    )
+    by_slug = parts.filter("p_type < 'P'").select("slug", shown.alias("title"))
+    by_title = parts.filter("p_size < 25").select("title_en", F.concat_ws(" ", F.lit("题"), "p_type").alias("title"))
+    common = parts.filter("p_name LIKE 's%' OR p_name LIKE '%r'").select(F.col("p_name").alias("words"), F.concat_ws(" ", F.lit("译"), "p_type").alias("title"))
+    return units.section_titles(parts.select("p_partkey", "slug", "title_en"), by_slug, by_title, common, ["p_partkey"])

@@ -34,6 +34,7 @@ EXHIBIT_CAPTION = rf"(?i)\A(Exhibit|Figure|Fig\.|Table|Panel)\s+{CAPTION_NUMBER}
 FIGURE_CAPTION = rf"(?i)\A(Fig\.)\s+{CAPTION_NUMBER}(?:\.|\s+)(.*)\z"
 TABLE_CAPTION = rf"(?i)\A(Table)\s+{CAPTION_NUMBER}(?:\.|\s+)(.*)\z"
 DOTTED_CAPTION = r"(?i)\A(Figure|Fig\.|Exhibit|Table)\s+([0-9]+(?:\.[0-9]+)*)(?:\s*[:.\-]\s*|\s+)(.+)\z"
+NUMBERED_TITLE = r"\A([A-Z]?[0-9]*(?:\.[0-9]+)+|[A-Z]\.[0-9]+)\s+(.+)\z"
 SECTION_NUMBER = r"\A([A-Z]?[0-9]+(?:\.[0-9]+)+|[A-Z]\.[0-9]+)\b"
 # ----------------------------------------------------------------------------------
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from quirework.functions import text as tx
 from quirework.plans.anchored import anchored_runs
-from quirework.plans.ordered import RowNumber, RunningSum, ordered_scan
+from quirework.plans.ordered import RowNumber, RunningSum, ordered_scan, same_keys
 from quirework.session import materialize
 
 # --- fixed values -----------------------------------------------------------------
@@ -61,12 +61,12 @@ def cache_key(*parts: Column) -> Column:
 
 def split_cached(requests: DataFrame, cache: DataFrame, keys: Sequence[str], answer: str) -> tuple[DataFrame, DataFrame]:
     """(answered, missing): a cached answer counts only if its key, which covers the input
-    hash, is equal and it is not empty.  Of several stored answers to one key one counts: the latest by
+    hash, is equal and it is not empty.  A null key is one more key.  Of several stored answers to one key one counts: the latest by
     the column ``latest`` if the cache has it, else the greatest."""
     order = F.col("latest") if "latest" in cache.columns else F.col(answer)
     filled = cache.filter(F.coalesce(F.trim(F.col(answer)), F.lit("")) != "")
     usable = filled.groupBy(*keys).agg(F.max_by(answer, order).alias(answer))
-    return requests.join(usable, list(keys)), requests.join(usable, list(keys), "left_anti")
+    return same_keys(requests, usable, keys), same_keys(requests, usable, keys, "left_anti")
 
 
 class Client(Protocol):

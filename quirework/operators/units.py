@@ -6,13 +6,13 @@ import itertools
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quirework.functions import text as tx
 from quirework.functions import titles
-from quirework.plans.ordered import Following, GroupLast, LastKnown, RowNumber, RunningSum, id_bucket, ordered_scan
+from quirework.plans.ordered import Following, GroupLast, LastKnown, RowNumber, RunningSum, id_bucket, ordered_scan, same_keys
 from quirework.session import cut_lineage, materialize
 
 
@@ -109,6 +109,13 @@ def _pieces(start: Column, end: Column, levels: int) -> Column:
     return F.flatten(F.array(*parts))
 
 
+def interval_levels(intervals: DataFrame, start: str, end: str) -> int:
+    """Levels that the widest interval needs: at the top one it has fewer than 16 nodes."""
+    width = (F.col(end).cast("decimal(20,0)") - F.col(start).cast("decimal(20,0)") + 1).alias("w")
+    widest = intervals.select(width).agg(F.max("w")).first()[0]
+    return max(1, -(-int(widest or 1).bit_length() // NODE_BITS))
+
+
 def first_match(
     points: DataFrame,
     intervals: DataFrame,
@@ -119,31 +126,32 @@ def first_match(
     end: str,
     rank: str,
     carry: Sequence[str],
-    levels: int = 6,
 ) -> DataFrame:
     """Left join of points to closed whole-number intervals that may overlap; the match
-    with the lowest ``rank`` wins.
+    with the lowest ``rank`` wins.  A null key is one more key; a null point, or an interval with a null end, matches nothing.
 
-    The number line is a tree of 16 children a node.  An interval is cut into the few nodes that make it
-    up, of each node only the best interval is kept, and a point looks up the ``levels`` nodes it lies
-    in.  However many intervals overlap, a point meets one row per level, and the join is an
-    equality join.  Beyond the widest node an interval takes several of them.
+    The number line is a tree of 16 children a node, as high as the widest interval needs.  An interval is cut into
+    the few nodes that make it up, at most 30 a level, and of each node only the best interval is kept.  A
+    point looks up its node of each level that is in use: one equality join a level, no copy of the point.
+    Ends lie below the largest 64-bit number.
     """
     best_of = F.struct(F.col(rank).alias("__rank"), *[F.col(c).alias(f"__{i}") for i, c in enumerate(carry)])
-    cut = intervals.select(
-        *keys, best_of.alias("__best"),
-        F.explode(_pieces(F.col(start).cast("long"), F.col(end).cast("long"), levels)).alias("__piece"),
-    )
-    nodes = cut.groupBy(*keys, F.col("__piece.level").alias("__level"), F.col("__piece.node").alias("__node")).agg(
-        F.min_by("__best", "__best.__rank").alias("__best")
-    )
-    at = F.col(point).cast("long")
-    ways = F.array(*[F.struct(F.lit(n).alias("__level"), F.shiftright(at, NODE_BITS * n).alias("__node")) for n in range(levels)])
-    placed = points.select(*keys, point_id, F.explode(ways).alias("__way")).select(*keys, point_id, "__way.*")
-    best = placed.join(nodes, [*keys, "__level", "__node"]).groupBy(*keys, point_id).agg(F.min_by("__best", "__best.__rank").alias("__best"))
-    return points.join(best, [*keys, point_id], "left").select(
-        points["*"], *[F.col("__best")[f"__{i}"].alias(c) for i, c in enumerate(carry)]
+    levels = interval_levels(intervals, start, end)
+    pieces = _pieces(F.col(start).cast("long"), F.col(end).cast("long"), levels)
+    cut = intervals.filter(F.col(start) <= F.col(end)).select(F.struct(*keys).alias("__key"), best_of.alias("__best"), F.explode(pieces).alias("__piece"))
+    nodes = materialize(
+        cut.groupBy("__key", F.col("__piece.level").alias("__level"), F.col("__piece.node").alias("__node")).agg(F.min_by("__best", "__best.__rank").alias("__best"))
     )
+    used = sorted(r[0] for r in nodes.select("__level").distinct().collect())  # 16 at most
+    found = points.select("*", F.struct(*keys).alias("__key"), F.lit(None).cast(nodes.schema["__best"].dataType).alias("__best"))
+    for level in used:
+        here = nodes.filter(F.col("__level") == level).select("__key", "__node", F.col("__best").alias("__more"))
+        place = F.shiftright(F.col(point).cast("long"), NODE_BITS * level)
+        found = found.withColumn("__node", place).join(here, ["__key", "__node"], "left")
+        better = F.col("__best").isNull() | (F.col("__more.__rank") < F.col("__best.__rank"))
+        best = F.when(F.col("__more").isNotNull() & better, F.col("__more")).otherwise(F.col("__best"))
+        found = found.withColumn("__best", best).drop("__node", "__more")
+    return found.select(*[F.col(c) for c in points.columns], *[F.col("__best")[f"__{i}"].alias(c) for i, c in enumerate(carry)])
 
 
 def expand(intervals: DataFrame, start: str, end: str, name: str = "page", step: int = 4096) -> DataFrame:
@@ -182,7 +190,7 @@ def pair_by_ordinal(
     )
     lefts = ranked.filter("__left").withColumn("ordinal", F.col("__ln"))
     rights = ranked.filter("__right").select(*keys, F.col("__rn").alias("ordinal"), F.col("__rid").alias("__match"))
-    joined = lefts.join(rights, [*keys, "ordinal"], "left")
+    joined = same_keys(lefts, rights, [*keys, "ordinal"], "left")
     chosen = F.coalesce("__match", "__last") if clamp else F.col("__match")
     return joined.withColumn(name, chosen).select(*rows.columns, "ordinal", name)
 
@@ -193,7 +201,7 @@ def pair_by_key(
     """Left rows with the last right row of the same key; the right side is reduced to one
     row per key before the join."""
     last = right.groupBy(*keys).agg(F.max_by(F.col(right_id), F.col(right_order)).alias(name))
-    return left.join(last, list(keys), "left")
+    return same_keys(left, last, keys, "left")
 
 
 def flatten_tree(nodes: DataFrame, node: str, parent: str, sibling: str, unreached: bool = False) -> DataFrame:
@@ -223,6 +231,66 @@ def flatten_tree(nodes: DataFrame, node: str, parent: str, sibling: str, unreach
     return nodes.join(flat.withColumnRenamed("__n", node), node, "left" if unreached else "inner")
 
 
+def outline_nodes(documents: DataFrame, key: str, outline: str) -> tuple[DataFrame, DataFrame]:
+    """Items of nested outlines, and what could not be read.
+
+    An outline is a JSON list of items (objects) and lists.  A list holds the children of the last item before it in
+    the list around it, or, where none is before it, of the item that list belongs to.  Items: ``key, path,
+    parent_path, level, value`` (a VARIANT), where ``path`` is the positions on the way and sorts in reading order.  Errors: ``key,
+    path, error`` for an outline that is no list and for an entry that is neither item nor list; what stands beside it stays.
+
+    One pass a level over the lists of that level, each written in the shared folder, until there are none: no bound on the depth.
+    """
+    parsed = documents.select(key, F.try_parse_json(outline).alias("value"))
+    listed = "array<variant>"
+    level = materialize(
+        parsed.select(
+            key, F.array().cast("array<int>").alias("path"), F.lit(None).cast("array<int>").alias("owner"),
+            F.try_variant_get("value", "$", listed).alias("entries"), F.monotonically_increasing_id().alias("row"),
+        )
+    )
+    errors = level.filter("entries IS NULL").select(key, "path", F.lit("no list").alias("error"))
+    items = []
+    for depth in itertools.count():
+        entries = level.select(key, "row", "path", "owner", F.posexplode("entries").alias("at", "value"))
+        inner = F.try_variant_get("value", "$", listed)
+        kind = F.when(inner.isNotNull(), "list").when(F.schema_of_variant("value").startswith("OBJECT"), "item").otherwise("error")
+        entries = entries.withColumn("kind", kind).withColumn("inner", inner)
+        # The entries of one list are one value of one row, so is this window.
+        before = Window.partitionBy("row", "path").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+        last = F.last(F.when(F.col("kind") == "item", F.col("at")), ignorenulls=True).over(before)
+        entries = materialize(entries.withColumn("last", last).withColumn("place", F.concat("path", F.array("at"))))
+        chosen = entries.filter("kind = 'item'")
+        items.append(chosen.select(key, "row", F.col("place").alias("path"), F.col("owner").alias("parent_path"), F.lit(depth).alias("level"), "value"))
+        errors = errors.unionByName(entries.filter("kind = 'error'").select(key, F.col("place").alias("path"), F.lit("neither item nor list").alias("error")))
+        owner = F.when(F.col("last").isNotNull(), F.concat("path", F.array("last"))).otherwise(F.col("owner"))
+        level = entries.filter("kind = 'list'").select(key, "row", F.col("place").alias("path"), owner.alias("owner"), F.col("inner").alias("entries"))
+        if level.isEmpty():
+            break
+    flat = items[0]
+    for more in items[1:]:
+        flat = flat.unionByName(more)
+    return flat, errors
+
+
+def flatten_outline(documents: DataFrame, key: str, outline: str) -> tuple[DataFrame, DataFrame]:
+    """``key, seq, id, parent_id, level, title_en, pdf_page`` of every item in reading order, and the errors.
+
+    A page that is no whole number is null.  Ids count the items of an outline.  Rows that repeat a key have outlines of their own.
+    """
+    nodes, errors = outline_nodes(documents, key, outline)
+    nodes = nodes.select(
+        key, "row", "path", "parent_path", "level",
+        tx.clean_text(F.coalesce(F.try_variant_get("value", "$.title", "string"), F.lit(""))).alias("title_en"),
+        F.expr("try_cast(try_variant_get(value, '$.page', 'string') AS INT)").alias("pdf_page"),
+    )
+    numbered = materialize(ordered_scan(nodes, ["row"], F.get("path", F.lit(0)), ["path"], RowNumber("seq")))
+    named = numbered.withColumn("id", F.format_string("outline-%04d", "seq"))
+    parents = named.select("row", F.col("path").alias("parent_path"), F.col("id").alias("parent_id"))
+    # An item without parent has a null path, which no parent has.
+    return named.join(parents, ["row", "parent_path"], "left").select(key, "seq", "id", "parent_id", "level", "title_en", "pdf_page"), errors
+
+
 def children(rows: DataFrame, parent: str, order: str, value: str, name: str = "children") -> DataFrame:
     """Ordered array of the children's values per parent."""
     packed = F.sort_array(F.collect_list(F.struct(order, value)))
@@ -410,6 +478,44 @@ def first_known(lookups: Sequence[Column], fallback: Column) -> Column:
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in lookups], fallback)
 
 
+#: Why a title was not taken, in the order in which the candidates are tried.
+MAPPED, WRONG_NUMBER, UNTRANSLATED = "mapped", "wrong number", "untranslated"
+
+
+def section_titles(sections: DataFrame, slug_titles: DataFrame, title_titles: DataFrame, common_titles: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``sections(*keys, slug, title_en)`` with ``title``, the ``source`` it comes from and why others were ``rejected``.
+
+    Candidates, the first valid one wins: the title known for the slug, valid if it begins with the section's number and, where a
+    common title is known, is translated; the title known for the whole English title, asked only where the slug is not known;
+    the common title of the words after the number (``common_titles(words, title)``), with the number before it; the English title.
+    ``slug_titles(slug, title)`` and ``title_titles(title_en, title)``: of several titles the least counts.
+    """
+    def one(titles_: DataFrame, by: str, name: str) -> DataFrame:
+        return titles_.groupBy(by).agg(F.min("title").alias(name))
+
+    number = F.regexp_extract("title_en", titles.NUMBERED_TITLE, 1)
+    numbered = sections.select(
+        "*", number.alias("__number"),
+        F.lower(tx.strip(F.when(number == "", F.col("title_en")).otherwise(F.regexp_extract("title_en", titles.NUMBERED_TITLE, 2)))).alias("__words"),
+    )
+    known = numbered.join(one(slug_titles, "slug", "__slug"), "slug", "left").join(one(title_titles, "title_en", "__title"), "title_en", "left")
+    known = known.join(one(common_titles.withColumnRenamed("words", "__words"), "__words", "__common"), "__words", "left")
+    has_slug, has_common = F.col("__slug").isNotNull(), F.col("__common").isNotNull()
+    fits = titles.has_expected_number(F.col("__slug"), F.col("title_en"), F.coalesce("slug", F.lit("")))
+    translated = ~has_common | F.col("__slug").rlike(tx.CJK)
+    common = F.concat(F.when(F.col("__number") != "", F.concat("__number", F.lit(" "))).otherwise(F.lit("")), F.col("__common"))
+    candidates = [
+        ("slug", F.col("__slug"), has_slug & fits & translated),
+        ("title", F.col("__title"), ~has_slug & F.col("__title").isNotNull()),
+        ("common", common, has_common),
+        ("english", F.col("title_en"), F.lit(True)),
+    ]
+    ranked = F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(n).alias("source"), t.alias("title"), v.alias("valid")) for i, (n, t, v) in enumerate(candidates)])
+    chosen = F.array_min(F.filter(ranked, lambda c: c["valid"]))
+    why = F.when(has_slug & ~fits, WRONG_NUMBER).when(has_slug & ~translated, UNTRANSLATED)
+    return known.select(*keys, "slug", "title_en", chosen["title"].alias("title"), chosen["source"].alias("source"), why.alias("rejected"))
+
+
 def merge_title_maps(maps: Sequence[DataFrame], key: str, title: str) -> DataFrame:
     """Union of title maps; the earliest map that knows a key wins."""
     tagged = [m.select(key, title, F.lit(i).alias("__p")) for i, m in enumerate(maps)]
@@ -426,6 +532,6 @@ def match_headings(headings: DataFrame, sections: DataFrame, keys: Sequence[str]
         *keys, rank, "slug", F.explode(F.array_distinct(F.array(*[titles.canonical_heading(F.col(c)) for c in section_titles]))).alias("__form")
     ).filter("__form <> ''")
     first = forms.groupBy(*keys, "__form").agg(F.min_by("slug", rank).alias("section_slug"))
-    return headings.withColumn("__form", titles.canonical_heading(F.col(text))).join(first, [*keys, "__form"], "left").drop("__form")
+    return same_keys(headings.withColumn("__form", titles.canonical_heading(F.col(text))), first, [*keys, "__form"], "left").drop("__form")
 
 

@@ -44,6 +44,15 @@ def time_bucket(column: str | Column, seconds: int = 86_400) -> Column:
     return _stretch(micros(column), seconds * 1_000_000)
 
 
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equality join on ``keys`` in which a null key equals itself; the keys come out once, from the left.
+
+    A struct of nulls equals itself, so the join stays an equality join that hashes and sorts on one column.
+    """
+    right = right.withColumn("__same", F.struct(*keys)).drop(*keys)
+    return left.withColumn("__same", F.struct(*keys)).join(right, "__same", how).drop("__same")
+
+
 @dataclass(frozen=True)
 class Step:
     """One derived column of a scan."""

@@ -58,5 +58,5 @@ def test_first_match_of_long_intervals(spark):
     spans = [("k", 2, -5, 10**13), ("k", 1, 100, 100), (None, 0, 0, 9), ("k", 3, None, 5), ("k", 4, 7, 3), ("k", 0, 10**13 + 1, 10**13 + 300)]
     marks = [("k", 1, -6), ("k", 2, -5), ("k", 3, 100), ("k", 4, 10**13), ("k", 5, 10**13 + 300), ("k", 6, None), (None, 7, 5), ("k", 8, 5)]
     points = spark.createDataFrame(marks, "k string, id long, at long")
-    found = units.first_match(points, spark.createDataFrame(spans, "k string, n long, a long, b long"), ["k"], "at", "id", "a", "b", "n", ["n"], levels=9)
-    assert {r.id: r.n for r in found.collect()} == {1: None, 2: 2, 3: 1, 4: 2, 5: 0, 6: None, 7: None, 8: 2}
+    found = units.first_match(points, spark.createDataFrame(spans, "k string, n long, a long, b long"), ["k"], "at", "id", "a", "b", "n", ["n"])
+    assert {r.id: r.n for r in found.collect()} == {1: None, 2: 2, 3: 1, 4: 2, 5: 0, 6: None, 7: 0, 8: 2}

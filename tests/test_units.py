@@ -77,7 +77,7 @@ def test_locate_and_first_match(spark, width):
     overlap = [("k", n, (s := rng.randint(0, 200)), s + rng.randint(0, 80)) for n in range(25)]
     odf = spark.createDataFrame(overlap, "k string, n long, a long, b long")
     want = {p: min((n for _, n, a, b in overlap if a <= p <= b), default=None) for _, p, _ in points}
-    out = units.first_match(pdf, odf, ["k"], "at", "id", "a", "b", "n", ["n"], levels=1 if width < 10 else 6)
+    out = units.first_match(pdf, odf, ["k"], "at", "id", "a", "b", "n", ["n"])
     assert {r.id: r.n for r in out.collect()} == want
 
 
