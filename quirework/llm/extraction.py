@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm.common import query, table
+from quirework.llm.common import query, stored, table
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that hold no article text, wherever they stand.
@@ -35,8 +35,15 @@ DROPPED_WORDS = frozenset(
 )
 #: Of these, the ones whose elements may well hold more prose than the article before them.
 TALK_WORDS = frozenset("comment comments commentlist respond reply replies disqus".split())
-#: A class that begins so tells of a state of the page: has-sidebar, no-comments.
-STATES = frozenset("has no with without is not".split())
+#: Words that may stand beside those in a name and leave its meaning: ad-box, post-comments, sidebar-left.  With any other word a
+#: name says something else: related-work, search-results, content-sidebar-wrap, has-sidebar.
+LAYOUT_WORDS = frozenset(
+    """box block section list wrap wrapper container area widget post posts link links inner outer unit slot top bottom left right inline item
+    items panel bar button buttons form field module region holder row col column group card cards article entry page site global primary
+    secondary first last sticky fixed text large small content""".split()
+)
+#: Of these names, the ones that authors give to parts of their articles: they count only outside the article.
+AUTHOR_WORDS = frozenset("alert notice notices search skip overlay related recommended recommendations widget toolbar".split())
 #: Only here is an id a name of a region; elsewhere it is an anchor.
 ID_TAGS = frozenset("div ul ol dl table td center".split())
 INLINE = frozenset(
@@ -54,6 +61,8 @@ TAG_WEIGHT = {"html": 0.5, "body": 0.7, "article": 2.0, "main": 1.6}
 GOOD_WORDS, GOOD_WEIGHT = frozenset("article content entry post story text body main".split()), 1.4
 #: A deeper container with nearly the same prose wins; a link's text counts against it.
 DEPTH_WEIGHT, LINK_COST = 1.02, 3
+#: Beyond this depth a container gains no more weight.
+DEEPEST = 20
 
 #: Elements whose content is plain characters up to their end tag.
 RAW = frozenset("script style textarea title noscript iframe xmp".split())
@@ -63,8 +72,6 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""([^\s/=>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 _WORD = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"\d+")
-#: Slices of the pages of a host in the join with its path.
-SLICES = 64
 
 
 class _Node:
@@ -86,9 +93,13 @@ class _Suspect:
 
 
 def _ends_of(names: str) -> set[str]:
-    """Head and tail of every name that tells of no state."""
-    parts = [p for name in names.split() if (p := _WORD.findall(name)) and (len(p) == 1 or p[0] not in STATES)]
-    return {end for p in parts for end in (p[0], p[-1])}
+    """Words of the names that consist of marking and layout words."""
+    found: set[str] = set()
+    for name in names.split():
+        words = set(_WORD.findall(name))
+        if words and words <= DROPPED_WORDS | LAYOUT_WORDS:
+            found |= words & DROPPED_WORDS
+    return found
 
 
 class Page:
@@ -98,7 +109,10 @@ class Page:
     """
 
     def __init__(self, html: str) -> None:
-        root = _Node("", "", 0, 0.0, False, False, None, 0)
+        root = _Node("", 0, 0, 0.0, False, False, None, 0)
+        self.open: dict[str, list[int]] = {}  # heights of the open elements of each tag
+        self.steps: dict[tuple[int, str], int] = {}  # paths, as the number of the path above and one step
+        self.above: list[tuple[int, str]] = [(0, "")]
         self.stack, self.containers, self.blocks, self.pieces = [root], [], [], []
         self.suspects, self.withheld, self.heading, self.prose = [], [], None, 0
         self._read(html)
@@ -142,6 +156,7 @@ class Page:
     def _close_to(self, height: int) -> None:
         while len(self.stack) > height:
             node = self.stack.pop()
+            self.open[node.tag].pop()
             if node.tag not in INLINE:
                 self._flush()
             if node.holder is node:
@@ -187,15 +202,9 @@ class Page:
                 self._flush()
             return
         if tag in ENDS_P:
-            self._end("p", CONTAINERS | {"table", "td", "li"})
+            self._end({"p"}, CONTAINERS | {"table", "td", "li"})
         elif tag in SIBLINGS:
-            ends, within = SIBLINGS[tag]
-            for at in range(len(self.stack) - 1, 0, -1):
-                if self.stack[at].tag in within:
-                    break
-                if self.stack[at].tag in ends:
-                    self._close_to(at)
-                    break
+            self._end(*SIBLINGS[tag])
         parent = self.stack[-1]
         if tag not in INLINE:
             self._flush()
@@ -212,9 +221,11 @@ class Page:
             dropped = dropped or role in DROPPED_ROLES or "display:none" in named.get("style", "").replace(" ", "")
             if tag not in ("html", "body", "article", "main"):
                 ends = _ends_of(classes) | (_ends_of(named.get("id", "").lower()) if tag in ID_TAGS else set())
+                if self._last(("article", "main")):
+                    ends -= AUTHOR_WORDS
                 suspected = suspected or role == "form" or not DROPPED_WORDS.isdisjoint(ends)
                 talk = not TALK_WORDS.isdisjoint(ends)
-        if tag == "header" and not any(n.tag in ("article", "main") for n in self.stack):
+        if tag == "header" and not self._last(("article", "main")):
             dropped = True
         holder, suspect = parent.holder, parent.suspect
         if suspected and not dropped:
@@ -224,30 +235,51 @@ class Page:
         if tag == "h1" and self.heading is None and not dropped:
             self.heading = node
         if tag in CONTAINERS:
-            above = "" if tag in ("html", "body") else path  # these may be left out
-            node.path = f"{above}/{tag}" + "".join(f".{_DIGITS.sub('0', c)}" for c in sorted(classes.split()))
+            step = tag + "".join(f".{_DIGITS.sub('0', c)}" for c in sorted(classes.split())).replace("/", "|")
+            key = (0 if tag in ("html", "body") else path, step)  # these may be left out
+            if key not in self.steps:
+                self.steps[key] = len(self.above)
+                self.above.append(key)
+            node.path = self.steps[key]
             node.weight = TAG_WEIGHT.get(tag, GOOD_WEIGHT if not GOOD_WORDS.isdisjoint(words) else 1.0)
             if not dropped:
                 node.holder = node
                 self.containers.append(node)
+        self.open.setdefault(tag, []).append(len(self.stack))
         self.stack.append(node)
 
-    def _end(self, tag: str, within) -> None:
-        for at in range(len(self.stack) - 1, 0, -1):
-            if self.stack[at].tag == tag:
-                self._close_to(at)
-                return
-            if self.stack[at].tag in within:
-                return
+    def _last(self, tags) -> int:
+        """Height of the innermost open element of these tags; 0 if none is open."""
+        return max((self.open[t][-1] for t in tags if self.open.get(t)), default=0)
+
+    def _end(self, tags, within) -> None:
+        """End the innermost open element of ``tags`` unless one of ``within`` is open inside it."""
+        at = self._last(tags)
+        if at and at > self._last(within - tags):
+            self._close_to(at)
+
+    def path_number(self, path: str) -> int | None:
+        """Number of a path on this page."""
+        number = 0
+        for step in path.split("/")[1:]:
+            number = self.steps.get((number, step), -1)
+            if number < 0:
+                return None
+        return number
+
+    def path_of(self, number: int) -> str:
+        steps = []
+        while number:
+            number, step = self.above[number]
+            steps.append(step)
+        return "".join(f"/{s}" for s in reversed(steps))
 
     def _end_tag(self, tag: str) -> None:
         if tag == "br":
             self.pieces.append((" ", None))
             return
-        for at in range(len(self.stack) - 1, 0, -1):
-            if self.stack[at].tag == tag:
-                self._close_to(at)
-                return
+        if at := self._last((tag,)):
+            self._close_to(at)
 
     def _data(self, data: str) -> None:
         node = self.stack[-1]
@@ -270,15 +302,16 @@ class Page:
 
     def best(self) -> _Node | None:
         """The container with the highest score; of equals the first."""
-        return max(self.containers, key=lambda n: n.prose * n.weight * DEPTH_WEIGHT**n.depth, default=None)
+        return max(self.containers, key=lambda n: n.prose * n.weight * DEPTH_WEIGHT ** min(n.depth, DEEPEST), default=None)
 
     def vote(self) -> tuple[str, float] | None:
         node = self.best()
-        return (node.path, 1.0) if node is not None and node.prose > 0 else None
+        return (self.path_of(node.path), 1.0) if node is not None and node.prose > 0 else None
 
     def text(self, path: str | None) -> str:
         """Blocks of the outermost containers on a path, or of the page's best one, or of the page."""
-        chosen = [n for n in self.containers if n.path == path and n.end > n.start] if path else []
+        number = self.path_number(path) if path else None
+        chosen = [n for n in self.containers if n.path == number and n.end > n.start] if number else []
         if not chosen and (node := self.best()) is not None and node.prose > 0:
             chosen = [node]
         ranges, last = [], 0
@@ -315,17 +348,16 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """One row per page: ``page_id, url, text``.
 
     A null or empty html gives an empty text.  Pages without a host in their url vote together.
-    Equal votes are settled by the path's order.  Rows that repeat a page each vote and each come out.
+    Equal votes are settled by the path's order.  A page takes time and memory in proportion to its length, however deep or broken.  Rows that repeat a page each vote and each come out.
     """
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1))
     rows = pages.select("page_id", "url", "html", host.alias("host"))
     votes = rows.select("host", "html").mapInArrow(_votes, "host string, path string, votes double")
     summed = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
     winners = summed.groupBy("host").agg(F.min_by("path", F.struct(-F.col("votes"), "path")).alias("path"))
-    # A host with a third of all pages meets its path in as many places as there are slices.
-    part = F.pmod(F.xxhash64("page_id", "url"), F.lit(SLICES))
-    dealt = winners.select("host", "path", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1)).cast("array<long>")).alias("part"))
-    joined = rows.withColumn("part", part).join(dealt, ["host", "part"], "left").select("page_id", "url", "html", "path")
+    # Stored, the paths have a known size: while they are few the optimizer sends them to the pages, and beyond that it splits a
+    # host with very many pages, as any skewed side of a join.
+    joined = rows.join(stored(winners), "host", "left").select("page_id", "url", "html", "path")
     return joined.mapInArrow(_extract, "page_id long, url string, text string")
 
 
