@@ -61,6 +61,11 @@ def text_bytes(column: str | Column = "text") -> Column:
     return F.coalesce(value, F.lit("")).cast("binary")
 
 
+def text_digest(column: str | Column = "text") -> Column:
+    """SHA-256 of a text; with the doc_id it tells rows apart that repeat an id or have none."""
+    return F.sha2(text_bytes(column), 256)
+
+
 def arrow_rows(batches: Iterator[pa.RecordBatch], schema: pa.Schema, each) -> Iterator[pa.RecordBatch]:
     """``each(batch) -> list of column value lists``, one output batch per input batch."""
     for batch in batches:

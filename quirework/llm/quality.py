@@ -1,9 +1,9 @@
 """Quality by Bradley-Terry ranking.
 
 Each pair of a good and a bad labelled document is a preference; the scores are linear in features of the
-text and fitted by logistic loss on feature differences.  The cut is the quantile of the scores at the
-share of bad rows in the sample, moved to where it separates them best; the distance to it, scaled to
-the labels, gives a score that is 0.7 at the cut.
+text and fitted by logistic loss on feature differences.  The sample teaches the level of the quantile to cut at: the
+share of bad rows, moved to where it separates them best.  The cut is that quantile of the scores of all documents,
+found in Spark by counting; the distance to it, scaled to the labels, gives a score that is 0.7 at the cut.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm.common import query, table
-from quirework.llm.learning import calibrated, held_out, logistic, sample, sigmoid
+from quirework.llm.common import query, stored, table, text_digest
+from quirework.llm.learning import calibrated, held_out, logistic, sample
 
 FOLDS, FOLD, THRESHOLD = 4, 2, 0.7
 #: Labelled rows in the sample and preference pairs drawn from them.
@@ -85,13 +85,42 @@ class Ranking:
         near = np.arange(len(raw) + 1)
         level = int(min(near, key=lambda i: (wrong[i], abs(i - len(bad)))))
         self.quantile = level / len(raw)
-        level = min(max(level, 1), len(raw) - 1)
-        self.cut = (raw[level - 1] + raw[level]) / 2
+        self.cut = 0.0
         self.slope = max(calibrated(z @ self.weights, label)[0], 1e-6)
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        raw = ((x - self.mean) / self.scale) @ self.weights
-        return sigmoid(self.slope * (raw - self.cut) + np.log(THRESHOLD / (1 - THRESHOLD)))
+    def raw(self, x: np.ndarray) -> np.ndarray:
+        return ((x - self.mean) / self.scale) @ self.weights
+
+
+def quantile_cut(rows: DataFrame, column: str, level: float, steps: int = 3, ways: int = 4096) -> float:
+    """Cut with the share ``level`` of the values below it, between the values next to it as far as ``steps`` rounds tell them apart.
+
+    A round counts the values in ``ways`` equal stretches of the range that holds the quantile, and goes on in the one it falls into;
+    ``ways`` counts reach the driver.  The cut's error is the first range over ``ways ** steps``, far below the rounding of a score.
+    """
+    span = rows.agg(F.min(column).alias("low"), F.max(column).alias("high"), F.count(column).alias("n")).first()
+    if not span["n"]:
+        return 0.0
+    low, high, before, wanted = span["low"], span["high"], 0, int(round(level * span["n"]))
+    if wanted <= 0:
+        return low - 1.0
+    if wanted >= span["n"]:
+        return high + 1.0
+    for _ in range(steps):
+        width = (high - low) / ways
+        if not width > 0 or low + width == low:
+            break
+        inside = rows.filter((F.col(column) >= low) & (F.col(column) <= high))
+        at = F.least(F.floor((F.col(column) - F.lit(low)) / F.lit(width)), F.lit(ways - 1))
+        counts = {r["at"]: r["n"] for r in inside.groupBy(at.alias("at")).agg(F.count("*").alias("n")).collect()}
+        for k in sorted(counts):  # the stretch with the first value that is not below the cut
+            if before + counts[k] > wanted:
+                break
+            before += counts[k]
+        low, high = low + k * width, low + (k + 1) * width
+        if before == wanted:  # the values below are all the wanted ones: the cut lies in the gap before this stretch or in it
+            break
+    return low
 
 
 def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -102,19 +131,29 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     known = sample(labels.select("doc_id", F.col("quality").alias("quality")), "quality", FOLDS, FOLD, SAMPLE)
     few = F.broadcast(docs.sparkSession.createDataFrame([tuple(r) for r in known.collect()], "doc_id long, label int"))
-    taught = docs.select("doc_id", "text").join(few, "doc_id").select("text", "label")
-    rows = taught.mapInArrow(_measure, "x array<double>, label int").limit(2 * SAMPLE).collect()
+    taught = docs.select("doc_id", "text").join(few, "doc_id").select("doc_id", text_digest().alias("digest"), "text", "label")
+    # Repeated ids may make the sample longer than the list of labels: ordered, so that the same rows teach in every run.
+    rows = taught.orderBy(F.xxhash64("doc_id"), "doc_id", "digest").limit(2 * SAMPLE).select("text", "label")
+    rows = rows.mapInArrow(_measure, "x array<double>, label int").collect()
     label = np.array([r["label"] for r in rows])
     ranking = Ranking(np.array([r["x"] for r in rows]), label) if len(set(label.tolist())) == 2 else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.array([features(t.as_py() or "") for t in batch.column("text")]).reshape(-1, WIDTH)
-            scores = ranking.score(x) if ranking else np.zeros(len(x))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
-
-    scored = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
-    return scored.select("doc_id", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+            scores = ranking.raw(x) if ranking else np.zeros(len(x))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], ["doc_id", "raw"])
+
+    if ranking is None:
+        return docs.select("doc_id", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+    scored = stored(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, raw double"))
+    cut = quantile_cut(scored, "raw", ranking.quantile)
+    margin = F.least(F.greatest(F.lit(ranking.slope) * (F.col("raw") - F.lit(cut)), F.lit(-40.0)), F.lit(40.0))
+    score = F.lit(1.0) / (F.lit(1.0) + F.lit((1 - THRESHOLD) / THRESHOLD) * F.exp(-margin))
+    # The side of the cut decides; rounding must not put a score on its other side.
+    good = F.col("raw") >= F.lit(cut)
+    exact = F.when(good, F.greatest(score, F.lit(THRESHOLD))).otherwise(F.least(score, F.lit(float(np.nextafter(THRESHOLD, 0)))))
+    return scored.select("doc_id", exact.alias("score"), good.cast("int").alias("predicted"))
 
 
 @query()

@@ -1,15 +1,15 @@
 """SimHash near-duplicates over a byte-position inverted index.
 
 Fingerprints that differ in at most 3 bits differ in at most 3 of their 8 bytes, so they share at
-least 5 bytes at the same positions.  That guaranteed count is the filter: a posting of the index is
-a choice of 5 positions with the 5 bytes found there (56 choices), so exactly the pairs that
-share 5 or more positional bytes meet in one.  With 40 bits per posting, unrelated fingerprints
-hardly ever meet, at any corpus size; single positions would have lists of N / 256 fingerprints.
+least 5 bytes at the same positions.  That guaranteed count is the filter.  A posting of the index is a choice of 4
+positions with the 4 bytes found there (70 choices), so the pairs that share 4 or more positional bytes meet; of
+each pair met the shared bytes are tallied, those with fewer than 5 go, and the rest are verified.  Single positions
+would have lists of N / 256 fingerprints; these have lists of N / 2 ** 32.
 
 Postings hold distinct fingerprints, so copies of a text are one entry.  Inside a posting the shared
 bytes and differing bits are counted and only a spanning forest of the verified links goes out, which
 keeps every component and never all pairs.  A long posting, whose fingerprints differ only in its
-24 free bits, looks up the 2,325 ways of flipping at most 3 of them instead of comparing pairs.
+32 free bits, looks up the 5,488 ways of flipping at most 3 of them instead of comparing pairs.
 """
 
 from __future__ import annotations
@@ -27,7 +27,10 @@ from quirework.llm.common import query, stored, table, text_bytes
 from quirework.llm.components import components
 
 SHINGLE, MAX_BITS, SHARED_BYTES, SEED = 3, 3, 5, 42
-CHOICES = list(combinations(range(8), SHARED_BYTES))
+#: Positions of a posting: one fewer than the count that the filter asks for.
+KEY_BYTES = 4
+CHOICES = list(combinations(range(8), KEY_BYTES))
+FREE_BITS = 8 * (8 - KEY_BYTES)
 #: Postings longer than this look up neighbours instead of comparing pairs; both give the same links.
 PAIRWISE = 2048
 
@@ -57,7 +60,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = [fingerprint(text.as_py()) for text in batch.column("bytes")]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints, pa.int64())], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(prints, pa.int64())], ["doc_id", "digest", "fp"])
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,9 +77,8 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 pa.array(np.concatenate(keys)),
                 pa.array(np.tile(prints, len(CHOICES))),
-                pa.array(np.tile(batch.column("rep").to_numpy(), len(CHOICES))),
             ],
-            ["posting", "fp", "rep"],
+            ["posting", "fp"],
         )
 
 
@@ -113,12 +115,12 @@ class _Forest:
 
 
 def _masks() -> np.ndarray:
-    return np.array([sum(1 << b for b in c) for n in range(1, MAX_BITS + 1) for c in combinations(range(24), n)], np.uint64)
+    return np.array([sum(1 << b for b in c) for n in range(1, MAX_BITS + 1) for c in combinations(range(FREE_BITS), n)], np.uint64)
 
 
 def _spread(masks: np.ndarray, posting: int) -> np.ndarray:
-    """24-bit masks laid over the byte positions that a posting leaves free."""
-    free = sorted(set(range(8)) - set(CHOICES[posting >> 8 * SHARED_BYTES]))
+    """Masks laid over the byte positions that a posting leaves free."""
+    free = sorted(set(range(8)) - set(CHOICES[posting >> 8 * KEY_BYTES]))
     out = np.zeros_like(masks)
     for k, position in enumerate(free):
         out |= ((masks >> np.uint64(8 * k)) & np.uint64(255)) << np.uint64(8 * position)
@@ -147,7 +149,8 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (posting, fp): runs of one posting, carried over batch borders."""
     held: list[tuple[np.ndarray, ...]] = []
 
-    def solve(posting, prints, reps):
+    def solve(posting, prints):
+        reps = prints.view(np.int64)
         starts = np.flatnonzero(np.r_[True, posting[1:] != posting[:-1]])
         sizes = np.diff(np.r_[starts, len(posting)])
         two = starts[sizes == 2]
@@ -161,40 +164,39 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], ["u", "v"])
 
     for batch in batches:
-        now = tuple(batch.column(c).to_numpy() for c in ("posting", "fp", "rep"))
+        now = tuple(batch.column(c).to_numpy() for c in ("posting", "fp"))
         if not len(now[0]):
             continue
-        held.append((now[0], now[1].view(np.uint64), now[2]))
+        held.append((now[0], now[1].view(np.uint64)))
         if held[0][0][0] == now[0][-1]:
             continue  # one posting goes on over the whole batch
-        posting, prints, reps = (np.concatenate(x) for x in zip(*held))
+        posting, prints = (np.concatenate(x) for x in zip(*held))
         cut = np.searchsorted(posting, posting[-1])
-        held = [(posting[cut:], prints[cut:], reps[cut:])]
-        yield solve(posting[:cut], prints[:cut], reps[:cut])
+        held = [(posting[cut:], prints[cut:])]
+        yield solve(posting[:cut], prints[:cut])
     if held:
         yield solve(*(np.concatenate(x) for x in zip(*held)))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id, fp, component_id``.
+    """One row per document: ``doc_id, fp, component_id``, and ``digest`` (SHA-256 of the text) and ``root``, a
+    number that the documents of a component share, with or without a doc_id.
 
     Null and wordless texts have fingerprint 0 and link like any other.  Rows that repeat a doc_id share
-    a component if their fingerprints link.  A null doc_id gets a fingerprint; its component is that of
-    the documents with the same fingerprint, null if those have no doc_id either.
-    Other columns are ignored, so their names cannot clash.
+    a component if their fingerprints link.  A null doc_id links like any other; ``component_id`` is the smallest doc_id of the
+    component, null if none of its rows has one.  Other columns are ignored, so their names cannot clash.
     """
-    prints = stored(docs.select("doc_id", text_bytes().alias("bytes")).mapInArrow(_fingerprints, "doc_id long, fp long"))
+    text = text_bytes()
+    read = docs.select("doc_id", F.sha2(text, 256).alias("digest"), text.alias("bytes"))
+    prints = stored(read.mapInArrow(_fingerprints, "doc_id long, digest string, fp long"))
     classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    index = (
-        classes.filter("rep is not null")
-        .mapInArrow(_postings, "posting long, fp long, rep long")
-        .repartition(parts, "posting")
-        .sortWithinPartitions("posting")
-    )
-    tree = components(index.mapInArrow(_links, "u long, v long")).select(F.col("u").alias("rep"), F.col("v").alias("low"))
-    placed = stored(classes.join(tree, "rep", "left").select("fp", F.coalesce("low", "rep").alias("component_id")))
-    return prints.join(placed, "fp").select("doc_id", "fp", "component_id")
+    index = classes.select("fp").mapInArrow(_postings, "posting long, fp long").repartition(parts, "posting").sortWithinPartitions("posting")
+    tree = components(index.mapInArrow(_links, "u long, v long")).select(F.col("u").alias("fp"), F.col("v").alias("low"))
+    rooted = stored(classes.join(tree, "fp", "left").select("fp", "rep", F.coalesce("low", "fp").alias("root")))
+    least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+    placed = stored(rooted.select("fp", "root").join(least, "root"))
+    return prints.join(placed, "fp").select("doc_id", "fp", "component_id", "digest", "root")
 
 
 @query()

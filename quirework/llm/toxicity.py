@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm.common import query, stored, table
+from quirework.llm.common import query, stored, table, text_digest
 from quirework.llm.learning import calibrated, held_out, logistic, sample, sigmoid
 
 FOLDS, FOLD, THRESHOLD = 3, 1, 0.7
@@ -105,7 +105,8 @@ def _features(known: dict[str, int]):
                 terms.append(sorted(found))
                 votes.append(bits)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(terms, pa.list_(pa.int32())), pa.array(votes, pa.int64())], ["doc_id", "terms", "votes"]
+                [batch.column("doc_id"), batch.column("digest"), pa.array(terms, pa.list_(pa.int32())), pa.array(votes, pa.int64())],
+                ["doc_id", "digest", "terms", "votes"],
             )
 
     return run
@@ -197,7 +198,7 @@ def _dense(terms: list, votes: np.ndarray, n_terms: int) -> np.ndarray:
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id, score, predicted``.
+    """One row per document: ``doc_id, score, predicted`` and ``digest`` (SHA-256 of the text), as rows may repeat an id or have none.
 
     A null text is an empty one and scored like it.  Without any labelled row of either class every score is 0.
     Labels, language, source and doc_id are no input of a score; held-out rows teach nothing.
@@ -208,9 +209,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     few = F.broadcast(spark.createDataFrame([tuple(r) for r in ids], "doc_id long, label int"))
     found = lexicon(docs.select("doc_id", "text").join(few, "doc_id").select("text", "label"))
     numbers = {t: i for i, t in enumerate(found)}
-    rows = stored(docs.select("doc_id", "text").mapInArrow(_features(numbers), "doc_id long, terms array<int>, votes long"))
+    rows = stored(docs.select("doc_id", text_digest().alias("digest"), "text").mapInArrow(_features(numbers), "doc_id long, digest string, terms array<int>, votes long"))
     model = LabelModel().fit(stored(rows.groupBy("votes").agg(F.count("*").alias("n"))))
-    taught = rows.join(few, "doc_id").select("terms", "votes", "label").limit(2 * SAMPLE).collect()
+    taught = rows.join(few, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "digest").select("terms", "votes", "label").limit(2 * SAMPLE).collect()
     votes = np.array([r["votes"] for r in taught], np.int64)
     truth = np.array([r["label"] for r in taught], np.int64)
     weights, slope, shift = np.zeros(len(found) + PATTERNS + 1), 0.0, -40.0
@@ -222,10 +223,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             margin = _dense(batch.column("terms").to_pylist(), batch.column("votes").to_numpy(), len(found)) @ weights
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sigmoid(slope * margin + shift))], ["doc_id", "score"])
+            columns = [batch.column("doc_id"), batch.column("digest"), pa.array(sigmoid(slope * margin + shift))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "score"])
 
-    scored = rows.mapInArrow(run, "doc_id long, score double")
-    return scored.select("doc_id", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    scored = rows.mapInArrow(run, "doc_id long, digest string, score double")
+    return scored.select("doc_id", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "digest")
 
 
 @query()

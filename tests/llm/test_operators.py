@@ -195,7 +195,7 @@ def test_postings_keep_every_link(pairwise):
             value ^= 1 << (8 * int(draw.choice(free)) + int(draw.integers(0, 8)))
         prints.add(value)
     prints = sorted(prints)
-    tree = simhash.links_of(np.array(prints, np.uint64), number << 40, pairwise)
+    tree = simhash.links_of(np.array(prints, np.uint64), number << 32, pairwise)
     assert len(tree) < len(prints) and all((prints[i] ^ prints[j]).bit_count() <= 3 for i, j in tree)
     root = list(range(len(prints)))
     for i, j in tree:
@@ -374,7 +374,7 @@ def test_toxicity_votes_do_not_depend_on_the_memo(monkeypatch):
     words = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
     known = {t: i for i, t in enumerate(sorted({t for w in words[::3] for t in toxicity.terms_of(w)}))}
     texts = [" ".join(words), " ".join(words[:30]), " ".join(words[3:4] * 2 + words[100:140])]
-    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(texts)], ["doc_id", "text"])
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(list("abc")), pa.array(texts)], ["doc_id", "digest", "text"])
     seen, patterns = [], toxicity.patterns_of
     monkeypatch.setattr(toxicity, "patterns_of", lambda text, n, hits: seen.append(hits) or patterns(text, n, hits))
     want = next(toxicity._features(known)(iter([batch]))).to_pylist()
@@ -418,6 +418,69 @@ def test_extraction_keeps_wrapped_articles(page):
     assert extraction.Page(page).text(None) == "Title\nThe first paragraph has prose.\nThe second has some more."
 
 
+def test_extraction_of_deep_and_broken_pages():
+    """Time and memory follow the length of a page: deep nesting, stray end tags, elements that never end."""
+    import time
+    import tracemalloc
+
+    pages = {
+        "<div>" * 36_000 + "<p>text": "text", "<span>" * 20_000 + "</b>" * 20_000 + "<p>text": "text",
+        "<p><td>" + "<span>" * 20_000 + "<p></p>" * 3_000 + "text": "text", "<ul>" + "<li><span>" * 10_000 + "text": "text",
+    }
+    for page, want in pages.items():
+        tracemalloc.start()
+        began = time.perf_counter()
+        found = extraction.Page(page)
+        vote = found.vote()
+        assert found.text(vote and vote[0]) == want and time.perf_counter() - began < 10
+        assert tracemalloc.get_traced_memory()[1] < 100e6
+        tracemalloc.stop()
+
+
+SITES = {
+    "blog": ('<div id="page" class="hfeed site"><header class="site-header"><p>Site</p></header><div class="site-content"><div class="entry-content">{}</div><div class="comments-area"><p>I like it very much indeed</p></div></div></div>', "<p>Prose of the entry goes on.</p><p>And on.</p>", "Prose of the entry goes on.\nAnd on."),
+    "docs": ('<div class="sidebar-left"><ul><li><a href="/a">A</a></li></ul></div><main><div class="document">{}</div></main>', '<h1>Call</h1><div class="alert alert-info"><p>Mind the gap.</p></div><p>Then call it.</p>', "Call\nMind the gap.\nThen call it."),
+    "paper": ("<article>{}</article>", '<h1>On sums</h1><div class="related-work"><p>Others summed.</p></div><div class="search-results-table">Rows</div>', "On sums\nOthers summed.\nRows"),
+    "news": ('<div class="content-sidebar-wrap"><div class="story">{}</div><div class="sidebar"><p>More</p></div></div>', '<h1>News</h1><p>It happened today.</p><div class="ad-box"><p>Buy</p></div><p>Nobody was hurt.</p>', "News\nIt happened today.\nNobody was hurt."),
+    "shop": ('<form id="f"><div class="main-text">{}</div><div class="newsletter signup"><p>Join</p></div></form>', "<h1>Lamp</h1><p>It gives light to all.</p>", "Lamp\nIt gives light to all."),
+    "forum": ('<div class="breadcrumb"><a href="/">x</a></div><article class="post">{}</article><div id="replies"><p>yes</p></div>', "<p>Who knows &lt;b&gt;?</p><ul><li>me</li></ul>", "Who knows <b>?\nme"),
+    "recipe": ('<div class="wrap"><section class="recipe-body">{}</section><div class="share-buttons">tweet</div></div>', "<h2>Soup</h2><p>Boil water for long.</p><p>Salt.</p>", "Soup\nBoil water for long.\nSalt."),
+    "old": ("<table><tr><td class=nav><a href=/>home</a></td><td>{}</td></tr></table>", "<p>Old page with prose<p>in two parts", "Old page with prose\nin two parts"),
+}
+
+
+@pytest.mark.parametrize("site", SITES)
+def test_extraction_of_site_forms(site):
+    frame, article, want = SITES[site]
+    assert extraction.Page(f"<html><body>{frame.format(article)}<footer>f</footer></body></html>").text(None) == want
+
+
+def test_quality_cut_follows_the_corpus(spark):
+    """The level comes from the sample, the cut from all documents: with another mix, another cut."""
+    draw = np.random.default_rng(6)
+    for values in (draw.normal(0, 1, 5000), np.r_[draw.normal(-3, 1, 4000), draw.normal(5, 1, 500), np.zeros(500)], np.ones(50), draw.exponential(1e6, 999)):
+        frame = spark.createDataFrame([(float(v),) for v in values], "raw double").repartition(4)
+        for level in (0.0, 0.1, 0.5, 0.83, 1.0):
+            cut = quality.quantile_cut(frame, "raw", level)
+            wanted = int(round(level * len(values)))
+            below, upto = int((values < cut).sum()), int((values <= cut + 1e-6).sum())  # a tie may straddle the level
+            assert abs(below - wanted) <= 1 or below <= wanted <= upto, (level, below, wanted, upto)
+
+
+def test_simhash_rows_without_id_link(spark):
+    """A row without doc_id joins the documents on both sides of it, and near copies without any doc_id stay linked."""
+    base = " ".join(f"w{i}" for i in range(400))
+    rows = [(None, base), (None, base + " x"), (None, "another text altogether"), (5, base + " y"), (None, "alone and far away from it")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = simhash.near_duplicates(frame).collect()
+    prints = {r["digest"]: (r["fp"] & (2**64 - 1), r["root"], r["component_id"]) for r in found}
+    for a in prints.values():
+        for b in prints.values():
+            if (a[0] ^ b[0]).bit_count() <= 3:
+                assert a[1:] == b[1:]
+    assert any(c == 5 for _, _, c in prints.values()) and any(c is None for _, _, c in prints.values())
+
+
 def test_extraction_keeps_anchors():
     page = """<body><article><h2 id="search-algorithms">Search</h2><p>one</p><section id="related-work"><p id="share-prices">two</p></section>
     <p class="lead-skip-over">three</p><div class="share">tweet</div><div id="cookie-notice">We use</div></article>"""

@@ -95,6 +95,19 @@ def test_odd_rows_pass_every_stage(spark, tmp_path):
     assert found and 11 not in found and set(found) <= {i for i, _ in TEXTS}
 
 
+def test_rows_without_or_with_one_id_survive(spark, tmp_path):
+    """Rejected and near-equal rows take no other row of their id, or without one, with them."""
+    folder, spoiled = str(tmp_path), "one two three four five six seven eight nine ten eleven"
+    plain = [f"this is the {w} plain and quite different text about {w} things and {v}" for w, v in zip("red green blue grey black white".split(), "cats dogs birds fish cows hens".split())]
+    rows = [(None, plain[0]), (None, spoiled), (None, plain[1]), (7, plain[2]), (7, plain[3]), (7, spoiled), (8, plain[4]), (None, plain[4]), (9, plain[5]), (9, plain[5]), (None, plain[0])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(1, spoiled)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    kept = corpus_pipeline.drop_contaminated(spark, corpus_pipeline.drop_near_copies(spark, docs, folder), folder)
+    want = [(None, plain[0]), (None, plain[1]), (7, plain[2]), (7, plain[3]), (8, plain[4]), (9, plain[5])]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted(want, key=repr)
+    assert kept.columns == corpus_pipeline.COLUMNS
+
+
 def test_empty_corpus(spark, tmp_path):
     folder = str(tmp_path)
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
