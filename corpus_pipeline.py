@@ -4,11 +4,10 @@
 smallest doc_id stays.  3. Decontamination: documents in which a benchmark window occurs go.
 4. Mixing: a document is repeated as often as the mix takes it.  5. Sharding: every row gets a shard and a slot.
 
-A doc_id names a document.  Rows that repeat one: stage 1 and 3 reject all of them if any is rejected, stage 2 keeps the
-one whose text comes first, stage 4 repeats each as often as the most taken one; the repeats of
-stage 4 get slots of their own.  Rows without doc_id count as one such document in stages 1, 3 and 4; stage 2
-keeps them all if no document with a doc_id has their fingerprint, and drops them otherwise.
-Extra columns of the input are left out.
+A row is known by its doc_id, null being one more, and the SHA-256 of its text, so stages 1 to 3 reject rows, not ids: another row with the
+same doc_id, or without one, stays.  Stage 2 keeps of each component the row with the smallest doc_id (null last), then the smallest
+digest, and of rows equal in both the first by source, lang and n_chars.  Stage 4 repeats each row of an id as often as the
+most taken one; the repeats get slots of their own in stage 5.  Extra columns of the input are left out.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 
 from quirework.llm import decontaminate as benchmark_search
 from quirework.llm import mixing, sharding, simhash, toxicity
-from quirework.llm.common import SETTINGS, stored, table
+from quirework.llm.common import SETTINGS, stored, table, text_digest
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -29,30 +28,36 @@ def _prepared(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return docs.select(*COLUMNS)
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    gone = rejected.select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
+def _match(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` that are, or are not, among ``rows(doc_id, digest)``."""
+    keys = rows.select(F.struct("doc_id", "digest").alias("__row"))
+    return docs.withColumn("__row", F.struct("doc_id", text_digest().alias("digest"))).join(keys, "__row", how).select(*COLUMNS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = _prepared(spark, docs)
     scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, scored.filter("predicted = 1"))
+    return _match(docs, scored.filter("predicted = 1"), "left_anti")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = _prepared(spark, docs)
     found = simhash.near_duplicates(docs)
-    stays = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__stays")).distinct()
-    kept = docs.join(stays, F.col("doc_id").eqNullSafe(F.col("__stays")), "left_semi")
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "source", "lang", "n_chars"))
-    return kept.withColumn("__row", one).filter("__row = 1 or doc_id is null").select(*COLUMNS)
+    last = F.lit((1 << 63) - 1)
+    rows = found.groupBy("root", F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", last).alias("id"), "digest").agg(F.count("*").alias("n"))
+    stays = rows.groupBy("root").agg(F.min(F.struct("none", "id", "digest", "n")).alias("s")).select(F.when(~F.col("s.none"), F.col("s.id")).alias("doc_id"), "s.digest", "s.n")
+    stays = stored(stays)
+    single = _match(docs, stays.filter("n = 1"), "left_semi")
+    # Rows that repeat id and text: one of them, without a window over all their copies.
+    again = _match(docs, stays.filter("n > 1"), "left_semi").groupBy("doc_id", text_digest().alias("digest"))
+    first = again.agg(F.min(F.struct("source", "lang", "n_chars", "text")).alias("s")).select("doc_id", "s.text", "s.lang", "s.source", "s.n_chars")
+    return single.unionByName(first)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = _prepared(spark, docs)
     found = benchmark_search.decontaminate(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
-    return _without(docs, found.filter("n_hit > 0"))
+    return _match(docs, found.filter("n_hit > 0").select("doc_id", F.sha2("bytes", 256).alias("digest")), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
