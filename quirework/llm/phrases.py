@@ -33,7 +33,7 @@ SCALE = 1_000_000
 #: Pieces end at these characters; words at blanks and tabs.
 _FOLD = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"\n" * 10 + b" ")
 #: Words counted together in a task, and bytes of text split together.
-BUFFER, CHUNK = 4_000_000, 8_000_000
+BUFFER, CHUNK = 500_000, 1_000_000
 #: Bits of the table of frequent pairs, and rows of the sample that ranges are cut by.
 TABLE_BITS, SAMPLE = 25, 20_000
 GAP = b"\x00\x00"
@@ -61,8 +61,8 @@ def pair_places(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 
 def _slices(keys, counts: np.ndarray) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    for at in range(0, len(counts), 100_000):
-        part = slice(at, at + 100_000)
+    for at in range(0, len(counts), 20_000):
+        part = slice(at, at + 20_000)
         yield keys(part), counts[part]
 
 
