@@ -12,7 +12,7 @@ from quirework.functions import markdown as md
 from quirework.functions import rules as rx
 from quirework.functions import text as tx
 from quirework.functions import titles
-from quirework.operators import audit
+from quirework.operators import audit, reviews
 from quirework.sources.tables import table
 
 LINES = f"SELECT doc_id, unnest({text_lines('text')}) AS line, generate_subscripts({text_lines('text')}, 1) AS line_no FROM documents"
@@ -467,19 +467,17 @@ def lineitem_footnotes(spark, folder):
 
 @query(
     """SELECT event_id, CASE WHEN event_type = 'error' THEN 1 END::INTEGER AS line, event_type = 'error' AS broken,
-       CASE WHEN event_type = 'error' THEN 'value = (' || user_id ELSE 'lambda_ * value = ' || user_id END AS code FROM events"""
+       CASE WHEN event_type = 'error' THEN 'value = (' || user_id ELSE 'value = lambda_ * ' || user_id END AS code FROM events"""
 )
 def event_code_checks(spark, folder):
-    """Listings built from events: name repair and syntax check (nothing is run)."""
+    """Listings built from events: name repair, and the syntax check of the very listing returned (nothing is run)."""
     events = table(spark, folder, "events", "event_id", "user_id", "event_type")
     user = F.col("user_id").cast("string")
     code = F.when(F.col("event_type") == "error", F.concat(F.lit("value = ("), user)).otherwise(
-        F.concat(F.lit("lambda * value = "), user)
+        F.concat(F.lit("value = lambda * "), user)
     )
     repaired = cx.rename_lambda(code)
-    broken = F.col("event_type") == "error"
-    shown = F.when(broken, repaired).otherwise(F.concat(F.lit("value = "), user))
-    rows = events.select("event_id", repaired.alias("code"), cx.syntax_error(shown).alias("e"))
+    rows = events.select("event_id", repaired.alias("code"), cx.syntax_error(repaired).alias("e"))
     return rows.select("event_id", F.col("e")["line"].alias("line"), F.col("e")["message"].isNotNull().alias("broken"), "code")
 
 
@@ -533,3 +531,26 @@ def doc_boilerplate(spark, folder):
         F.when(F.col("kept") == "", F.lit(0)).otherwise(F.size(F.split("kept", "\n"))).cast("long").alias("kept"),
         F.md5("kept").alias("digest"),
     )
+
+
+@query(
+    """WITH e AS (SELECT user_id, event_id, event_type, floor(value)::BIGINT AS v, event_type <> 'error' AS readable, floor(value) <= 100 AS scored FROM events),
+    a AS (SELECT *, event_type = 'purchase' AS says, (event_type = 'click')::INT AS issues, CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END AS fixes,
+      (NOT scored)::INT + (event_type = 'view')::INT + (event_type = 'signup')::INT AS faults FROM e),
+    g AS (SELECT user_id, count(*) AS answers, count(*) FILTER (NOT readable) AS unreadable, coalesce(sum(faults) FILTER (readable), 0)::BIGINT AS rejected,
+      max(event_id) FILTER (readable) AS last FROM a GROUP BY user_id)
+    SELECT g.user_id, answers, unreadable, rejected, CASE WHEN scored THEN v::INTEGER END AS score, a.issues, a.fixes,
+      CASE WHEN last IS NULL THEN 'unreviewed' WHEN scored AND says AND issues = 0 THEN 'publish' ELSE 'revise' END AS verdict
+    FROM g LEFT JOIN a ON a.user_id = g.user_id AND a.event_id = last"""
+)
+def review_answers(spark, folder):
+    """Reviews built from the events of every user, some unreadable or with a field of a wrong type, folded to a verdict."""
+    events = table(spark, folder, "events", "user_id", "event_id", "event_type", "value", spread="event_id")
+    kind = F.col("event_type")
+    says = F.when(kind == "purchase", "true").when(kind == "view", '"yes"').otherwise("false")
+    issues = F.when(kind == "click", '["unclear"]').otherwise('[" "]')
+    fixes = F.when(kind == "signup", '[{"source": "a", "rewrite": "b"}, {"source": "c", "rewrite": ""}]').otherwise("[]")
+    fields = [("score_0_to_100", F.floor("value").cast("string")), ("publishable", says), ("critical_issues", issues), ("representative_fixes", fixes)]
+    body = F.concat_ws(", ", *[F.concat(F.lit(f'"{name}": '), told) for name, told in fields], F.lit('"next_actions": []'))
+    answer = F.when(kind == "error", F.lit("no review today")).otherwise(F.concat(F.lit("```json\n{"), body, F.lit("}\n```")))
+    return reviews.page_verdicts(events.select("user_id", "event_id", answer.alias("answer")), "user_id", "event_id", "answer")
