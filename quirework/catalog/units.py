@@ -82,7 +82,7 @@ def page_to_unit(spark, folder):
 )
 def page_to_first_unit(spark, folder):
     """Events and overlapping intervals: the first interval in order wins."""
-    events = table(spark, folder, "events", "user_id", "event_id", "event_type")
+    events = table(spark, folder, "events", "user_id", "event_id", "event_type", spread="event_id")
     spans = events.filter("event_type = 'signup'").select(
         "user_id", F.col("event_id").alias("unit_id"), F.col("event_id").alias("a"),
         (F.col("event_id") + 500 + (F.col("event_id") % 4) * 1000).alias("b"),
