@@ -190,6 +190,10 @@ _PLANTED = (
     (13, '<div class="section" number="2.1"><h2>a</h2></div>'),
     (15, '<div class="tutorial-sidebar"><b data-sidebar-action="expand">+</b></div>'),
     (16, '<pre><code><div class="code-tabs">x</div></code></pre>'),
+    (17, '<code class="language-python">library(x)</code>'),
+    (18, '<link rel="stylesheet" href="/assets/css/styles.css">'),
+    (19, '<script src="/assets/js/site.js?v=1.2"></script>'),
+    (21, "<p>见原教程</p>"),
 )
 _AUDITED = f"""SELECT page_id, file, CASE WHEN page_id % 14 = 0 THEN 'html' || chr(10) ELSE '' END || html || {
     ' || '.join(f"CASE WHEN page_id % {n} = 0 THEN {q(v)} ELSE '' END" for n, v in _PLANTED)} AS html FROM ({_FURNISHED})"""
@@ -203,16 +207,18 @@ _ELEMENTS = f"list_transform({found('html', hx.element_pattern((*hx.HEADING_TAGS
     e AS (SELECT split_part(href, '#', 1) AS href, split_part(href, '#', 2) AS fragment FROM (SELECT unnest({hrefs('html')}) AS href FROM f)),
     t AS (SELECT fragment, {_TARGET} AS target FROM e WHERE NOT regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:|^//')),
     r AS (SELECT (SELECT count(*) FROM f) AS pages,
-      (SELECT count(*) FROM v WHERE {_SHOWN_ANY(rx.SYMBOL_ARTIFACTS)}) + (SELECT count(*) FROM v WHERE {_SHOWN_ANY(rx.BAD_VISIBLE_TEXT)}) AS rule_hits,
+      (SELECT count(*) FROM v WHERE {_SHOWN_ANY(rx.SYMBOL_ARTIFACTS)}) + (SELECT count(*) FROM v WHERE {_SHOWN_ANY(rx.BAD_VISIBLE_TEXT)})
+        + (SELECT count(*) FROM v WHERE {_SHOWN_ANY(rx.BAD_NOTES)}) AS rule_hits,
       (SELECT count(*) FROM f WHERE lower(trim(split_part(html, chr(10), 1))) = 'html' OR lower(trim(split_part(html, chr(10), 1))) LIKE '<html%') AS bad_preambles,
       (SELECT count(*) FROM f WHERE page_id % 15 = 0) AS missing_controls, (SELECT count(*) FROM f WHERE page_id % 13 = 0) AS missing_numbers,
       (SELECT count(*) FROM (SELECT unnest({_ELEMENTS}) AS b FROM f) WHERE {' OR '.join(f'regexp_full_match(b, {q(p)})' for p in rx.RUNNING_HEADERS)}) AS running_headers,
-      (SELECT count(*) FROM f WHERE page_id % 16 = 0) AS nested_code_tabs, (SELECT count(*) FROM ({_leaking('f')})) AS language_leaks,
+      (SELECT count(*) FROM f WHERE page_id % 16 = 0) AS nested_code_tabs,
+      (SELECT count(*) FROM f WHERE page_id % 18 = 0) AS unversioned, (SELECT count(*) FROM f WHERE page_id % 17 = 0) AS code_residue, (SELECT count(*) FROM ({_leaking('f')})) AS language_leaks,
       (SELECT coalesce(sum({count(_MASKED, audit.TODO_MARKERS)}), 0)::BIGINT FROM f) AS todo_markers,
       (SELECT count(*) FROM t WHERE target NOT IN (SELECT file FROM f)) AS missing_links,
       (SELECT count(*) FROM t WHERE fragment <> '' AND target IN (SELECT file FROM f) AND (target, fragment) NOT IN (SELECT file, id FROM a)) AS missing_anchors,
       (SELECT count(*) FROM f WHERE page_id % 40 NOT IN (SELECT n_nationkey FROM nation)) AS missing_images)
-    SELECT *, CASE WHEN rule_hits + bad_preambles + missing_controls + missing_numbers + running_headers + nested_code_tabs + todo_markers + missing_links + missing_anchors + missing_images > 0
+    SELECT *, CASE WHEN rule_hits + bad_preambles + missing_controls + missing_numbers + running_headers + nested_code_tabs + unversioned + code_residue + todo_markers + missing_links + missing_anchors + missing_images > 0
       THEN 'incomplete' ELSE 'ready' END AS status FROM r"""
 )
 def audit_report(spark, folder):
@@ -222,10 +228,11 @@ def audit_report(spark, folder):
     pages = _furnished(spark, folder).select(
         "file", F.concat(F.when(n % 14 == 0, "html\n").otherwise(""), "html", *planted).alias("html")
     )
-    found = materialize(audit.page_findings(pages, "file", "html", [rx.SYMBOL_ARTIFACTS, rx.BAD_VISIBLE_TEXT]))
+    found = materialize(audit.page_findings(pages, "file", "html", [rx.SYMBOL_ARTIFACTS, rx.BAD_VISIBLE_TEXT, rx.BAD_NOTES]))
     there = table(spark, folder, "nation", "n_nationkey").select(F.concat(F.lit("/img/"), F.col("n_nationkey").cast("string"), F.lit(".png")).alias("file"))
     broken = audit.integrity(found, found.select("file").unionByName(there).distinct())
-    return audit.findings_report(found, {name: (rows, True) for name, rows in broken.items()})
+    residue = audit.code_residue(audit.listings_of(found, ["file"], F.col("listings")), ["file"], keep=None)
+    return audit.findings_report(found, {name: (rows, True) for name, rows in {**broken, "code_residue": residue}.items()})
 
 
 @query(

@@ -85,10 +85,15 @@ def elements(html: Column, tags: Sequence[str]) -> Column:
     return F.regexp_extract_all(html, F.lit(element_pattern(tags)), F.lit(0))
 
 
+#: An exercise of a page, up to its first end tag.
+EXERCISE = r"(?is)<(div|span)\b(?=[^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?exercise(?:\s[^\"']*)?[\"'])[^>]*>.*?</\1\s*>"
+
+
 def visible_blocks(html: Column, tags: Sequence[str] = BLOCK_TAGS) -> Column:
-    """Non-empty texts of the block elements, formulas removed."""
+    """Non-empty texts of the block elements, then of the exercises; formulas removed."""
     shown = F.regexp_replace(F.regexp_replace(html, HIDDEN_ELEMENT, " "), COMMENT, " ")
-    texts = F.transform(elements(shown, tags), lambda e: tx.strip_latex(node_text(e)))
+    exercises = F.regexp_extract_all(shown, F.lit(EXERCISE), F.lit(0))
+    texts = F.transform(F.concat(elements(shown, tags), exercises), lambda e: tx.strip_latex(node_text(e)))
     return F.filter(texts, lambda t: t != "")
 
 

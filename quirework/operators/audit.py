@@ -20,6 +20,7 @@ from quirework.functions import titles
 LEAKS_PER_PAGE = 5
 REPORT_SAMPLES = 10
 TODO_MARKERS = "(?i)TODO|待翻译|未翻译"
+STYLESHEET, SCRIPT = "/assets/css/styles.css", "/assets/js/site.js"
 EMBEDDED_IMAGE = r"data:image/[^\"']+"
 # ----------------------------------------------------------------------------------
 
@@ -165,10 +166,13 @@ def misplaced_headings(pages: DataFrame, sections: DataFrame, keys: Sequence[str
     return placed.filter(wrong).select(*keys, "page", "text", F.col("slug").alias("section_slug"), "section_page")
 
 
-def page_findings(pages: DataFrame, file: str, html: str, packs: Sequence[Sequence[rx.Rule]]) -> DataFrame:
+def page_findings(
+    pages: DataFrame, file: str, html: str, packs: Sequence[Sequence[rx.Rule]], assets: tuple[str, str] = (STYLESHEET, SCRIPT)
+) -> DataFrame:
     """One narrow row per page with all that the checks need, so the pages are read once.
 
-    ``rule_hits`` holds the first finding of each pack in the visible text.  Nothing is cut here.
+    ``rule_hits`` holds the first finding of each pack in the visible text, ``unversioned`` the references to the
+    site's stylesheet and script (``assets``) without a version.  Nothing is cut here.
     """
     page, text = F.col("__html"), F.col("__text")
     seen = pages.select(F.col(file).alias("file"), F.col(html).alias("__html"), hx.visible_text(F.col(html)).alias("__text"))
@@ -178,7 +182,7 @@ def page_findings(pages: DataFrame, file: str, html: str, packs: Sequence[Sequen
         F.array_compact(F.array(*[rx.first_finding(text, pack) for pack in packs])).alias("rule_hits"),
         hx.bad_preamble(page).alias("bad_preamble"), lacks_sidebar_controls(page).alias("missing_controls"),
         unnumbered_sections(page).alias("missing_numbers"), header_artifacts(page).alias("running_headers"),
-        nested_code_tabs(page).alias("nested_code_tabs"), hx.code_in_language(page, "python").alias("listings"),
+        nested_code_tabs(page).alias("nested_code_tabs"), unversioned_assets(page, *assets).alias("unversioned"), hx.code_in_language(page, "python").alias("listings"),
         F.filter(hx.visible_blocks(page), lambda b: rx.is_leak(b)).alias("leaks"),
         tx.count_matches(F.regexp_replace(page, EMBEDDED_IMAGE, "data:image/removed"), TODO_MARKERS).alias("todo_markers"),
     )
@@ -208,6 +212,7 @@ def findings_report(findings: DataFrame, rows: dict[str, tuple[DataFrame, bool]]
         "missing_numbers": size("missing_numbers"),
         "running_headers": size("running_headers"),
         "nested_code_tabs": F.count_if("nested_code_tabs"),
+        "unversioned": size("unversioned"),
         "language_leaks": size("leaks"),
         "todo_markers": F.sum("todo_markers"),
     }

@@ -120,7 +120,7 @@ def _within(path: Column, root: str) -> Column:
 
 def audit_site(spark: SparkSession, root: str, rules=None, page: str | None = None) -> dict[str, DataFrame]:
     """Findings of a site audit by name, plus ``report``."""
-    packs = [rules] if rules else [rx.SYMBOL_ARTIFACTS, rx.BAD_VISIBLE_TEXT]
+    packs = [rules] if rules else [rx.SYMBOL_ARTIFACTS, rx.BAD_VISIBLE_TEXT, rx.BAD_NOTES]
     every = sources.html_tree(spark, root).select(_within(F.col("path"), root).alias("file"), F.col("raw").alias("html"))
     pages = every.filter(F.col("file") == f"/{page.lstrip('/')}") if page else every
     files = site_files(spark, root)
@@ -139,6 +139,7 @@ def audit_site(spark: SparkSession, root: str, rules=None, page: str | None = No
         "missing_numbers": pages_found.select("file", F.explode("missing_numbers").alias("number")),
         "running_headers": pages_found.select("file", F.explode("running_headers").alias("text")),
         "nested_code_tabs": pages_found.filter("nested_code_tabs").select("file"),
+        "unversioned": pages_found.select("file", F.explode("unversioned").alias("reference")),
         "code_residue": audit.code_residue(blocks, ["file"]),
         "code_errors": errors,
         "language_leaks": pages_found.select("file", leaks).select(

@@ -166,6 +166,16 @@ def test_leaks(value):
     assert value(rx.is_allowed_block(C("t")), t="EBITDA = x") is True
     assert value(rx.is_allowed_block(C("t")), t="vol. 3, 1999") is True
     assert value(rx.is_allowed_block(C("t")), t="plain words") is False
+    reasons = {"x Section": "section_word", latin: "untranslated", latin * 2 + cjk: "mostly_latin", latin + "中" * 50: None, "↩︎ ": None}
+    assert {t: value(rx.leak_reason(C("t")), t=t) for t in reasons} == reasons
+    named = "中" * 20 + " John Smith"
+    kept = {"Working Paper 3": "cited", "p. 3 (1999)": "referenced", "x&nbsp;" + "中" * 10: "spaced", named: "named", named + " should": None, "中" * 19 + " John Smith": None}
+    assert {t: value(rx.allowance(C("t")), t=t) for t in kept} == kept
+
+
+def test_exercise_blocks(value):
+    page = '<div class="big exercise">Do <b>it</b> \\(x\\)</div><p>One</p><span class="exercises">no</span><span class=\'exercise\'>Two</span>'
+    assert value(hx.visible_blocks(C("h")), h=page) == ["One", "Do it", "Two"]
     assert value(rx.sentence_leaks(C("t")), t="好。 Exercise 3 asks. " + "x" * 10) == ["Exercise 3 asks."]
 
 
