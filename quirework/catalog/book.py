@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quirework.catalog.registry import query
-from quirework.operators import audit, book
+from quirework.catalog.registry import query, replaces
+from quirework.operators import audit, book, refresh
 from quirework.plans.ordered import id_bucket
+from quirework.session import materialize
 from quirework.sources.tables import table
 
 ROOT = "book"
@@ -121,3 +122,53 @@ def misplaced_headings(spark, folder):
     pages, sections, sources = _led(spark, folder)
     found = audit.misplaced_headings(pages.select("unit", F.col("html")), sections, ["unit"], "html", sources)
     return found.select("unit", "page", F.col("section_slug").alias("slug"))
+
+
+#: Characters of a text in the earlier state of the books, and of a title.
+OLD_LENGTH, TITLE_LENGTH = 2_000, 40
+_ESCAPES = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")]
+
+
+def _rendered(rows: str) -> str:
+    entry = lambda doc, title, label="": f"""'<a href="/book/doc-' || {doc} || '/">{label}' || {replaces(title, _ESCAPES)} || '</a>'"""
+    return f"""SELECT source, doc_id, '<h1>' || {replaces('title', _ESCAPES)} || '</h1>' || body
+        || CASE WHEN first < doc_id THEN '<ul class="references"><li>' || {entry('first', 'title')} || '</li></ul>' ELSE '' END
+        || '<nav class="chapter-nav">' || coalesce({entry('b', 'b_title', '上一节：')}, '<span></span>') || coalesce({entry('a', 'a_title', '下一节：')}, '') || '</nav>' AS html
+      FROM (SELECT *, min(doc_id) OVER (PARTITION BY source, body) AS first, lag(doc_id) OVER w AS b, lag(title) OVER w AS b_title,
+        lead(doc_id) OVER w AS a, lead(title) OVER w AS a_title FROM {rows} WINDOW w AS (PARTITION BY source ORDER BY doc_id))"""
+
+
+@query(
+    f"""WITH new_rows AS (SELECT source, doc_id, text AS body, left(text, {TITLE_LENGTH}) AS title FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)),
+    old_rows AS (SELECT source, doc_id, left(text, {OLD_LENGTH}) AS body, left(text, {TITLE_LENGTH}) AS title FROM documents
+      WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)),
+    n AS ({_rendered('new_rows')}), o AS ({_rendered('old_rows')})
+    SELECT source, 'doc-' || doc_id AS slug, CASE WHEN n.html IS NULL THEN 'removed' WHEN o.html IS NULL THEN 'added' WHEN n.html = o.html THEN 'same' ELSE 'changed' END AS state,
+      sha1(n.html) AS html_sha1, n.html IS NOT NULL AND n.html IS DISTINCT FROM o.html AS rendered
+    FROM n FULL JOIN o USING (source, doc_id)"""
+)
+def refresh_delta(spark, folder):
+    """A book of documents per source after texts grew, toxic ones went and bad ones came: what is rendered anew,
+    and that it gives, with what is kept, the pages of a full rendering.  A copy refers to its first."""
+    labels = table(spark, folder, "labels", "doc_id", "quality", "toxic")
+    docs = table(spark, folder, "documents", "doc_id", "source", "text", spread="doc_id")
+
+    def state(gone, body):
+        rows = docs.join(labels.filter(gone).select("doc_id"), "doc_id", "left_anti")
+        slug = F.concat(F.lit("doc-"), F.col("doc_id").cast("string"))
+        pages = rows.select("source", "doc_id", slug.alias("slug"), F.substring("text", 1, TITLE_LENGTH).alias("title"), body.alias("body"))
+        # Digests of the texts travel to find copies.
+        known = materialize(pages.select("source", "doc_id", "slug", F.sha2("body", 256).alias("copy")))
+        first = known.groupBy("source", "copy").agg(F.min_by("slug", "doc_id").alias("target"))
+        copies = known.join(first, ["source", "copy"]).filter(F.col("slug") != F.col("target"))
+        return pages, copies.select("source", "slug", "target")
+
+    def delta(rows, stored):
+        return refresh.delta(*rows, stored, ["source"], "doc_id", id_bucket("doc_id"), "1", lambda: refresh.unit_page(ROOT))
+
+    old = delta(state("quality = 0", F.substring("text", 1, OLD_LENGTH)), None)
+    stored = materialize(old.select("source", *refresh.STORED, "html"))
+    found = materialize(delta(state("toxic = 1", F.col("text")), stored.drop("html")))
+    pages = refresh.refreshed(found, stored, ["source"]).select("source", "slug", F.sha1("html").alias("html_sha1"))
+    states = found.select("source", "slug", "state", F.col("html").isNotNull().alias("rendered"))
+    return states.join(pages, ["source", "slug"], "left")

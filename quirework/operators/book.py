@@ -28,13 +28,22 @@ def unit_path(root: str, slug: Column) -> Column:
     return F.concat(F.lit(f"/{root.strip('/')}/"), slug, F.lit("/"))
 
 
-def _link(root: str, slug: Column, title: Column, label: str = "") -> Column:
+def link(root: str, slug: Column, title: Column, label: str = "") -> Column:
     return F.concat(F.lit('<a href="'), unit_path(root, slug), F.lit(f'">{label}'), tx.escape_html(title), F.lit("</a>"))
 
 
+def navigation(root: str) -> Column:
+    """Links to the neighbours ``before`` and ``after``, structs of slug and title."""
+
+    def beside(name: str, label: str, absent: str) -> Column:
+        return F.when(F.col(name).isNull(), F.lit(absent)).otherwise(link(root, F.col(f"{name}.slug"), F.col(f"{name}.title"), label))
+
+    return F.concat(F.lit(NAV_OPEN), beside("before", PREVIOUS_LABEL, NO_PREVIOUS), beside("after", NEXT_LABEL, ""), F.lit(NAV_CLOSE))
+
+
 def contents(units: DataFrame, book: Sequence[str], order: str, root: str) -> DataFrame:
     """List items of the contents in ``order``.  Every page of a book shows the same list, so it is kept once."""
-    item = F.concat(F.lit("<li>"), _link(root, F.col("slug"), F.col("title")), F.lit("</li>"))
+    item = F.concat(F.lit("<li>"), link(root, F.col("slug"), F.col("title")), F.lit("</li>"))
     return units.select(*book, order, "slug", item.alias("html"))
 
 
@@ -59,12 +68,8 @@ def unit_parts(
             html.alias("html"),
         ]
 
-    def beside(name: str, label: str, absent: str) -> Column:
-        return F.when(F.col(name).isNull(), F.lit(absent)).otherwise(_link(root, F.col(f"{name}.slug"), F.col(f"{name}.title"), label))
-
     head = F.concat(F.lit("<h1>"), tx.escape_html(F.col("title")), F.lit("</h1>"))
-    foot = F.concat(F.lit(NAV_OPEN), beside("before", PREVIOUS_LABEL, NO_PREVIOUS), beside("after", NEXT_LABEL, ""), F.lit(NAV_CLOSE))
-    ends = placed.select(*book, "slug", F.explode(F.array(F.struct(*row(HEAD, head)), F.struct(*row(NAVIGATION, foot)))).alias("r")).select(
+    ends = placed.select(*book, "slug", F.explode(F.array(F.struct(*row(HEAD, head)), F.struct(*row(NAVIGATION, navigation(root))))).alias("r")).select(
         *book, "slug", "r.*"
     )
 
