@@ -9,6 +9,7 @@ from quirework.operators import batches
 from quirework.plans.ordered import id_bucket
 from quirework.session import materialize
 from quirework.sources.tables import table
+from quirework.streaming import ledger
 
 
 @query(
@@ -143,3 +144,21 @@ def merged_results(spark, folder):
 )
 def task_progress(spark, folder):
     return batches.progress(table(spark, folder, "orders", "o_orderstatus"), "o_orderstatus", ["O", "F", "P"])
+
+
+@query(
+    """WITH e AS (SELECT *, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, hour(ts) AS run, event_type IN ('view', 'click') AS asked FROM events),
+    l AS (SELECT user_id, day, count(*) FILTER (asked) AS asks, max(run) FILTER (asked) AS last, bool_or(event_type = 'purchase') AS answered FROM e GROUP BY ALL)
+    SELECT user_id, day, asks, CASE WHEN answered THEN 'answered' WHEN asks = 0 THEN 'new' WHEN asks >= 3 THEN 'given up'
+      WHEN 24 - last >= pow(2, asks - 1) THEN 'due' ELSE 'waiting' END AS state
+    FROM l WHERE (user_id, day) IN (SELECT (user_id, day) FROM e WHERE event_type = 'signup')"""
+)
+def attempt_states(spark, folder):
+    """What is to be asked again at the end of a day: signups of a user as requests, views and clicks as asks by the
+    hour, purchases as answers."""
+    events = table(spark, folder, "events", "user_id", "ts", "event_type")
+    kind = F.col("event_type")
+    outcome = F.when(kind.isin("view", "click"), ledger.ASKED).when(kind == "purchase", ledger.ANSWERED).otherwise(ledger.FAILED)
+    placed = events.select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.hour("ts").cast("long").alias("run"), "event_type", outcome.alias("outcome"))
+    requests = placed.filter(kind == "signup").select("user_id", "day").distinct()
+    return ledger.request_states(requests, placed, ["user_id", "day"], F.lit(24), 3)
