@@ -303,8 +303,12 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     forth = stored(_dealt(counts, False, parts).mapInArrow(_walk(False), WALKED)).drop("right1", "right2")
     back = _dealt(forth, True, parts).mapInArrow(_walk(True), WALKED)
     scored = back.mapInArrow(_scored, "lang string, phrase string, a long, l long, r long, n long, score long")
-    place = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= top)
+    # A hot language is ranked in shares first, so one task gets at most ``parts * top`` of its phrases.
+    best = [F.desc("score"), F.desc("a"), "phrase"]
+    share = F.pmod(F.xxhash64("phrase"), F.lit(parts))
+    ahead = scored.withColumn("share", share).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*best)))
+    place = Window.partitionBy("lang").orderBy(*best)
+    ranked = ahead.filter(F.col("rank") <= top).withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
