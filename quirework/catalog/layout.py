@@ -27,12 +27,12 @@ def gap_islands(spark, folder):
     spans = events.select(
         "event_id", "user_id", micros("ts").alias("a"), (micros("ts") + F.round(F.col("value") * 100).cast("long") * 600_000).alias("b")
     )
-    found = layout.islands(
-        spans, ["user_id"], F.floor(F.col("a") / (1440 * MINUTE)).cast("long"), ["a", "event_id"], F.col("a"), F.col("b"), 450 * MINUTE
-    )
-    return found.groupBy("user_id", "island").agg(
-        F.min("a").alias("first_at"), F.max("b").alias("last_end"), F.count(F.lit(1)).alias("events")
+    spans = spans.withColumn("day", F.floor(F.col("a") / (1440 * MINUTE)).cast("long"))
+    named = layout.open_islands(spans, ["user_id"], F.col("day"), ["a", "event_id"], F.col("a"), F.col("b"), 450 * MINUTE)
+    found = named.groupBy("user_id", "island").agg(
+        F.min("day").alias("day"), F.min("a").alias("first_at"), F.max("b").alias("last_end"), F.count(F.lit(1)).alias("events")
     )
+    return layout.number_islands(found, ["user_id"], F.col("day"), ["a", "event_id"]).drop("day")
 
 
 @query(

@@ -12,7 +12,7 @@ from quirework.functions import rules as rx
 from quirework.functions import text as tx
 from quirework.functions import titles
 from quirework.plans.anchored import anchored_runs
-from quirework.plans.ordered import LastKnown, MaxBefore, Previous, RowNumber, RunningSum, id_bucket, ordered_scan
+from quirework.plans.ordered import LastKnown, MaxBefore, Opener, Previous, RowNumber, RunningSum, even_buckets, id_bucket, ordered_scan, same_keys
 from quirework.session import materialize
 
 # --- fixed values (points; origin at the top of the page) ----------------------------
@@ -32,14 +32,20 @@ def scaled(column: str | Column) -> Column:
     return F.round(value * SCALE).cast("long")
 
 
+def by_height(rows: DataFrame, page: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Add the bucket ``__even``: 200 points of the first order column, cut at row ranks where a page has too many rows there."""
+    return even_buckets(rows, page, F.floor(F.col(order[0]) / (200 * SCALE)), order)
+
+
 def group_lines(words: DataFrame, page: Sequence[str], word: str, tolerance: float = LINE_TOLERANCE) -> DataFrame:
     """Words (top, bottom, x0, x1, text) grouped into lines.
 
     A word joins the line while its top is within ``tolerance`` of the line's first top
     (the anchor, not the previous word)."""
-    placed = words.withColumn("__top", scaled("top")).withColumn("__x", scaled("x0"))
+    order = ["__top", "__x", word]
+    placed = by_height(words.withColumn("__top", scaled("top")).withColumn("__x", scaled("x0")), page, order)
     lined = anchored_runs(
-        placed, page, F.floor(F.col("__top") / (200 * SCALE)).cast("long"), ["__top", "__x", word],
+        placed, page, F.col("__even"), order,
         F.col("__top"), F.col("__top"), int(tolerance * SCALE), "line_no",
     )
     spelled = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("__top", "__x", word, "text"))), lambda w: w["text"]), " ")
@@ -52,6 +58,25 @@ def group_lines(words: DataFrame, page: Sequence[str], word: str, tolerance: flo
     )
 
 
+def open_islands(
+    rows: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[str], start: Column, end: Column, gap, name: str = "island"
+) -> DataFrame:
+    """Name the cluster of overlapping or near intervals by the order columns of its first row: a row opens a new one
+    when it starts more than ``gap`` after everything before it has ended.  One scan, which carries the greatest end
+    and the last opening from bucket to bucket.  Starts do not decrease along the order; rows without a start have a bucket of
+    their own, and each is a cluster."""
+    return ordered_scan(rows, keys, bucket, order, Opener(name, start, end, gap))
+
+
+def number_islands(groups: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[str], name: str = "island") -> DataFrame:
+    """Replace the opening row that names a cluster by the cluster's 1-based number in its key.
+
+    ``bucket`` is an expression of the order columns."""
+    opened = groups.select("*", *[F.col(name)[c].alias(f"__o{i}") for i, c in enumerate(order)])
+    inner = [f"__o{i}" for i in range(len(order))]
+    return ordered_scan(opened, keys, bucket, inner, RowNumber("__number")).withColumn(name, F.col("__number")).drop("__number", *inner)
+
+
 def islands(
     rows: DataFrame,
     keys: Sequence[str],
@@ -62,30 +87,30 @@ def islands(
     gap,
     name: str = "island",
 ) -> DataFrame:
-    """Number the clusters of overlapping or near intervals: a row opens a new one when it
-    starts more than ``gap`` after everything before it has ended."""
-    marked = rows.withColumn("__start", start).withColumn("__end", end)
-    # Two scans in a row: the first is written, else the second would run it twice.
-    reach = materialize(ordered_scan(marked, keys, bucket, order, MaxBefore("__reach", F.col("__end"))))
-    opens = F.when(F.col("__start") <= F.col("__reach") + gap, F.lit(0)).otherwise(F.lit(1))
-    numbered = ordered_scan(reach.withColumn("__opens", opens), keys, bucket, order, RunningSum(name, F.col("__opens").cast("long")))
-    return numbered.select(*rows.columns, name)
+    """Number the rows' clusters.  Where clusters are aggregated, group by the opening row and number the groups."""
+    named = open_islands(rows.withColumn("__b", bucket), keys, F.col("__b"), order, start, end, gap, name)
+    openers = named.filter(F.struct(*order) == F.col(name)).select(*keys, "__b", *order)
+    numbers = ordered_scan(openers, keys, F.col("__b"), order, RowNumber("__number")).select(*keys, F.struct(*order).alias(name), "__number")
+    return same_keys(named, numbers, [*keys, name]).select(*rows.columns, F.col("__number").alias(name))
 
 
 def cluster_objects(objects: DataFrame, page: Sequence[str], obj: str, gap: float = CLUSTER_GAP) -> DataFrame:
     """Bounding box and size of the vertical clusters of graphic objects."""
-    placed = objects.withColumn("__top", scaled("top")).withColumn("__x", scaled("x0"))
-    found = islands(
-        placed, page, F.floor(F.col("__top") / (200 * SCALE)).cast("long"), ["__top", "__x", obj],
-        F.col("top"), F.greatest("bottom", "top"), gap, "cluster_no",
+    order = ["__top", "__x", obj]
+    placed = by_height(objects.withColumn("__top", scaled("top")).withColumn("__x", scaled("x0")), page, order)
+    named = open_islands(
+        placed, page, F.col("__even"), order, F.col("top"), F.greatest("bottom", "top"), gap, "cluster_no"
     )
-    return found.groupBy(*page, "cluster_no").agg(
+    # The bucket of its opening row, the least one of a cluster, orders the clusters.
+    found = named.groupBy(*page, "cluster_no").agg(
+        F.min("__even").alias("__even"),
         F.min("x0").alias("x0"),
         F.min("top").alias("top"),
         F.max("x1").alias("x1"),
         F.max("bottom").alias("bottom"),
         F.count(F.lit(1)).alias("objects"),
     )
+    return number_islands(found, page, F.col("__even"), order, "cluster_no").drop("__even")
 
 
 def flag_islands(
@@ -178,10 +203,9 @@ def assign_to_caption(
         *page, (-(scaled(bottom) - int(slack * SCALE))).alias("__at"), F.lit(1).alias("__side"),
         F.col(item).cast("long").alias("__id"), F.struct(*own).alias("__own"),
     )
-    both = placed.unionByName(marks, allowMissingColumns=True)
-    found = ordered_scan(
-        both, page, F.floor(F.col("__at") / (200 * SCALE)).cast("long"), ["__at", "__side", "__id"], LastKnown("__hit", F.col("__cap"))
-    ).filter("__side = 1")
+    order = ["__at", "__side", "__id"]
+    both = by_height(placed.unionByName(marks, allowMissingColumns=True), page, order)
+    found = ordered_scan(both, page, F.col("__even"), order, LastKnown("__hit", F.col("__cap"))).filter("__side = 1")
     return found.select(
         *page, *[F.col("__own")[c].alias(c) for c in own], *[F.col("__hit")[c].alias(f"cap_{c}") for c in carried]
     )
@@ -193,10 +217,10 @@ def figure_regions(captions: DataFrame, drawings: DataFrame, page: Sequence[str]
 
     Small drawings are ignored; a drawing counts between the previous caption and this one.
     """
-    order = captions.withColumn("__top", scaled("top"))
-    bounded = ordered_scan(
-        order, page, F.floor(F.col("__top") / (200 * SCALE)).cast("long"), ["__top", "caption_id"], Previous("__prev", F.col("bottom"))
-    ).withColumn("lower", F.coalesce("__prev", F.lit(70.0))).drop("__prev", "__top")
+    order = ["__top", "caption_id"]
+    placed = by_height(captions.withColumn("__top", scaled("top")), page, order)
+    bounded = ordered_scan(placed, page, F.col("__even"), order, Previous("__prev", F.col("bottom")))
+    bounded = bounded.withColumn("lower", F.coalesce("__prev", F.lit(70.0))).drop("__prev", "__top", "__even")
     large = drawings.filter((F.col("x1") - F.col("x0") >= 24) & (F.col("bottom") - F.col("top") >= 16) & (F.col("top") >= 65))
     inside = assign_to_caption(large, bounded, page, "drawing_id", "caption_id", 3.0).filter(F.col("top") >= F.col("cap_lower") - 10)
     boxes = inside.groupBy(*page, F.col("cap_caption_id").alias("caption_id")).agg(
@@ -270,10 +294,10 @@ def crop_boxes(
     title taken from ``lines`` (line_no, x0, x1, top, bottom, text).  Without a cluster a
     fixed band above the caption is used.
     """
-    ordered = captions.withColumn("__top", scaled("top"))
-    bounded = ordered_scan(
-        ordered, page, F.floor(F.col("__top") / (200 * SCALE)).cast("long"), ["__top", "caption_id"], MaxBefore("__prev", F.col("bottom"))
-    ).withColumn("previous", F.coalesce("__prev", F.lit(0.0))).drop("__prev", "__top")
+    order = ["__top", "caption_id"]
+    ordered = by_height(captions.withColumn("__top", scaled("top")), page, order)
+    bounded = ordered_scan(ordered, page, F.col("__even"), order, MaxBefore("__prev", F.col("bottom")))
+    bounded = bounded.withColumn("previous", F.coalesce("__prev", F.lit(0.0))).drop("__prev", "__top", "__even")
     bounded = materialize(bounded)
     visible = objects.filter((F.col("x1") - F.col("x0") >= 1) | (F.col("bottom") - F.col("top") >= 1))
     near = assign_to_caption(visible, bounded, page, "object_id", "caption_id", 4.0).filter(

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quirework.operators import layout
+from quirework.plans import ordered
 
 WORDS = "page int, id long, top double, bottom double, x0 double, x1 double, text string"
 
@@ -39,6 +40,53 @@ def test_islands_match_a_walk(spark, width):
     assert {r.i: r.island for r in out.collect()} == want
 
 
+def walk_clusters(boxes, gap):
+    """(first top, last bottom, objects) of each cluster of a page, by a walk in order."""
+    found, reach = [], None
+    for top, _, _, bottom in sorted(boxes, key=lambda b: (b[0] is not None, b[0] or 0.0, b[1], b[2])):
+        end = max(x for x in (bottom, top) if x is not None)
+        if top is None or reach is None or top > reach + gap:
+            found.append([top, bottom, 0])
+        found[-1][0] = top if found[-1][0] is None else found[-1][0]
+        found[-1][1] = max(found[-1][1], bottom)
+        found[-1][2] += 1
+        reach = end if reach is None else max(reach, end)
+    return [tuple(f) for f in found]
+
+
+@pytest.mark.parametrize("shape", ["spread", "one_height", "long_boxes"])
+def test_one_page_holds_all_boxes(spark, monkeypatch, shape):
+    monkeypatch.setattr(ordered, "BUCKET_ROWS", 40)
+    rng, boxes = random.Random(7), []
+    for i in range(1500):
+        top = {"spread": rng.randint(0, 40_000) * 1.0, "one_height": 50.0, "long_boxes": rng.randint(0, 60_000) * 1.0}[shape]
+        high = rng.choice([5.0, 9_000.0]) if shape == "long_boxes" and rng.random() < 0.01 else 5.0
+        missing = i % 300 == 7
+        boxes.append((None if missing else top, rng.randint(0, 99) * 1.0, i, 5.0 if missing else top + high))
+    df = spark.createDataFrame([(7, t, b, x, x + 3, i) for t, x, i, b in boxes], "page int, top double, bottom double, x0 double, x1 double, id long")
+    placed = layout.by_height(df.withColumn("__top", layout.scaled("top")).withColumn("__x", layout.scaled("x0")), ["page"], ["__top", "__x", "id"])
+    sizes = [r["count"] for r in placed.groupBy("__even").count().collect()]
+    assert sum(sizes) == 1500 and max(sizes) < 160 and (shape != "one_height" or len(sizes) > 10)
+    falls = placed.selectExpr("struct(__top, __x, id) o", "__even").orderBy("o").collect()
+    assert all(a["__even"] <= b["__even"] for a, b in zip(falls, falls[1:]))
+    out = layout.cluster_objects(df, ["page"], "id", 20.0).orderBy("cluster_no").collect()
+    assert [r.cluster_no for r in out] == list(range(1, len(out) + 1))
+    assert [(r.top, r.bottom, r.objects) for r in out] == walk_clusters(boxes, 20.0)
+    lines = layout.group_lines(df.filter("top IS NOT NULL").withColumn("text", F.lit("w")), ["page"], "id").orderBy("line_no").collect()
+    tops, anchor = [], None
+    for t in sorted(t for t, *_ in boxes if t is not None):
+        if anchor is None or t > anchor + 3.0:
+            anchor = t
+            tops.append(t)
+    assert [r.top for r in lines] == tops
+
+
+def test_clusters_take_one_scan(spark):
+    df = spark.range(10).selectExpr("1 AS page", "id", "id * 50.0D AS top", "id * 50.0D AS bottom", "0.0D AS x0", "1.0D AS x1")
+    assert layout.cluster_objects(df, ["page"], "id").count() == 10
+    assert layout.cluster_objects(df.filter("id < 0"), ["page"], "id").count() == 0
+
+
 def test_tiers(spark):
     sizes = [10] * 5 + [20, 18, 18, 14, 8, 12] + [12] * 4
     df = spark.createDataFrame(list(enumerate(sizes)), "seq long, size int")
