@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirework.functions import code as cx
@@ -12,7 +12,7 @@ from quirework.functions import rules as rx
 from quirework.functions import text as tx
 from quirework.functions import titles
 from quirework.plans.anchored import anchored_runs
-from quirework.plans.ordered import LastKnown, MaxBefore, Opener, Previous, RowNumber, RunningSum, even_buckets, id_bucket, ordered_scan, same_keys
+from quirework.plans.ordered import LastKnown, MaxBefore, Opener, Previous, RowNumber, RunningSum, even_buckets, id_bucket, ordered_scan
 from quirework.session import materialize
 
 # --- fixed values (points; origin at the top of the page) ----------------------------
@@ -68,13 +68,42 @@ def open_islands(
     return ordered_scan(rows, keys, bucket, order, Opener(name, start, end, gap))
 
 
-def number_islands(groups: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[str], name: str = "island") -> DataFrame:
-    """Replace the opening row that names a cluster by the cluster's 1-based number in its key.
+def merged_islands(
+    rows: DataFrame,
+    keys: Sequence[str],
+    bucket: Column,
+    order: Sequence[str],
+    start: Column,
+    end: Column,
+    gap,
+    measures: Mapping[str, tuple[Callable[[Column], Column], Column]],
+    name: str = "island",
+) -> DataFrame:
+    """Clusters as rows (keys, 1-based number, measures); a measure is a column and an aggregate that
+    merges its own results, as min, max and sum do.
 
-    ``bucket`` is an expression of the order columns."""
-    opened = groups.select("*", *[F.col(name)[c].alias(f"__o{i}") for i, c in enumerate(order)])
+    The rows are read once and shrink to the clusters of each bucket before anything else moves: these are intervals
+    again, so the scan across buckets joins them by the same rule.
+    """
+    keys, order = list(keys), list(order)
+    place = [*keys, "__in"]
     inner = [f"__o{i}" for i in range(len(order))]
-    return ordered_scan(opened, keys, bucket, inner, RowNumber("__number")).withColumn(name, F.col("__number")).drop("__number", *inner)
+    inside = Window.partitionBy(*place).orderBy(*inner)
+    marked = rows.select(
+        *keys, bucket.alias("__in"), *[F.col(c).alias(i) for c, i in zip(order, inner)], start.alias("__start"), end.alias("__end"),
+        *[column.alias(f"__m_{m}") for m, (_, column) in measures.items()],
+    ).withColumn("__reach", F.max("__end").over(inside.rowsBetween(Window.unboundedPreceding, -1)))
+    marked = marked.withColumn("__opens", ~F.coalesce(F.col("__start") <= F.col("__reach") + gap, F.lit(False)))
+    marked = marked.withColumn("__local", F.count_if("__opens").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # Values of the opening row one by one: a struct would take the aggregate out of its hash map.
+    opening = [F.max(F.when(F.col("__opens"), F.col(c))).alias(c) for c in (*inner, "__start")]
+    local = materialize(
+        marked.groupBy(*place, "__local").agg(*opening, F.max("__end").alias("__end"), *[f(F.col(f"__m_{m}")).alias(m) for m, (f, _) in measures.items()])
+    )
+    named = open_islands(local, keys, F.col("__in"), inner, F.col("__start"), F.col("__end"), gap, "__island")
+    whole = named.groupBy(*keys, "__island").agg(F.min("__in").alias("__b"), *[f(F.col(m)).alias(m) for m, (f, _) in measures.items()])
+    opened = whole.select(*keys, "__b", "__island.*", *measures)
+    return ordered_scan(opened, keys, F.col("__b"), inner, RowNumber(name)).select(*keys, name, *measures)
 
 
 def islands(
@@ -87,30 +116,30 @@ def islands(
     gap,
     name: str = "island",
 ) -> DataFrame:
-    """Number the rows' clusters.  Where clusters are aggregated, group by the opening row and number the groups."""
-    named = open_islands(rows.withColumn("__b", bucket), keys, F.col("__b"), order, start, end, gap, name)
-    openers = named.filter(F.struct(*order) == F.col(name)).select(*keys, "__b", *order)
-    numbers = ordered_scan(openers, keys, F.col("__b"), order, RowNumber("__number")).select(*keys, F.struct(*order).alias(name), "__number")
-    return same_keys(named, numbers, [*keys, name]).select(*rows.columns, F.col("__number").alias(name))
+    """Number the clusters of overlapping or near intervals: a row opens a new one when it
+    starts more than ``gap`` after everything before it has ended."""
+    marked = rows.withColumn("__start", start).withColumn("__end", end)
+    # Two scans in a row: the first is written, else the second would run it twice.
+    reach = materialize(ordered_scan(marked, keys, bucket, order, MaxBefore("__reach", F.col("__end"))))
+    opens = F.when(F.col("__start") <= F.col("__reach") + gap, F.lit(0)).otherwise(F.lit(1))
+    numbered = ordered_scan(reach.withColumn("__opens", opens), keys, bucket, order, RunningSum(name, F.col("__opens").cast("long")))
+    return numbered.select(*rows.columns, name)
 
 
 def cluster_objects(objects: DataFrame, page: Sequence[str], obj: str, gap: float = CLUSTER_GAP) -> DataFrame:
     """Bounding box and size of the vertical clusters of graphic objects."""
     order = ["__top", "__x", obj]
     placed = by_height(objects.withColumn("__top", scaled("top")).withColumn("__x", scaled("x0")), page, order)
-    named = open_islands(
-        placed, page, F.col("__even"), order, F.col("top"), F.greatest("bottom", "top"), gap, "cluster_no"
-    )
-    # The bucket of its opening row, the least one of a cluster, orders the clusters.
-    found = named.groupBy(*page, "cluster_no").agg(
-        F.min("__even").alias("__even"),
-        F.min("x0").alias("x0"),
-        F.min("top").alias("top"),
-        F.max("x1").alias("x1"),
-        F.max("bottom").alias("bottom"),
-        F.count(F.lit(1)).alias("objects"),
+    measures = {
+        "x0": (F.min, F.col("x0")),
+        "top": (F.min, F.col("top")),
+        "x1": (F.max, F.col("x1")),
+        "bottom": (F.max, F.col("bottom")),
+        "objects": (F.sum, F.lit(1)),
+    }
+    return merged_islands(
+        placed, page, F.col("__even"), order, F.col("top"), F.greatest("bottom", "top"), gap, measures, "cluster_no"
     )
-    return number_islands(found, page, F.col("__even"), order, "cluster_no").drop("__even")
 
 
 def flag_islands(
