@@ -227,17 +227,24 @@ def label_semi_docs(spark, folder):
 )
 def quality_report(spark, folder):
     """One-row report; hard metrics decide the status, soft ones are only shown."""
-    docs = _docs(spark, folder, "doc_id", "text")
     labels = table(spark, folder, "labels", "doc_id", "toxic")
     pages = table(spark, folder, "pages", "page_id", "html")
-    bad = docs.filter(rx.hits_any(F.col("text"), rx.BAD_VISIBLE_TEXT))
+    judged = _docs(spark, folder, "doc_id", "text").select("doc_id", rx.hits_any(F.col("text"), rx.BAD_VISIBLE_TEXT).alias("bad"))
+    known = labels.select("doc_id").distinct().withColumn("labelled", F.lit(True))
     return audit.report(
         [
-            ("missing_labels", docs.select("doc_id").join(labels.select("doc_id"), "doc_id", "left_anti"), True),
-            ("toxic_docs", labels.filter("toxic = 1"), False),
-            ("bad_visible", bad.select("doc_id"), True),
-            ("links", pages.select(F.explode(hx.links(F.col("html"))).alias("href")), False),
-            ("bad_preambles", pages.filter(~F.col("html").rlike(r"(?i)\A<!doctype html>")).select("page_id"), True),
+            (
+                judged.join(known, "doc_id", "left"),
+                {"missing_labels": (F.count_if(F.col("labelled").isNull()), True), "bad_visible": (F.count_if("bad"), True)},
+            ),
+            (labels, {"toxic_docs": (F.count_if(F.col("toxic") == 1), False)}),
+            (
+                pages,
+                {
+                    "links": (F.sum(F.size(hx.links(F.col("html")))), False),
+                    "bad_preambles": (F.count_if(~F.col("html").rlike(r"(?i)\A<!doctype html>")), True),
+                },
+            ),
         ]
     )
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -224,19 +224,22 @@ def findings_report(findings: DataFrame, rows: dict[str, tuple[DataFrame, bool]]
     return row.withColumn("status", F.when(failed, F.lit("incomplete")).otherwise(F.lit("ready")))
 
 
-def report(metrics: Sequence[tuple[str, DataFrame, bool]]) -> DataFrame:
-    """One row: a count per metric and a status, ``incomplete`` if a hard one is not zero.
+def report(tables: Sequence[tuple[DataFrame, Mapping[str, tuple[Column, bool]]]]) -> DataFrame:
+    """One row: metrics (aggregate, hard) and a status, ``incomplete`` if a hard one is not zero.
 
-    Counts are aggregated where the rows are and meet in a single final row.
+    Each table is read once, for all its metrics together, and the single rows meet in a final one.
     """
-    parts = [
-        rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("metric"), F.lit(hard).alias("hard"), "n")
-        for name, rows, hard in metrics
-    ]
+    none = F.lit(0).cast("long")
+    parts, names = [], []
+    for rows, metrics in tables:
+        row = rows.agg(*[F.coalesce(value.cast("long"), none).alias(name) for name, (value, _) in metrics.items()])
+        entries = [F.struct(F.lit(name).alias("metric"), F.lit(hard).alias("hard"), F.col(name).alias("n")) for name, (_, hard) in metrics.items()]
+        parts.append(row.select(F.inline(F.array(*entries))))
+        names += metrics
     stacked = reduce(lambda a, b: a.unionByName(b), parts)
     failed = F.coalesce(F.bool_or(F.col("hard") & (F.col("n") > 0)), F.lit(False))
     return stacked.agg(
-        *[F.sum(F.when(F.col("metric") == name, F.col("n"))).cast("long").alias(name) for name, _, _ in metrics],
+        *[F.sum(F.when(F.col("metric") == name, F.col("n"))).cast("long").alias(name) for name in names],
         F.when(failed, F.lit("incomplete")).otherwise(F.lit("ready")).alias("status"),
     )
 

@@ -38,13 +38,14 @@ def figure(asset: Column, caption: Column) -> Column:
 def document_rows(blocks: DataFrame, answers: DataFrame, assets: DataFrame, page: str, pos: str, bucket: Column) -> DataFrame:
     """Rows (page, pos, kind, html, anchor, text) of a document, in the order of page and pos.
 
-    ``blocks`` are numbered text blocks (``layout.text_block_ids``) with their font ``size``; ``answers(unit_id, tr)``
-    their translations; ``assets(page, caption, asset, rank)`` the images of captions, of which the last
+    ``blocks`` are numbered text blocks (``layout.text_block_ids``) with their font ``size``; ``answers(unit_id, tr, latest)``
+    their translations, of which the latest counts (without that column, the greatest); ``assets(page, caption, asset, rank)`` the images of captions, of which the last
     counts.  A block without an answer shows its source.  An empty text, and one that turned into a
     listing which the source is not, is left out.  ``bucket`` follows the pages, so the listings of
     the document are numbered without one task walking them all.
     """
-    told = answers.groupBy("unit_id").agg(F.max("tr").alias("__tr"))
+    newest = F.col("latest") if "latest" in answers.columns else F.col("tr")
+    told = answers.groupBy("unit_id").agg(F.max_by("tr", newest).alias("__tr"))
     drawn = assets.groupBy(page, F.col("caption").alias("src")).agg(F.max_by("asset", "rank").alias("__asset"))
     sized = blocks.withColumn("__size", F.bround("size").cast("int"))
     tiers = layout.heading_tiers(

@@ -21,7 +21,11 @@ def put_together(spark, width=1):
     ]
     frame = spark.createDataFrame(blocks, "page long, pos long, type string, y0 double, text string, size double").repartition(3)
     answers = spark.createDataFrame(
-        [("p1_t1", "1\n> quantile(x)\n2\n[1] 18"), ("p1_t3", "Bild 1"), ("p2_t1", " "), ("p1_t2", "ignored"), ("p9_t9", "nowhere")], "unit_id string, tr string"
+        [
+            ("p1_t1", "1\n> quantile(x)\n2\n[1] 18", 1), ("p1_t3", "Zeichnung 1", 1), ("p1_t3", "Bild 1", 2), ("p2_t1", " ", 1),
+            ("p1_t2", "ignored", 1), ("p9_t9", "nowhere", 1),
+        ],
+        "unit_id string, tr string, latest int",
     )
     assets = spark.createDataFrame(
         [(1, "Figure 1. Prices", "old.png", 1), (1, "Figure 1. Prices", "a.png", 2), (2, "Figure 2. Volumes", "", 1), (1, "Figure 2. Volumes", "no.png", 1)],
