@@ -125,22 +125,26 @@ def title_position(lines: Column, title: Column) -> Column:
     return F.when(form == "", F.lit(0)).otherwise(F.array_position(forms, form)).cast("int")
 
 
-def title_near_top(lines: Column, title: Column) -> Column:
-    """The title is absent, first, or preceded by up to three chapter-opening lines only."""
+def title_near_top(lines: Column, title: Column, at: Column | None = None) -> Column:
+    """The title is absent, first, or preceded by up to three chapter-opening lines only.  ``at`` is its position, where known."""
     from quirework.operators.layout import is_opening_line
 
-    at = title_position(lines, title)
+    at = title_position(lines, title) if at is None else at
     opened = F.forall(F.slice(lines, F.lit(1), F.greatest(at - 1, F.lit(0))), is_opening_line)
     return (at <= 1) | ((at <= 4) & opened)
 
 
-def prose_blocks_before(lines: Column, title: Column) -> Column:
-    """Stretches of prose lines above the title."""
+def prose_blocks_before(lines: Column, title: Column, at: Column | None = None) -> Column:
+    """Stretches of prose lines above the title.  ``at`` is its position, where known."""
     from quirework.operators.layout import is_prose_line
 
-    above = F.slice(lines, F.lit(1), F.greatest(title_position(lines, title) - 1, F.lit(0)))
-    flags = F.transform(above, is_prose_line)
-    return F.size(F.filter(F.transform(flags, lambda f, i: f & ~F.coalesce(F.get(flags, i - 1), F.lit(False))), lambda f: f))
+    above = F.slice(lines, F.lit(1), F.greatest((title_position(lines, title) if at is None else at) - 1, F.lit(0)))
+
+    def begun(flags: Column) -> Column:
+        return F.size(F.filter(F.transform(flags, lambda f, i: f & ~F.coalesce(F.get(flags, i - 1), F.lit(False))), lambda f: f))
+
+    # Each line is judged once, not anew for each line after it.
+    return tx.bind(F.transform(above, is_prose_line), begun)
 
 
 _LEADING = (
@@ -162,20 +166,23 @@ def drop_leading(fragment: Column) -> Column:
 def insert_after_prose(fragment: Column, heading: Column, blocks: Column, after_figure: Column) -> Column:
     """Put a heading in front of paragraph ``blocks`` (from 0); behind the last figure if
     ``after_figure`` and none precede; else at the end of the section."""
-    pieces = F.split(fragment, r"(?i)(?=<p\b)")
-    # Without a lead the first piece is itself a paragraph.
-    lead = F.when(F.get(pieces, F.lit(0)).rlike(r"(?i)\A<p\b"), F.lit(0)).otherwise(F.lit(1))
-    cut = blocks + lead
-    placed = F.concat(
-        F.array_join(F.slice(pieces, F.lit(1), cut), ""), heading, F.lit("\n"), F.array_join(F.slice(pieces, cut + 1, F.size(pieces)), "")
-    )
+
+    def put(pieces: Column) -> Column:
+        # Without a lead the first piece is itself a paragraph.
+        lead = F.when(F.get(pieces, F.lit(0)).rlike(r"(?i)\A<p\b"), F.lit(0)).otherwise(F.lit(1))
+        cut = blocks + lead
+        placed = F.concat(
+            F.array_join(F.slice(pieces, F.lit(1), cut), ""), heading, F.lit("\n"), F.array_join(F.slice(pieces, cut + 1, F.size(pieces)), "")
+        )
+        return F.when(cut < F.size(pieces), placed).otherwise(ended)
+
     closed = fragment.rlike(r"(?i)</section>\s*\z")
     ended = F.when(closed, F.regexp_replace(fragment, F.lit(r"(?i)(</section>\s*)\z"), F.concat(F.lit("\n"), _literal(heading), F.lit("\n$1")))).otherwise(
         F.concat(fragment, F.lit("\n"), heading)
     )
     figure = after_figure & (blocks == 0) & fragment.rlike("(?i)</figure>")
     behind = F.regexp_replace(fragment, F.lit(r"(?is)\A(.*</figure>)"), F.concat(F.lit("$1\n"), _literal(heading)))
-    return F.when(figure, behind).when(cut < F.size(pieces), placed).otherwise(ended)
+    return F.when(figure, behind).otherwise(tx.bind(F.split(fragment, r"(?i)(?=<p\b)"), put))
 
 
 def settle_heading(
@@ -188,7 +195,7 @@ def settle_heading(
         F.when(section_page.isNull() | (section_page > page), fragment)
         .when(section_page < page, bare)
         .when(near_top, fragment)
-        .otherwise(insert_after_prose(bare, heading, blocks, after_figure))
+        .otherwise(tx.bind(bare, lambda rest: insert_after_prose(rest, heading, blocks, after_figure)))
     )
 
 

@@ -99,8 +99,9 @@ def heading_places(heads: DataFrame, sections: DataFrame, sources: DataFrame, ke
     ``heads(*keys, page, text)`` are the first texts of the pages, ``sections(*keys, slug, title_en, title_zh, level,
     pdf_page)`` the sections of the units, ``sources(*keys, page, text)`` the source of the pages.  Rows
     (*keys, page, text, slug, section_page, near_top, blocks, after_figure, heading) of the heads that read like a section
-    with a page: whether the source has its title at the top of the page, how many stretches of
-    prose stand above it, whether a figure does.  A page without source counts as one with the title at its top.
+    with a page.  For a section that begins on the very page: whether the source has its title at the top of the page,
+    how many stretches of prose stand above it, whether a figure does, and the heading to put there; null for
+    one that begins on another page, whose source says nothing.  A page without source counts as one with the title at its top.
     """
     known = sections.filter(F.col("pdf_page").isNotNull())
     matched = match_headings(heads, known, keys, "text", ["title_en", "title_zh"], "pdf_page").filter("section_slug IS NOT NULL")
@@ -109,15 +110,23 @@ def heading_places(heads: DataFrame, sections: DataFrame, sources: DataFrame, ke
     )
     told = sources.select(*keys, "page", F.col("text").alias("__source"))
     rows = matched.join(facts, [*keys, "section_slug"]).join(told, [*keys, "page"], "left")
+    here, title = F.col("__s.pdf_page") == F.col("page"), F.col("__s.title_en")
+
+    def told_by(lines: Column) -> Column:
+        return F.struct(lines.alias("lines"), fr.title_position(lines, title).alias("at"))
+
+    def judged(use) -> Column:
+        # Bound, so that a filter pushed down to the source computes its lines and the position once.
+        return F.when(here, tx.bind(F.col("__told"), lambda s: use(s["lines"], title, s["at"])))
+
+    def after_figure(lines: Column, _, at: Column) -> Column:
+        return F.array_join(F.slice(lines, F.lit(1), F.greatest(at - 1, F.lit(0))), "\n").rlike(FIGURE_OR_TABLE)
+
     lines = fr.source_lines(F.coalesce("__source", F.lit("")), **boilerplate)
-    placed = rows.select("*", lines.alias("__lines"))
-    title = F.col("__s.title_en")
-    above = F.slice("__lines", F.lit(1), F.greatest(fr.title_position(F.col("__lines"), title) - 1, F.lit(0)))
-    return placed.select(
+    return rows.withColumn("__told", F.when(here, tx.bind(lines, told_by))).select(
         *keys, "page", "text", F.col("section_slug").alias("slug"), F.col("__s.pdf_page").alias("section_page"),
-        fr.title_near_top(F.col("__lines"), title).alias("near_top"), fr.prose_blocks_before(F.col("__lines"), title).alias("blocks"),
-        F.array_join(above, "\n").rlike(FIGURE_OR_TABLE).alias("after_figure"),
-        fr.section_heading(F.col("__s.level"), F.col("section_slug"), F.coalesce("__s.title_zh", "__s.title_en")).alias("heading"),
+        judged(fr.title_near_top).alias("near_top"), judged(fr.prose_blocks_before).alias("blocks"), judged(after_figure).alias("after_figure"),
+        F.when(here, fr.section_heading(F.col("__s.level"), F.col("section_slug"), F.coalesce("__s.title_zh", "__s.title_en"))).alias("heading"),
     )
 
 
@@ -127,7 +136,7 @@ def repair_headings(pages: DataFrame, sections: DataFrame, sources: DataFrame, k
 
     Only the first text of a page travels to the sections, and only pages led by a title meet their source.
     """
-    heads = pages.select(*keys, "page", fr.leading_text(F.col("html")).alias("text")).filter("text <> ''")
+    heads = pages.select(*keys, "page", fr.leading_text(F.col("html")).alias("text"))  # an empty one reads like no section
     places = heading_places(heads, sections, sources, keys, **boilerplate).select(
         *keys, "page", F.struct("section_page", "near_top", "blocks", "after_figure", "heading").alias("__place")
     )

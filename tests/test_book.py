@@ -61,3 +61,16 @@ def test_heading_repair(spark):
     assert low == {**same, ("u", 7): page("<p>a</p>", moved + "\n", "<p>b</p>"), ("u", 8): page("", "<p>a</p>")}
     for at_top in ("2.4 Tail Risk\nMore of it follows below.", "No title here at all in this text.", None):
         assert repaired(at_top)["u", 7] == same["u", 7]
+
+
+def test_source_read_where_the_section_begins(spark):
+    sections = spark.createDataFrame(
+        [("u", "s", "2.4 Tail Risk", None, 2, 7)], "unit string, slug string, title_en string, title_zh string, level int, pdf_page int"
+    )
+    heads = spark.createDataFrame([("u", n, "2.4 Tail Risk") for n in (6, 7, 8)], "unit string, page long, text string")
+    source = "Here is a whole line of running text.\nAnd one more of the very same kind.\nFig. 1 Loss\n2.4 Tail Risk"
+    sources = spark.createDataFrame([("u", n, source) for n in (6, 7, 8)], "unit string, page long, text string")
+    found = {r.page: r for r in book.heading_places(heads, sections, sources, ["unit"]).collect()}
+    facts = lambda r: (r.near_top, r.blocks, r.after_figure, r.heading)
+    assert facts(found[7]) == (False, 1, True, '<h3 id="s">2.4 Tail Risk</h3>')
+    assert facts(found[6]) == facts(found[8]) == (None,) * 4 and found[6].section_page == found[8].section_page == 7
