@@ -88,6 +88,14 @@ def test_misplaced_headings(spark):
     assert [(r.page, r.section_slug) for r in out] == [(9, "s21")]
 
 
+def test_misplaced_headings_reads_a_source_once(spark):
+    pages = spark.createDataFrame([("u", "<p>")], "unit string, h string")
+    sections = spark.createDataFrame([("u", "s", "a", "b", 8)], "unit string, slug string, title_en string, title_zh string, pdf_page int")
+    sources = spark.createDataFrame([("u", 8, "a")], "unit string, page long, text string")
+    out = audit.misplaced_headings(pages, sections, ["unit"], "h", sources)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("coalesce(__source") == 1
+
+
 def test_indicators_by_hand(spark):
     bars = spark.createDataFrame(
         [("s", 1, 10.0, 12.0, 9.0, 10.0, 100), ("s", 2, 10.0, 13.0, 10.0, 12.0, 150), ("s", 3, 12.0, 12.0, 12.0, 12.0, 120), ("s", 4, 12.0, 12.0, 8.0, 9.0, 90)],
