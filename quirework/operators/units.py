@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -231,40 +231,40 @@ def flatten_tree(nodes: DataFrame, node: str, parent: str, sibling: str, unreach
     return nodes.join(flat.withColumnRenamed("__n", node), node, "left" if unreached else "inner")
 
 
-def outline_nodes(documents: DataFrame, key: str, outline: str) -> tuple[DataFrame, DataFrame]:
+#: Errors of an outline, and of an entry in it.
+NO_LIST, NO_ENTRY = "no list", "neither item nor list"
+
+
+def outline_nodes(documents: DataFrame, key: str, outline: str, read: Mapping[str, Callable[[Column], Column]] | None = None) -> tuple[DataFrame, DataFrame]:
     """Items of nested outlines, and what could not be read.
 
     An outline is a JSON list of items (objects) and lists.  A list holds the children of the last item before it in
     the list around it, or, where none is before it, of the item that list belongs to.  Items: ``key, path,
     parent_path, level, value`` (a VARIANT), where ``path`` is the positions on the way and sorts in reading order.  Errors: ``key,
     path, error`` for an outline that is no list and for an entry that is neither item nor list; what stands beside it stays.
+    ``read`` (name to function of the VARIANT) names what to keep of an item in place of ``value``, so that no more is written.
 
     One pass a level over the lists of that level, each written in the shared folder, until there are none: no bound on the depth.
+    The owner of a list is found in the list around it, one value of one row, so nothing moves between the passes.
     """
-    parsed = documents.select(key, F.try_parse_json(outline).alias("value"))
     listed = "array<variant>"
-    level = materialize(
-        parsed.select(
-            key, F.array().cast("array<int>").alias("path"), F.lit(None).cast("array<int>").alias("owner"),
-            F.try_variant_get("value", "$", listed).alias("entries"), F.monotonically_increasing_id().alias("row"),
-        )
+    read = read or {"value": lambda value: value}
+    level = documents.select(
+        key, F.array().cast("array<int>").alias("path"), F.lit(None).cast("array<int>").alias("owner"),
+        F.try_variant_get(F.try_parse_json(outline), "$", listed).alias("entries"), F.monotonically_increasing_id().alias("row"),
     )
-    errors = level.filter("entries IS NULL").select(key, "path", F.lit("no list").alias("error"))
-    items = []
+    items, errors = [], None
     for depth in itertools.count():
-        entries = level.select(key, "row", "path", "owner", F.posexplode("entries").alias("at", "value"))
-        inner = F.try_variant_get("value", "$", listed)
-        kind = F.when(inner.isNotNull(), "list").when(F.schema_of_variant("value").startswith("OBJECT"), "item").otherwise("error")
-        entries = entries.withColumn("kind", kind).withColumn("inner", inner)
-        # The entries of one list are one value of one row, so is this window.
-        before = Window.partitionBy("row", "path").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-        last = F.last(F.when(F.col("kind") == "item", F.col("at")), ignorenulls=True).over(before)
-        entries = materialize(entries.withColumn("last", last).withColumn("place", F.concat("path", F.array("at"))))
-        chosen = entries.filter("kind = 'item'")
-        items.append(chosen.select(key, "row", F.col("place").alias("path"), F.col("owner").alias("parent_path"), F.lit(depth).alias("level"), "value"))
-        errors = errors.unionByName(entries.filter("kind = 'error'").select(key, F.col("place").alias("path"), F.lit("neither item nor list").alias("error")))
-        owner = F.when(F.col("last").isNotNull(), F.concat("path", F.array("last"))).otherwise(F.col("owner"))
-        level = entries.filter("kind = 'list'").select(key, "row", F.col("place").alias("path"), owner.alias("owner"), F.col("inner").alias("entries"))
+        entries = level.select(key, "row", "path", "owner", F.posexplode(_told_entries(F.col("entries"))).alias("at", "told"))
+        place = F.when(F.col("told.kind") == NO_LIST, F.col("path")).otherwise(F.concat("path", F.array("at")))
+        owner = F.when(F.col("told.last").isNotNull(), F.concat("path", F.array("told.last"))).otherwise(F.col("owner"))
+        kept = [use(F.col("told.value")).alias(name) for name, use in read.items()]
+        entries = materialize(entries.select(key, "row", "told.kind", place.alias("path"), owner.alias("owner"), *kept, "told.inner"))
+        found = entries.filter("kind = 'item'")
+        items.append(found.select(key, "row", "path", F.col("owner").alias("parent_path"), F.lit(depth).alias("level"), *read))
+        wrong = entries.filter(~F.col("kind").isin("item", "list")).select(key, "path", F.col("kind").alias("error"))
+        errors = wrong if errors is None else errors.unionByName(wrong)
+        level = entries.filter("kind = 'list'").select(key, "row", "path", "owner", F.col("inner").alias("entries"))
         if level.isEmpty():
             break
     flat = items[0]
@@ -273,22 +273,60 @@ def outline_nodes(documents: DataFrame, key: str, outline: str) -> tuple[DataFra
     return flat, errors
 
 
+def _told_entries(entries: Column) -> Column:
+    """(kind, value, inner, last) of the entries of a list: the value of an item, the entries of an inner list and the position of the
+    last item before it.  What is no list (null) has one entry of that kind."""
+
+    def judge(value: Column) -> Column:
+        def of(inner: Column) -> Column:
+            item = inner.isNull() & F.schema_of_variant(value).startswith("OBJECT")
+            kind = F.when(inner.isNotNull(), "list").when(item, "item").otherwise(NO_ENTRY)
+            return tx.bind(kind, lambda k: F.struct(k.alias("kind"), F.when(k == "item", value).alias("value"), inner.alias("inner")))
+
+        return tx.bind(F.try_variant_get(value, "$", "array<variant>"), of)
+
+    def last_before(at: Column, places: Column) -> Column:
+        def passed(found: Column, step: Column) -> Column:
+            return F.when((found + step <= F.size(places)) & (F.get(places, found + step - 1) < at), found + step).otherwise(found)
+
+        return F.get(places, F.reduce(F.array(*[F.lit(2**b) for b in range(30, -1, -1)]), F.lit(0), passed) - 1)
+
+    def told(judged: Column, places: Column) -> Column:
+        def one(x: Column, at: Column) -> Column:
+            last = F.when(F.get(judged, at - 1)["kind"] == "item", at - 1).otherwise(last_before(at, places))  # mostly just before
+            return F.struct(x["kind"].alias("kind"), x["value"].alias("value"), x["inner"].alias("inner"), F.when(x["kind"] == "list", last).alias("last"))
+
+        return F.transform(judged, one)
+
+    def placed(judged: Column) -> Column:
+        places = F.filter(F.transform(judged, lambda x, at: F.when(x["kind"] == "item", at)), lambda at: at.isNotNull())
+        return tx.bind(places, lambda found: told(judged, found))
+
+    null = F.struct(
+        F.lit(NO_LIST).alias("kind"), F.lit(None).cast("variant").alias("value"), F.lit(None).cast("array<variant>").alias("inner"), F.lit(None).cast("int").alias("last")
+    )
+    return F.when(entries.isNull(), F.array(null)).otherwise(tx.bind(F.transform(entries, judge), placed))
+
+
 def flatten_outline(documents: DataFrame, key: str, outline: str) -> tuple[DataFrame, DataFrame]:
     """``key, seq, id, parent_id, level, title_en, pdf_page`` of every item in reading order, and the errors.
 
     A page that is no whole number is null.  Ids count the items of an outline.  Rows that repeat a key have outlines of their own.
+    An outline is one value of one row to begin with, so the windows over its items share one shuffle by row.
     """
-    nodes, errors = outline_nodes(documents, key, outline)
-    nodes = nodes.select(
-        key, "row", "path", "parent_path", "level",
-        tx.clean_text(F.coalesce(F.try_variant_get("value", "$.title", "string"), F.lit(""))).alias("title_en"),
-        F.expr("try_cast(try_variant_get(value, '$.page', 'string') AS INT)").alias("pdf_page"),
-    )
-    numbered = materialize(ordered_scan(nodes, ["row"], F.get("path", F.lit(0)), ["path"], RowNumber("seq")))
-    named = numbered.withColumn("id", F.format_string("outline-%04d", "seq"))
-    parents = named.select("row", F.col("path").alias("parent_path"), F.col("id").alias("parent_id"))
-    # An item without parent has a null path, which no parent has.
-    return named.join(parents, ["row", "parent_path"], "left").select(key, "seq", "id", "parent_id", "level", "title_en", "pdf_page"), errors
+    read = {
+        "title_en": lambda value: tx.clean_text(F.coalesce(F.try_variant_get(value, "$.title", "string"), F.lit(""))),
+        "pdf_page": lambda value: F.try_variant_get(value, "$.page", "string").try_cast("int"),
+    }
+    nodes, errors = outline_nodes(documents, key, outline, read)
+    numbered = nodes.withColumn("seq", F.row_number().over(Window.partitionBy("row").orderBy("path")).cast("long"))
+    # In reading order the first child follows its parent: what stands between an item and its children is below it as well.
+    first = F.min("seq").over(Window.partitionBy("row", "parent_path"))
+    parent = F.when(F.col("parent_path").isNotNull(), first - 1)
+    named = F.format_string("outline-%04d", "seq")
+    rows = numbered.withColumn("parent", parent)
+    parent_id = F.when(F.col("parent").isNotNull(), F.format_string("outline-%04d", "parent"))
+    return rows.select(key, "seq", named.alias("id"), parent_id.alias("parent_id"), "level", "title_en", "pdf_page"), errors
 
 
 def children(rows: DataFrame, parent: str, order: str, value: str, name: str = "children") -> DataFrame:

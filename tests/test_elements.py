@@ -120,6 +120,12 @@ def test_outline_errors_stay_rows(spark):
     ]
 
 
+def test_outline_moves_once(spark):
+    found, _ = units.flatten_outline(spark.createDataFrame([(1, '[{"title": "a"}, [{"title": "b"}]]')], "book long, outline string"), "book", "outline")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
 # titles of sections
 
 @pytest.mark.parametrize("slug, english, known, want", [
