@@ -3,7 +3,8 @@
 A page becomes one row per tag, comment or stretch of text.  Start and end tags of one name are matched by a running depth, as
 balanced parentheses are: a stray end tag would make the depth a new minimum and counts for nothing, a start tag pairs with the
 next end tag of its depth.  An element whose end tag is missing ends where the next block's tag stands.
-All windows are inside one page, whose html is a single value to begin with, and share one shuffle.
+All windows are inside one page, whose html is a single value to begin with, and share one shuffle, of the pages before they
+are cut into tokens, into partitions of about equal text.
 """
 
 from __future__ import annotations
@@ -38,11 +39,21 @@ CLASSES = r"(?is)\A<[a-z][a-z0-9]*\s(?:[^>]*?\s)?class\s*=\s*[\"']([^\"']*)[\"']
 LETTER = "[A-Za-z]"
 
 
+#: Characters of html that one partition of token rows is meant to hold.
+PART_CHARS = 2_000_000
+
+
+def token_parts(pages: DataFrame, html: str = "html") -> int:
+    """Partitions of token rows: as many as the pages have ``PART_CHARS``, so a task sorts no more however many pages there are."""
+    total = pages.agg(F.sum(F.char_length(html))).first()[0] or 0
+    return max(1, -(-total // PART_CHARS))
+
+
 def page_tokens(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """``row, <key>, pos, token, tag, closing, classes``: tokens in order, ``tag`` empty for text, comments, scripts and void
     elements.  ``row`` tells rows with one key apart.  A null or empty page keeps one row without token."""
     tokens = F.regexp_extract_all(html, F.lit(TOKEN), F.lit(0))
-    told = pages.select(F.monotonically_increasing_id().alias("row"), key, html)
+    told = pages.select(F.monotonically_increasing_id().alias("row"), key, html).repartition(token_parts(pages, html), "row")
     rows = told.select("row", key, F.posexplode_outer(tokens).alias("pos", "token"))
     name = F.lower(F.regexp_extract("token", TAG_NAME, 1))
     plain = F.col("token").isNull() | name.isin("script", "style", *VOID_TAGS) | F.endswith("token", F.lit("/>"))

@@ -168,3 +168,11 @@ def test_intervals_of_any_width(spark):
     assert {r.id: r.n for r in found.collect()} == {0: 1, 1: 1, 2: None, 3: 0, 4: 0, 5: 3, 6: 2, 7: None, 8: None, 9: None}
     empty = units.first_match(spark.createDataFrame(points[:1], "id long, k string, at long"), spark.createDataFrame([], "k string, n long, a long, b long"), ["k"], "at", "id", "a", "b", "n", ["n"])
     assert [r.n for r in empty.collect()] == [None]
+
+
+def test_token_partitions_follow_the_text(spark, monkeypatch):
+    frame = pages(spark, *["<p>" + "a" * 93 + "</p>"] * 20, None)
+    monkeypatch.setattr(el, "PART_CHARS", 100)
+    assert el.token_parts(frame) == 20 and el.token_parts(frame.limit(0)) == 1
+    plan = el.outer_text(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and plan.count("Exchange hashpartitioning(row#") == 1
