@@ -78,11 +78,14 @@ def unit_parts(
     shown = expected.select(*book, "slug", "page", place("page")).join(done, "__place", "left")
     fragments = shown.select(*book, "slug", *row(PAGES, F.col("html"), F.col("page"), FRAGMENT))
 
-    # Only the ids of a page travel to its sections, not its text.
-    marks = pages.select(place("page"), hx.ids(F.col("html")).alias("__ids"))
+    # Only the ids of a page travel to its sections, not its text, and only pages with sections are searched for them.
     spans = units.select(place("slug"), "first_page", "last_page")
-    inside = sections.select("*", place(F.col("unit").alias("slug"))).join(spans, "__place").filter("page between first_page and last_page")
-    lacking = inside.withColumn("__place", place("page")).join(marks, "__place").filter((F.col("slug") != "") & ~F.array_contains("__ids", F.col("slug")))
+    inside = sections.filter(F.col("slug") != "").select("*", place(F.col("unit").alias("slug"))).join(spans, "__place").filter("page between first_page and last_page")
+    inside = inside.withColumn("__place", place("page"))
+    # Never null, as a null would be looked for in a filter that reads the page once more.
+    found = F.coalesce(hx.ids(F.col("html")), F.array().cast("array<string>"))
+    marks = done.filter(F.col("html").isNotNull()).join(inside.select("__place"), "__place", "left_semi").select("__place", found.alias("__ids"))
+    lacking = inside.join(marks, "__place").filter(~F.array_contains("__ids", F.col("slug")))
     anchor = F.concat(F.lit('<span class="section-anchor" id="'), tx.escape_html(F.col("slug")), F.lit('"></span>'))
     anchors = lacking.select(*book, F.col("unit").alias("slug"), *row(PAGES, anchor, F.col("page"), ANCHOR, F.col("rank")))
     return ends.unionByName(fragments).unionByName(anchors)

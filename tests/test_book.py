@@ -74,3 +74,11 @@ def test_source_read_where_the_section_begins(spark):
     facts = lambda r: (r.near_top, r.blocks, r.after_figure, r.heading)
     assert facts(found[7]) == (False, 1, True, '<h3 id="s">2.4 Tail Risk</h3>')
     assert facts(found[6]) == facts(found[8]) == (None,) * 4 and found[6].section_page == found[8].section_page == 7
+
+
+def test_ids_of_a_page_are_read_once(spark):
+    units = spark.createDataFrame([("b", 1, "a", "A", 1, 1)], "book string, n long, slug string, title string, first_page long, last_page long")
+    pages = spark.createDataFrame([("b", 1, "<p>")], "book string, page long, html string")
+    sections = spark.createDataFrame([("b", "a", 1, 1, "s")], "book string, unit string, page long, rank long, slug string")
+    parts = book.unit_parts(units, pages, sections, ["book"], "n", id_bucket("n"), "r")
+    assert parts._jdf.queryExecution().optimizedPlan().toString().count("array_distinct(") == 1
