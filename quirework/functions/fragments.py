@@ -39,10 +39,23 @@ def drop_boilerplate(
     lines with them; ``dropped`` and ``prefixes`` name single lines.  A page number stays
     only as the first line kept.  All markers are lower case.
     """
+    kept = _kept_lines(text, notices, openings, dropped, prefixes)
+    return F.array_join(F.transform(kept, lambda s: s["raw"]), "\n")
 
-    def look(raw: Column) -> Column:
-        line = tx.squash(raw)
 
+def _kept_lines(
+    text: Column,
+    notices: Sequence[tuple[str, int]] = (),
+    openings: Sequence[tuple[str, int]] = (),
+    dropped: Sequence[str] = (),
+    prefixes: Sequence[str] = (),
+) -> Column:
+    """The lines ``drop_boilerplate`` keeps, each as it was (``raw``) and squashed (``line``)."""
+
+    def pair(line: Column) -> Column:
+        return F.struct(line["raw"].alias("raw"), line["line"].alias("line"))
+
+    def look(raw: Column) -> Column:
         def judge(s: Column) -> Column:
             low = s["low"]
             skip = F.lit(0)
@@ -57,12 +70,19 @@ def drop_boilerplate(
                 lone = lone | low.isin(*dropped)
             return F.struct(
                 s["raw"].alias("raw"),
+                s["line"].alias("line"),
                 skip.alias("skip"),
                 (lone | rx.is_source_header(s["line"])).alias("lone"),
                 s["line"].rlike(r"\A[0-9]{1,4}\z").alias("number"),
             )
 
-        return tx.bind(F.struct(raw.alias("raw"), line.alias("line"), F.lower(line).alias("low")), judge)
+        return tx.bind(tx.squash(raw), lambda line: tx.bind(F.struct(raw.alias("raw"), line.alias("line"), F.lower(line).alias("low")), judge))
+
+    looked = F.transform(tx.lines(text), look)
+    if not notices and not openings:
+        # Each line stands for itself, but for a page number behind the first one kept.
+        stay = F.filter(looked, lambda line: ~line["lone"])
+        return F.transform(F.filter(stay, lambda line, i: (i == 0) | ~line["number"]), pair)
 
     def state(out: Column, left: Column, some: Column) -> Column:
         return F.struct(out.alias("out"), left.alias("left"), some.alias("some"))
@@ -72,10 +92,10 @@ def drop_boilerplate(
             F.when(s["left"] > 0, state(s["out"], s["left"] - 1, s["some"]))
             .when(line["skip"] > 0, state(s["out"], line["skip"], s["some"]))
             .when(line["lone"] | (line["number"] & s["some"]), s)
-            .otherwise(state(F.concat(s["out"], F.array(line["raw"])), F.lit(0), F.lit(True)))
+            .otherwise(state(F.concat(s["out"], F.array(pair(line))), F.lit(0), F.lit(True)))
         )
 
-    none = F.array().cast("array<string>")
+    none = F.array().cast("array<struct<raw:string,line:string>>")
 
     # The lines kept are gathered by stretch, so that appending copies at most a stretch, not all lines before.
     def over(s: Column, stretch: Column) -> Column:
@@ -87,10 +107,10 @@ def drop_boilerplate(
             F.sequence(F.lit(0), F.floor(F.greatest(F.size(looked) - 1, F.lit(0)) / STRETCH).cast("int")),
             lambda n: F.slice(looked, n * STRETCH + 1, F.lit(STRETCH)),
         )
-        start = state(F.array().cast("array<array<string>>"), F.lit(0), F.lit(False))
+        start = state(F.array().cast("array<array<struct<raw:string,line:string>>>"), F.lit(0), F.lit(False))
         return F.aggregate(stretches, start, over, lambda s: F.flatten(s["out"]))
 
-    return F.array_join(tx.bind(F.transform(tx.lines(text), look), kept), "\n")
+    return tx.bind(looked, kept)
 
 
 def drop_elements(fragment: Column, tags: Sequence[str], unwanted) -> Column:
@@ -114,15 +134,17 @@ def drop_visible_boilerplate(fragment: Column, marks: Sequence[str]) -> Column:
 
 
 def source_lines(text: Column, **boilerplate) -> Column:
-    rows = F.transform(tx.lines(drop_boilerplate(text, **boilerplate)), tx.squash)
-    return F.filter(rows, lambda r: r != "")
+    rows = F.filter(_kept_lines(text, **boilerplate), lambda s: s["line"] != "")
+    return F.transform(rows, lambda s: s["line"])
 
 
 def title_position(lines: Column, title: Column) -> Column:
     """1-based line that reads like the title, 0 if none does."""
-    form = titles.canonical_heading(title)
-    forms = F.transform(lines, titles.canonical_heading)
-    return F.when(form == "", F.lit(0)).otherwise(F.array_position(forms, form)).cast("int")
+
+    def found(form: Column) -> Column:
+        return F.when(form == "", F.lit(0)).otherwise(F.array_position(F.transform(lines, titles.canonical_heading), form)).cast("int")
+
+    return tx.bind(titles.canonical_heading(title), found)
 
 
 def title_near_top(lines: Column, title: Column, at: Column | None = None) -> Column:

@@ -53,7 +53,9 @@ def visible_text(html: Column) -> Column:
 
 def node_text(fragment: Column, decode=tx.decode_entities) -> Column:
     """Text of a fragment: tags to blanks, entities decoded, white space collapsed."""
-    return tx.squash(decode(drop_tags(fragment)))
+    text = drop_tags(fragment)
+    # Most fragments hold no entity, and one search for its first character is cheaper than one for each.
+    return tx.squash(F.when(F.contains(fragment, F.lit("&")), decode(text)).otherwise(text))
 
 
 def attribute_values(html: Column, tag: str, name: str) -> Column:

@@ -51,6 +51,9 @@ COMMON_ENTITIES = (
 TYPOGRAPHY = (("\u2013", "-"), ("\u2014", "-"), ("\u2212", "-"), ("\ufb01", "fi"), ("\ufb02", "fl"))
 # ----------------------------------------------------------------------------------
 
+#: ``SPACE`` for Java, whose classes try one range after the other: the first ones here turn down what is printed in ASCII.
+_SPACE = rf"[\x{{0}}-\x{{20}}\x{{7f}}-\x{{ffff}}&&{SPACE}]"
+
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once, also where it is used several times
@@ -75,7 +78,7 @@ def count_matches(text: Column, pattern: str) -> Column:
 def squash(text: Column) -> Column:
     """Collapse white space to single blanks and trim.  A lone blank is already right, so
     only other runs are matched."""
-    return F.trim(F.regexp_replace(text, f" {SPACE}+|{OTHER_SPACE}{SPACE}*", " "))
+    return F.trim(F.regexp_replace(text, f"{_SPACE}(?:(?<! )|(?={_SPACE})){SPACE}*", " "))
 
 
 def strip(text: Column) -> Column:

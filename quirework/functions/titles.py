@@ -114,13 +114,21 @@ def unit_kind(title: Column, style: str = "worded") -> Column:
     raise ValueError(f"unknown style {style!r}")
 
 
+_PAGE_NUMBER = r"\s+[0-9]{1,4}\z"
+
+
 def strip_page_number(text: Column) -> Column:
-    return tx.strip(F.regexp_replace(text, r"\s+[0-9]{1,4}\z", ""))
+    return tx.strip(F.regexp_replace(text, _PAGE_NUMBER, ""))
+
+
+#: Words of printed ASCII between single blanks, without tags and entities: node text as it is.
+_PLAIN = r"\A[!-%'-;=-~]++(?: [!-%'-;=-~]++)*+\z"
 
 
 def canonical_heading(text: Column) -> Column:
     """Comparison form of a heading: no tags, page number, case, punctuation or blanks."""
-    value = F.lower(F.regexp_replace(strip_page_number(hx.node_text(text)), "(?i)copulas", "copula"))
+    shown = F.when(text.rlike(_PLAIN), text).otherwise(hx.node_text(text))
+    value = F.lower(F.regexp_replace(F.regexp_replace(shown, _PAGE_NUMBER, ""), "(?i)copulas", "copula"))
     return F.regexp_replace(value, r"[^\p{L}\p{N}_]+", "")
 
 

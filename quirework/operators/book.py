@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirework.functions import fragments as fr
 from quirework.functions import html as hx
 from quirework.functions import text as tx
 from quirework.operators.units import expand, match_headings
-from quirework.plans.ordered import Following, Previous, ordered_scan
+from quirework.plans.ordered import Following, Previous, ordered_scan, same_keys
 
 #: Fixed values of the output.
 NAV_OPEN, NAV_CLOSE, NO_PREVIOUS = '<nav class="chapter-nav">', "</nav>", "<span></span>"
@@ -105,31 +105,34 @@ def heading_places(heads: DataFrame, sections: DataFrame, sources: DataFrame, ke
     with a page.  For a section that begins on the very page: whether the source has its title at the top of the page,
     how many stretches of prose stand above it, whether a figure does, and the heading to put there; null for
     one that begins on another page, whose source says nothing.  A page without source counts as one with the title at its top.
+
+    What the source says of a title belongs to the section, so it is found once a section, on the source of the
+    section's page alone, and the heads meet the sections in one join.  A null key is one more key.
     """
     known = sections.filter(F.col("pdf_page").isNotNull())
-    matched = match_headings(heads, known, keys, "text", ["title_en", "title_zh"], "pdf_page").filter("section_slug IS NOT NULL")
-    facts = known.groupBy(*keys, F.col("slug").alias("section_slug")).agg(
-        F.min_by(F.struct("title_en", "title_zh", "level", "pdf_page"), "pdf_page").alias("__s")
-    )
-    told = sources.select(*keys, "page", F.col("text").alias("__source"))
-    rows = matched.join(facts, [*keys, "section_slug"]).join(told, [*keys, "page"], "left")
-    here, title = F.col("__s.pdf_page") == F.col("page"), F.col("__s.title_en")
+    facts = F.min_by(F.struct("title_en", "title_zh", "level", "pdf_page"), "pdf_page").over(Window.partitionBy(*keys, "slug"))
+    begun = known.withColumn("__s", facts).withColumn("page", F.col("__s.pdf_page").cast("long"))
+    told = sources.select(*keys, F.col("page").cast("long").alias("page"), F.col("text").alias("__source"))
+    rows = same_keys(begun, told, [*keys, "page"], "left")
+    lines, at, title = F.col("__told.lines"), F.col("__told.at"), F.col("__s.title_en")
 
     def told_by(lines: Column) -> Column:
         return F.struct(lines.alias("lines"), fr.title_position(lines, title).alias("at"))
 
-    def judged(use) -> Column:
-        # Bound, so that a filter pushed down to the source computes its lines and the position once.
-        return F.when(here, tx.bind(F.col("__told"), lambda s: use(s["lines"], title, s["at"])))
-
-    def after_figure(lines: Column, _, at: Column) -> Column:
-        return F.array_join(F.slice(lines, F.lit(1), F.greatest(at - 1, F.lit(0))), "\n").rlike(FIGURE_OR_TABLE)
-
-    lines = fr.source_lines(F.coalesce("__source", F.lit("")), **boilerplate)
-    return rows.withColumn("__told", F.when(here, tx.bind(lines, told_by))).select(
-        *keys, "page", "text", F.col("section_slug").alias("slug"), F.col("__s.pdf_page").alias("section_page"),
-        judged(fr.title_near_top).alias("near_top"), judged(fr.prose_blocks_before).alias("blocks"), judged(after_figure).alias("after_figure"),
-        F.when(here, fr.section_heading(F.col("__s.level"), F.col("section_slug"), F.coalesce("__s.title_zh", "__s.title_en"))).alias("heading"),
+    above = F.slice(lines, F.lit(1), F.greatest(at - 1, F.lit(0)))
+    read = rows.withColumn("__told", tx.bind(fr.source_lines(F.coalesce("__source", F.lit("")), **boilerplate), told_by)).select(
+        *keys, "title_en", "title_zh", "slug", F.col("__s.pdf_page").alias("section_page"),
+        # Of several sources of a page one counts, the same for each fact and in every run.
+        F.struct("pdf_page", "slug", F.xxhash64("__source")).alias("__rank"),
+        fr.title_near_top(lines, title, at).alias("near_top"), fr.prose_blocks_before(lines, title, at).alias("blocks"),
+        F.array_join(above, "\n").rlike(FIGURE_OR_TABLE).alias("after_figure"),
+        fr.section_heading(F.col("__s.level"), F.col("slug"), F.coalesce("__s.title_zh", "__s.title_en")).alias("heading"),
+    )
+    here = ["near_top", "blocks", "after_figure", "heading"]
+    matched = match_headings(heads, read, keys, "text", ["title_en", "title_zh"], "__rank", ["section_page", *here]).filter("section_slug IS NOT NULL")
+    return matched.select(
+        *keys, "page", "text", F.col("section_slug").alias("slug"), "section_page",
+        *[F.when(F.col("section_page") == F.col("page"), F.col(name)).alias(name) for name in here],
     )
 
 

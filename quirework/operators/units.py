@@ -563,13 +563,15 @@ def merge_title_maps(maps: Sequence[DataFrame], key: str, title: str) -> DataFra
     return merged.groupBy(key).agg(F.min_by(title, "__p").alias(title))
 
 
-def match_headings(headings: DataFrame, sections: DataFrame, keys: Sequence[str], text: str, section_titles: Sequence[str], rank: str) -> DataFrame:
+def match_headings(
+    headings: DataFrame, sections: DataFrame, keys: Sequence[str], text: str, section_titles: Sequence[str], rank: str, along: Sequence[str] = ()
+) -> DataFrame:
     """First section of the unit one of whose titles reads like the heading: an equality
-    join on the canonical form instead of comparing every pair."""
+    join on the canonical form instead of comparing every pair.  Its columns ``along`` come too."""
     forms = sections.select(
-        *keys, rank, "slug", F.explode(F.array_distinct(F.array(*[titles.canonical_heading(F.col(c)) for c in section_titles]))).alias("__form")
+        *keys, rank, "slug", *along, F.explode(F.array_distinct(F.array(*[titles.canonical_heading(F.col(c)) for c in section_titles]))).alias("__form")
     ).filter("__form <> ''")
-    first = forms.groupBy(*keys, "__form").agg(F.min_by("slug", rank).alias("section_slug"))
+    first = forms.groupBy(*keys, "__form").agg(
+        F.min_by("slug", rank).alias("section_slug"), *[F.min_by(name, rank).alias(name) for name in along]
+    )
     return same_keys(headings.withColumn("__form", titles.canonical_heading(F.col(text))), first, [*keys, "__form"], "left").drop("__form")
-
-

@@ -96,6 +96,20 @@ def test_misplaced_headings_reads_a_source_once(spark):
     assert out._jdf.queryExecution().optimizedPlan().toString().count("coalesce(__source") == 1
 
 
+def test_misplaced_headings_meet_the_sections_in_one_join(spark):
+    page = lambda unit, number: (unit, f'<section class="book-page" data-pdf-page="{number}"><h2>2.1 Risk</h2></section>')
+    pages = spark.createDataFrame([page(u, n) for u in ("u", None) for n in (7, 8, 9)], "unit string, h string")
+    sections = spark.createDataFrame(
+        [("u", "s21", "2.1 Risk", None, 8), (None, "s22", "2.1 Risk", None, 8)], "unit string, slug string, title_en string, title_zh string, pdf_page int"
+    )
+    late = "Here is a whole line of running text, which goes on.\n2.1 Risk"
+    sources = spark.createDataFrame([("u", 8, late), ("u", 9, "x"), ("u", 9, "y"), (None, 8, "2.1 Risk")], "unit string, page long, text string")
+    out = audit.misplaced_headings(pages, sections, ["unit"], "h", sources)
+    # One join of the sections with their sources, one of the heads; a null unit is one more unit.
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
+    assert sorted((r.unit or "", r.page, r.section_slug) for r in out.collect()) == [("", 9, "s22"), ("u", 8, "s21"), ("u", 9, "s21")]
+
+
 def test_indicators_by_hand(spark):
     bars = spark.createDataFrame(
         [("s", 1, 10.0, 12.0, 9.0, 10.0, 100), ("s", 2, 10.0, 13.0, 10.0, 12.0, 150), ("s", 3, 12.0, 12.0, 12.0, 12.0, 120), ("s", 4, 12.0, 12.0, 8.0, 9.0, 90)],
